@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fieldmosaic.operators.boundaries import accepted_batches, insert_new, is_missing, new_versions, without_split_town
 from fieldmosaic.operators.records import ensure_columns
-from fieldmosaic.schemas import AREAS
+from fieldmosaic.schemas import AREA_COLUMNS
 from fieldmosaic.sources.shapefiles import read_boundary_files
 
 
@@ -15,7 +15,7 @@ def areas_from_records(records: DataFrame) -> DataFrame:
 
     Every attribute outside the fixed columns stays available in `attributes`.
     """
-    fixed = [f.name for f in AREAS.fields if f.name not in ("area_id", "area_level", "geometry", "shp_version", "created_at")]
+    fixed = [c for c in AREA_COLUMNS if c not in ("area_id", "area_level", "geometry", "shp_version", "created_at")]
     is_town = F.map_contains_key("attributes", F.lit("TOWNID"))
     columns = [F.try_element_at("attributes", F.lit(n)).alias(n) for n in fixed]
     level = F.when(is_town, "town").otherwise("county").alias("area_level")

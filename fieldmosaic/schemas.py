@@ -18,25 +18,26 @@ LABEL_TYPES = {
     "geometry": T.StringType(),
 }
 
-AREAS = T.StructType.fromDDL(
+AREAS = (
     "area_id string, area_level string, COUNTYID string, COUNTYCODE string, COUNTYNAME string,"
     "COUNTYENG string, TOWNID string, TOWNCODE string, TOWNNAME string, TOWNENG string,"
     "geometry string, shp_version string, created_at timestamp"
 )
+AREA_COLUMNS = [field.split()[0] for field in AREAS.split(",")]
 AREA_KEY = ["area_id", "shp_version"]
 
-LEDGER = T.StructType.fromDDL(
+LEDGER = (
     "id long, area_id string, area_level string, classification string, shp_version string,"
     "stage string, file_path string, layer_updated boolean, recorded_at timestamp"
 )
 LEDGER_KEY = ["area_id", "classification", "shp_version", "stage"]
 
-PIXELS = T.StructType.fromDDL(
+PIXELS = (
     "area_id string, shp_version string, classification string, row int, col int,"
     "b smallint, g smallint, r smallint"
 )
 
-COLOR_MAP = T.StructType.fromDDL(
+COLOR_MAP = (
     "layer string, data_type string, b int, g int, r int, label string,"
     "value_num double, value_code string, value_vec array<double>"
 )

@@ -98,20 +98,32 @@ def _read(spark: SparkSession, path: str, pattern: str) -> DataFrame:
     return spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path).select("path", "content")
 
 
-def read_boundary_files(spark: SparkSession, folder: str) -> DataFrame:
-    """All boundary records of a folder: file_name, shp_version, record, geometry, attributes."""
-    shapes = _read(spark, folder, "*.shp").mapInPandas(_in_batches(decode_shapes, "geometry"), "path string, record int, geometry string")
-    fields = _read(spark, folder, "*.dbf").mapInPandas(
-        _in_batches(decode_attributes, "attributes"), "path string, record int, attributes map<string,string>"
-    )
+def shape_records(files: DataFrame) -> DataFrame:
+    """(path, record, geometry) of .shp contents (path, content)."""
+    return files.select("path", "content").mapInPandas(_in_batches(decode_shapes, "geometry"), "path string, record int, geometry string")
+
+
+def attribute_records(files: DataFrame) -> DataFrame:
+    """(path, record, attributes) of .dbf contents (path, content)."""
+    schema = "path string, record int, attributes map<string,string>"
+    return files.select("path", "content").mapInPandas(_in_batches(decode_attributes, "attributes"), schema)
+
+
+def join_records(shapes: DataFrame, attributes: DataFrame) -> DataFrame:
+    """Boundary records: file_name, shp_version, record, geometry, attributes."""
     left = shapes.select(
         F.substring_index("path", "/", -1).alias("file_name"), file_stem(F.col("path")).alias("shp_version"), "record", "geometry"
     )
-    right = fields.select(file_stem(F.col("path")).alias("shp_version"), "record", "attributes")
+    right = attributes.select(file_stem(F.col("path")).alias("shp_version"), "record", "attributes")
     lower = F.lower("file_name")
     return left.where(lower.contains("county") | lower.contains("town")).join(right, ["shp_version", "record"], "left")
 
 
+def read_boundary_files(spark: SparkSession, folder: str) -> DataFrame:
+    """All boundary records of a folder of .shp and .dbf files."""
+    return join_records(shape_records(_read(spark, folder, "*.shp")), attribute_records(_read(spark, folder, "*.dbf")))
+
+
 def read_boundary_file(spark: SparkSession, path: str) -> DataFrame:
     """One boundary file as a table with a column per attribute, in natural order of its area id.
 
