@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import struct
 import zlib
 
@@ -58,7 +59,7 @@ def masked_sql(**extra: str) -> str:
     return ctes("towns", "pixels", vx=vertex_sql(), boxes=BOXES, edges=EDGES, ids=IDS, inside=INSIDE, **extra)
 
 
-@query("quantify_classes", ctes("pixels", classes=CLASSES) + "SELECT *, n_pixels * 10000.0 AS area_m2 FROM classes")
+@query("quantify_classes", ctes("pixels", classes=CLASSES) + "SELECT *, CAST(n_pixels * 10000 AS DOUBLE) AS area_m2 FROM classes")
 def quantify_classes(spark, sf_dir):
     return raster.quantify_classes(load(spark, sf_dir, "pixels"), colors.color_map(spark))
 
@@ -171,12 +172,12 @@ def quantify_mask(spark, sf_dir):
 
 
 @query("pixel_lonlat", ctes("towns", "pixels", vx=vertex_sql(), boxes=BOXES, ids=IDS) + f"""SELECT area_id, classification, row, col,
-  round(minx + (col + 0.5) * (maxx - minx) / {GRID}, 6) AS lon, round(maxy - (row + 0.5) * (maxy - miny) / {GRID}, 6) AS lat
+  round(minx + (col + 0.5) * (maxx - minx) / {GRID}, 9) AS lon, round(maxy - (row + 0.5) * (maxy - miny) / {GRID}, 9) AS lat
   FROM pixels JOIN ids USING (area_id) JOIN boxes USING (k)""")
 def pixel_lonlat(spark, sf_dir):
     joined = load(spark, sf_dir, "pixels").join(grid_areas(spark, sf_dir).select("area_id", "box", "width", "height"), "area_id")
     place = geometry.pixel_lonlat(F.col("box"), F.col("width"), F.col("height"), F.col("row"), F.col("col"))
-    return joined.select("area_id", "classification", "row", "col", F.round(place.lon, 6).alias("lon"), F.round(place.lat, 6).alias("lat"))
+    return joined.select("area_id", "classification", "row", "col", F.round(place.lon, 9).alias("lon"), F.round(place.lat, 9).alias("lat"))
 
 
 @query("image_size_check", framed_sql("towns", "pixels") + """SELECT p.area_id, p.classification, actual_w, actual_h, width AS expected_w, height AS expected_h,
@@ -255,7 +256,7 @@ def _shapefile(pdf: pd.DataFrame) -> pd.DataFrame:
         if row.parts is None:
             body = struct.pack("<i", 0)
         else:
-            rings = [ring_bytes(ring, i == 0) for part in row.parts for i, ring in enumerate(part)]
+            rings = [ring_bytes(ring, i == 0) for part in json.loads(row.parts) for i, ring in enumerate(part)]
             points = np.concatenate(rings)
             starts = np.cumsum([0] + [len(r) for r in rings[:-1]])
             box = (*points.min(axis=0), *points.max(axis=0))
@@ -276,7 +277,7 @@ def _shapefile(pdf: pd.DataFrame) -> pd.DataFrame:
   FROM (SELECT DISTINCT k, area_id FROM towns) i LEFT JOIN vx v USING (k) GROUP BY i.k, i.area_id""")
 def boundary_scan(spark, sf_dir):
     shapes = town_shapes(spark, sf_dir).select(
-        "area_id", "k", parse_polygon(F.col("geometry")).alias("parts"), F.floor(F.col("k") / RECORDS_PER_FILE).alias("file_no")
+        "area_id", "k", F.to_json(parse_polygon(F.col("geometry"))).alias("parts"), F.floor(F.col("k") / RECORDS_PER_FILE).alias("file_no")
     )
     files = shapes.groupBy("file_no").applyInPandas(_shapefile, "path string, content binary")
     scanned = join_records(

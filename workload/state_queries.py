@@ -24,7 +24,7 @@ SELECT CAST(CASE l_returnflag WHEN 'A' THEN 1 WHEN 'N' THEN 2 ELSE 3 END AS INT)
 FROM lineitem GROUP BY l_returnflag, l_suppkey"""
 INPUTS["requested"] = "SELECT area_id, classification, stage, count(*) AS n FROM ledger GROUP BY area_id, classification, stage"
 INPUTS["urls"] = """
-SELECT page_id, url || CASE page_id % 5 WHEN 0 THEN '&bbox=0,0,1,1&STYLES=&width=5' WHEN 1 THEN '&BBOX=1%2C2' WHEN 2 THEN '&ref=again&name=a+b'
+SELECT page_id, split_part(url, '#', 1) || CASE WHEN contains(url, '?') THEN '' ELSE '?x=1' END || CASE page_id % 5 WHEN 0 THEN '&bbox=0,0,1,1&STYLES=&width=5' WHEN 1 THEN '&BBOX=1%2C2' WHEN 2 THEN '&ref=again&name=a+b'
   WHEN 3 THEN '#part' ELSE '' END AS url
 FROM pages"""
 INPUTS["response_log"] = """
