@@ -82,13 +82,15 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float], keys:
     wanted = bounds.select(
         *group, "base", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("prob"), "size"
     ).withColumn("at", (F.col("size") - 1) * F.col("prob"))
-    spots = wanted.select(*group, "prob", "base", "at").withColumn("lo", F.floor("at")).withColumn("hi", F.ceil("at"))
+    spots = wanted.select(
+        *[F.col(k).alias(f"_{k}") for k in group], "prob", "base", "at", F.floor("at").alias("lo"), F.ceil("at").alias("hi")
+    )
     if not keys:
         spots = F.broadcast(spots)  # one row per column and quantile
     first, last = F.col("upto") - F.col("n") - F.col("base"), F.col("upto") - F.col("base") - 1
     touched = (first <= F.col("hi")) & (last >= F.col("lo"))
-    hits = upto.join(spots, reduce(and_, [upto[k].eqNullSafe(spots[k]) for k in group]) & touched).select(
-        *[spots[k] for k in group], "prob", "at",
+    hits = upto.join(spots, reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in group]) & touched).select(
+        *group, "prob", "at",
         F.when((first <= F.col("lo")) & (F.col("lo") <= last), F.col("value")).alias("v_lo"),
         F.when((first <= F.col("hi")) & (F.col("hi") <= last), F.col("value")).alias("v_hi"),
     )
