@@ -6,6 +6,8 @@ import math
 
 from pyspark.sql import Column, functions as F
 
+from fieldmosaic.functions.binding import let
+
 WGS84_A, WGS84_F = 6378137.0, 1 / 298.257223563
 WGS84_B = WGS84_A * (1 - WGS84_F)
 STEPS = 12  # the longitude series settles in 3-5 rounds away from antipodes
@@ -14,11 +16,6 @@ GRS80_A, GRS80_F = 6378137.0, 1 / 298.257222101
 TM_SCALE, TM_MERIDIAN, TM_EASTING = 0.9999, 121.0, 250000.0
 
 
-def _let(values: Column, body) -> Column:
-    """Evaluate a struct once and use its fields several times."""
-    return F.element_at(F.transform(F.array(values), body), 1)
-
-
 def _reduced(lat: Column) -> tuple[Column, Column]:
     u = F.atan((1 - WGS84_F) * F.tan(F.radians(lat)))
     return F.sin(u), F.cos(u)
@@ -65,12 +62,12 @@ def geodesic_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colum
 
     def solve(p: Column) -> Column:
         def step(lam: Column, _: Column) -> Column:
-            return _let(sphere(p, lam), lambda s: _let(angles(p, s), lambda q: next_lambda(p, q)))
+            return let(sphere(p, lam), lambda s: let(angles(p, s), lambda q: next_lambda(p, q)))
 
         settled = F.aggregate(F.sequence(F.lit(1), F.lit(STEPS)), p.dl, step)
-        return _let(sphere(p, settled), lambda s: _let(angles(p, s), arc))
+        return let(sphere(p, settled), lambda s: let(angles(p, s), arc))
 
-    return _let(start, solve)
+    return let(start, solve)
 
 
 def pixel_size(bbox: Column, resolution: float = 100) -> Column:
@@ -111,4 +108,4 @@ def plane_xy(lon: Column, lat: Column) -> Column:
         scale = TM_SCALE * radius
         return F.struct((TM_EASTING + scale * east).alias("x"), (scale * north).alias("y"))
 
-    return _let(base, series)
+    return let(base, series)

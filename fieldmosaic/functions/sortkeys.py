@@ -1,4 +1,7 @@
-"""Sort keys as columns: natural order, priority words, numbers, dates."""
+"""Sort keys as columns: natural order, priority words, numbers, dates.
+
+Every key is a plain column whose ascending order is the wanted one.
+"""
 
 from __future__ import annotations
 
@@ -36,7 +39,7 @@ def natural_key(text: Column) -> Column:
 
 
 def natural_order(text: Column) -> list[Column]:
-    return [natural_key(text).asc(), text.isNotNull().asc()]
+    return [natural_key(text), text.isNotNull()]
 
 
 def priority_key(text: Column) -> list[Column]:
@@ -45,25 +48,37 @@ def priority_key(text: Column) -> list[Column]:
     other = len(PRIORITY_WORDS)
     rank = F.coalesce(*[F.when(word == w, F.lit(n)) for w, n in PRIORITY_WORDS.items()], F.lit(other))
     shown = F.when(rank == other, F.coalesce(text, F.lit(""))).otherwise(F.lit(""))
-    return [rank.asc(), F.collate(shown, COLLATION).asc()]
+    return [rank, F.collate(shown, COLLATION)]
 
 
 def number_key(value: Column) -> list[Column]:
-    return [value.try_cast("double").asc_nulls_last()]
+    """Numbers in order, then what is not a number."""
+    number = value.try_cast("double")
+    return [number.isNull(), number]
 
 
 def date_key(value: Column) -> list[Column]:
-    """Unparsable and missing dates first."""
-    return [F.coalesce(parse_date(F.trim(value)), F.lit("0001-01-01").cast("date")).asc()]
+    """Dates in order; unparsable and missing ones count as the first day."""
+    return [parse_date(F.trim(value))]
 
 
 def sort_columns(keys: list, position: str) -> list[Column]:
-    """Order for [(column, kind)] with kind date_asc, text_asc or number_asc, ties by position."""
+    """Ascending keys for [(column, kind)] with kind date_asc, text_asc or number_asc, ties by position."""
     makers = {"date_asc": date_key, "text_asc": priority_key, "number_asc": number_key}
     order: list[Column] = []
     for name, kind in keys:
-        order += makers[kind](F.col(name)) if kind in makers else [F.col(name).asc()]
-    return order + [F.col(position).asc()]
+        order += makers[kind](F.col(name)) if kind in makers else [F.col(name)]
+    return [*order, F.col(position)]
+
+
+def sort_by_keys(df: DataFrame, keys: list[Column]) -> DataFrame:
+    """Rows in ascending order of computed keys; each key is computed once per row, not per comparison."""
+    names = [f"_k{i}" for i in range(len(keys))]
+    return df.withColumns(dict(zip(names, keys))).orderBy(*names).drop(*names)
+
+
+def natural_sort(df: DataFrame, column: str) -> DataFrame:
+    return sort_by_keys(df, natural_order(F.col(column)))
 
 
 def typed_sort(df: DataFrame, keys: list | str, position: str) -> DataFrame:
@@ -76,4 +91,4 @@ def typed_sort(df: DataFrame, keys: list | str, position: str) -> DataFrame:
             keys = json.loads(keys)
         except ValueError:
             return df.where(F.lit(False))
-    return df.orderBy(*sort_columns(keys, position)) if keys else df
+    return sort_by_keys(df, sort_columns(keys, position)) if keys else df

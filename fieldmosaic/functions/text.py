@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from fieldmosaic.functions.binding import let
+
 # Phrases cut from dataset titles, and the name limits of the store.
 TITLE_PHRASES = (" - 農業資料開放平臺", "農地空間圖")
 MAX_CHARS = 21
@@ -19,12 +21,11 @@ def strip_blank(text: Column) -> Column:
 
 
 def _cut(text: Column, max_bytes: Column) -> Column:
-    head = F.substring(text, 1, MAX_CHARS)
-    fitting = F.filter(
-        F.sequence(F.lit(0), F.lit(MAX_CHARS)),
-        lambda k: F.octet_length(F.substring(head, F.lit(1), k)) <= max_bytes,
-    )
-    return F.when(F.length(text) > MAX_CHARS, F.substring(head, F.lit(1), F.array_max(fitting))).otherwise(text)
+    def longest(head: Column) -> Column:
+        fits = lambda k: F.octet_length(F.substring(head, F.lit(1), k)) <= max_bytes
+        return F.substring(head, F.lit(1), F.array_max(F.filter(F.sequence(F.lit(0), F.lit(MAX_CHARS)), fits)))
+
+    return let(text, lambda t: F.when(F.length(t) > MAX_CHARS, let(F.substring(t, 1, MAX_CHARS), longest)).otherwise(t))
 
 
 def clean_table_name(title: Column) -> Column:
@@ -39,10 +40,15 @@ def clean_table_name(title: Column) -> Column:
 
 def short_filename(path: Column) -> Column:
     """Base name of a path; long stems are cut, the extension is kept."""
-    base = F.substring_index(path, "/", -1)
-    extension = F.regexp_extract(base, r"(?s)^\.*[^.].*(\.[^.]*)$", 1)
-    stem = F.substring(base, F.lit(1), F.length(base) - F.length(extension))
-    return F.concat(_cut(stem, F.lit(MAX_BYTES) - F.octet_length(extension)), extension)
+    def parts(base: Column) -> Column:
+        extension = F.regexp_extract(base, r"(?s)^\.*[^.].*(\.[^.]*)$", 1)
+        return F.struct(base.alias("base"), extension.alias("ext"))
+
+    def shorten(p: Column) -> Column:
+        stem = F.substring(p.base, F.lit(1), F.length(p.base) - F.length(p.ext))
+        return F.concat(_cut(stem, F.lit(MAX_BYTES) - F.octet_length(p.ext)), p.ext)
+
+    return let(let(F.substring_index(path, "/", -1), parts), shorten)
 
 
 def file_stem(name: Column) -> Column:

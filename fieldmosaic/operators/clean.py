@@ -6,7 +6,7 @@ as a few numbers and then applied as plain expressions, without joins.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from fieldmosaic.operators.ranking import exact_quantiles, global_rank
 
@@ -27,18 +27,17 @@ CLEANING_RULES = {"drop_all_null": drop_all_null, "drop_duplicates": drop_duplic
 
 def clean(df: DataFrame, rules: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """Cleaned rows and a report with one row per rule, in the order applied."""
-    spark, current, report = df.sparkSession, df, None
+    def size(step: int, rule: str, rows: DataFrame) -> DataFrame:
+        return rows.agg(F.count("*").alias("n_after")).select(F.lit(step).alias("step"), F.lit(rule).alias("rule"), "n_after")
+
+    current, sizes = df, size(0, "", df)
     for step, rule in enumerate(rules or ["drop_all_null"], start=1):
-        after = CLEANING_RULES[rule](current)
-        sizes = current.agg(F.count("*").alias("n_before"), F.lit(0).alias("k")).join(
-            F.broadcast(after.agg(F.count("*").alias("n_after"), F.lit(0).alias("k"))), "k"
-        )
-        line = sizes.select(
-            F.lit(step).alias("step"), F.lit(rule).alias("rule"), "n_before", "n_after",
-            (F.col("n_before") - F.col("n_after")).alias("rows_deleted"),
-        )
-        report = line if report is None else report.unionByName(line)
-        current = after
+        current = CLEANING_RULES[rule](current)
+        sizes = sizes.unionByName(size(step, rule, current))
+    steps = Window.orderBy("step")  # one row per rule
+    report = sizes.withColumn("n_before", F.lag("n_after").over(steps)).where("step > 0").select(
+        "step", "rule", "n_before", "n_after", (F.col("n_before") - F.col("n_after")).alias("rows_deleted")
+    )
     return current, report
 
 
@@ -128,7 +127,7 @@ def scale(df: DataFrame, columns: list[str], method: str = "standard") -> DataFr
 def encode_label(df: DataFrame, column: str, name: str | None = None) -> DataFrame:
     """Add the 0-based place of each value among the sorted distinct values; null stays null."""
     values = df.where(F.col(column).isNotNull()).select(column).distinct()
-    codes = global_rank(values, [F.col(column).asc()], "_code")
+    codes = global_rank(values, [F.col(column)], "_code")
     joined = df.join(codes, column, "left")
     return joined.withColumn(name or f"{column}_code", F.col("_code") - 1).drop("_code")
 

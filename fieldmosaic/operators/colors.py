@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from fieldmosaic.functions.text import process_string
+from fieldmosaic.runtime import local_table
 from fieldmosaic.schemas import COLOR_MAP
 from fieldmosaic.tables.color_values import legend_rows
 
 
 def color_map(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(legend_rows(), COLOR_MAP)
+    return local_table(spark, legend_rows(), COLOR_MAP)
 
 
 def color_key(b: Column, g: Column, r: Column) -> Column:

@@ -227,7 +227,7 @@ def crossing_rings(areas: DataFrame, keys: list[str]) -> DataFrame:
         F.when(up, F.col("x2")).otherwise(F.col("x1")).alias("xt"), F.greatest("y1", "y2").alias("yt"),
     ).where("yb < yt")
     heights = lines.select(*ring_key, F.col("yb").alias("h")).union(lines.select(*ring_key, F.col("yt"))).distinct()
-    levels = global_rank(heights, [*[F.col(k).asc() for k in ring_key], F.col("h").asc()], "slab")
+    levels = global_rank(heights, [*[F.col(k) for k in ring_key], F.col("h")], "slab")
     low = levels.withColumnsRenamed({"h": "yb", "slab": "s0"})
     high = levels.withColumnsRenamed({"h": "yt", "slab": "s1"})
     spread = (

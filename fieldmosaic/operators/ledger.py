@@ -11,19 +11,18 @@ from fieldmosaic.operators.records import last_per_key
 from fieldmosaic.schemas import LEDGER_KEY
 
 
-def upsert(
-    target: DataFrame, batch: DataFrame, keys: list[str], position: str, update: list[str] | None = None
-) -> DataFrame:
+def upsert(target: DataFrame, batch: DataFrame, keys: list[str], position: str) -> DataFrame:
     """Target after the batch is written row by row: keys it has are overwritten, others added.
 
     The last batch row of a key wins. Columns the batch lacks keep their stored value; a null in
-    the batch overwrites. If the batch has only key columns nothing is overwritten, and `update`
-    narrows what is. A null key never collides. One full outer join does it, whose keys are unique on both sides.
+    the batch overwrites. If the batch has only key columns nothing is overwritten. A null key
+    never collides, so such rows go around the join. What is left is one full outer join with
+    unique keys on both sides.
     """
     has_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    rows = last_per_key(batch.where(~has_null), keys, position).unionByName(batch.where(has_null)).drop(position)
+    rows = last_per_key(batch.where(~has_null), keys, position).drop(position)
     columns = target.columns + [c for c in rows.columns if c not in target.columns]
-    old = target.select(*[F.col(c).alias(f"_old_{c}") for c in target.columns], F.lit(True).alias("_stored"))
+    old = target.where(~has_null).select(*[F.col(c).alias(f"_old_{c}") for c in target.columns])
     new = rows.withColumn("_sent", F.lit(True))
     on = reduce(lambda a, b: a & b, [F.col(f"_old_{k}") == F.col(k) for k in keys])
 
@@ -32,30 +31,35 @@ def upsert(
             return F.col(f"_old_{name}").alias(name)
         if name not in target.columns:
             return F.col(name)
-        keep = F.col("_stored") if update is not None and name not in update else F.col("_sent").isNull()
-        return F.when(keep, F.col(f"_old_{name}")).otherwise(F.col(name)).alias(name)
+        return F.when(F.col("_sent"), F.col(name)).otherwise(F.col(f"_old_{name}")).alias(name)
 
-    return old.join(new, on, "full_outer").select(*[merged(c) for c in columns])
-
-
-def insert_ids(df: DataFrame, existing: DataFrame, id_column: str, order: list[str]) -> DataFrame:
-    """Number rows that have no id yet, continuing after the highest id in `existing`."""
-    top = existing.agg(F.coalesce(F.max(id_column), F.lit(0))).first()[0]
-    fresh = global_rank(df.where(F.col(id_column).isNull()), [F.col(c).asc() for c in order], "_rn")
-    numbered = fresh.withColumn(id_column, F.col("_rn") + F.lit(top)).drop("_rn")
-    return df.where(F.col(id_column).isNotNull()).unionByName(numbered)
+    joined = old.join(new, on, "full_outer").select(*[merged(c) for c in columns])
+    for aside in (target, batch.drop(position)):
+        joined = joined.unionByName(aside.where(has_null), allowMissingColumns=True)
+    return joined
 
 
 def log_results(ledger: DataFrame, results: DataFrame, position: str) -> DataFrame:
     """Ledger after logging results (ledger columns plus status); error and unchanged are skipped.
 
-    Known keys get the new file_path and time, new keys the next ids.
+    Known keys get the new file_path and time; new keys are numbered after the highest id in
+    the order of their key.
     """
     logged = results.where(~F.col("status").isin("error", "unchanged"))
-    batch = logged.select(*LEDGER_KEY, "area_level", "file_path", "recorded_at", position)
-    merged = upsert(ledger, batch, LEDGER_KEY, position, update=["file_path", "recorded_at"])
-    filled = merged.withColumn("layer_updated", F.coalesce("layer_updated", F.lit(False))).select(*ledger.columns)
-    return insert_ids(filled, ledger, "id", LEDGER_KEY)
+    batch = last_per_key(logged, LEDGER_KEY, position).select(*LEDGER_KEY, "area_level", "file_path", "recorded_at")
+    changes = batch.select(*LEDGER_KEY, F.col("file_path").alias("_path"), F.col("recorded_at").alias("_at"))
+    known = (
+        ledger.join(changes, LEDGER_KEY, "left")
+        .withColumn("file_path", F.coalesce("_path", "file_path"))
+        .withColumn("recorded_at", F.coalesce("_at", "recorded_at"))
+        .select(*ledger.columns)
+    )
+    top = ledger.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
+    fresh = batch.join(ledger.select(*LEDGER_KEY), LEDGER_KEY, "left_anti")
+    added = global_rank(fresh, [F.col(c) for c in LEDGER_KEY], "_rn").withColumns(
+        {"id": F.col("_rn") + F.lit(top), "layer_updated": F.lit(False)}
+    )
+    return known.unionByName(added.select(*ledger.columns))
 
 
 def log_outcome(status: Column) -> Column:

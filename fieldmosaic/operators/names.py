@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from fieldmosaic.functions.text import process_string, strip_blank
 from fieldmosaic.operators.records import last_per_key
+from fieldmosaic.runtime import local_table
 from fieldmosaic.tables.layer_values import CROP_PREFIX, CROP_SUFFIX, SOIL_PREFIX, SOIL_WORD, layer_rows
 
 VALID_NAME = "^[a-z0-9_]+$"
@@ -14,7 +15,7 @@ VALID_NAME = "^[a-z0-9_]+$"
 def static_layers(spark: SparkSession) -> DataFrame:
     """The known layers: name_zh, name_en, legend, in listed order."""
     rows = [(i, *row) for i, row in enumerate(layer_rows(), start=1)]
-    return spark.createDataFrame(rows, "layer_no int, name_zh string, name_en string, legend string")
+    return local_table(spark, rows, "layer_no int, name_zh string, name_en string, legend string")
 
 
 def legend_of(classification: Column) -> Column:

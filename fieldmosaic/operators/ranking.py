@@ -26,15 +26,19 @@ def _offsets(counts: dict[int, int | float]) -> tuple[list, int | float]:
 
 
 def global_rank(df: DataFrame, order: list[Column], name: str = "rn", total: str | None = None) -> DataFrame:
-    """Add the 1-based position of each row under `order`, and optionally the row count.
+    """Add the 1-based position of each row in ascending `order`, and optionally the row count.
 
-    One range shuffle; the sorted rows are written once so positions are stable. The order
-    should end in a unique column, else ties are numbered as they fall.
+    One range shuffle; the sorted rows are written once so positions are stable. The keys are
+    computed once per row. The order should end in a unique column, else ties are numbered as
+    they fall.
     """
+    keys = [f"_k{i}" for i in range(len(order))]
     placed = (
-        df.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
+        df.withColumns(dict(zip(keys, order)))
+        .repartitionByRange(*keys)
+        .sortWithinPartitions(*keys)
         .withColumn("_slot", F.monotonically_increasing_id())
+        .drop(*keys)
     )
     placed = materialize(placed)
     pid = F.shiftright("_slot", _ROW_BITS).cast("int")

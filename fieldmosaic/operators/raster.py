@@ -31,9 +31,13 @@ def white_background(pixels: DataFrame, image: list[str]) -> DataFrame:
     return pixels.groupBy(*image).agg(F.bool_or(is_white()).alias("has_white"))
 
 
-def apply_mask(pixels: DataFrame, areas: DataFrame, keys: list[str]) -> DataFrame:
-    """All pixels of the images; those outside their polygon become black (0, 0, 0)."""
-    flagged = with_inside(pixels, mask_blocks(areas, keys), keys)
+def apply_mask(pixels: DataFrame, areas: DataFrame, keys: list[str], mask: DataFrame | None = None) -> DataFrame:
+    """All pixels of the images; those outside their polygon become black (0, 0, 0).
+
+    A stored result of `mask_blocks` can be given as `mask`: it serves every layer of a
+    boundary version, and as a file its size is known when the join is planned.
+    """
+    flagged = with_inside(pixels, mask_blocks(areas, keys) if mask is None else mask, keys)
     zero = {c: F.when(F.col("inside"), F.col(c)).otherwise(F.lit(0).cast("smallint")) for c in "bgr"}
     return flagged.withColumns(zero)
 
@@ -41,7 +45,8 @@ def apply_mask(pixels: DataFrame, areas: DataFrame, keys: list[str]) -> DataFram
 def with_class(pixels: DataFrame, colors: DataFrame) -> DataFrame:
     """Pixels with legend layer, label and value of their colour; unknown colours keep a null label.
 
-    The legend is the small side; Spark broadcasts it after measuring it.
+    The built-in legend is a local relation and legend files have a known size, so Spark
+    broadcasts it while it is small and shuffles otherwise.
     """
     legend = colors.select(
         F.col("layer"), *[F.col(c).cast("smallint").alias(c) for c in "bgr"], "label", "value_num", "value_code", "value_vec"

@@ -56,7 +56,7 @@ def resilience(df: DataFrame, weights: dict[str, float], classes: int, position:
     for name, weight in weights.items():
         total = total + F.col(name) * F.lit(float(weight))
     scored = df.withColumn("sensitivity", total).withColumn("resilience", -F.col("sensitivity"))
-    return ntile(scored, [F.col("resilience").desc(), F.col(position).asc()], classes, "stability_class")
+    return ntile(scored, [F.col("sensitivity"), F.col(position)], classes, "stability_class")
 
 
 def effect_weights(model: LinearRegressionModel, features: list[str]) -> dict[str, float]:

@@ -32,10 +32,14 @@ def summarize(df: DataFrame, keys: list[str], strategy: dict[str, str | list[str
     return out
 
 
+def yearly_totals(df: DataFrame, keys: list[str], year: str, value: str) -> DataFrame:
+    return df.groupBy(*keys, year).agg(F.sum(value).alias(value))
+
+
 def yearly_mean(df: DataFrame, keys: list[str], year: str, value: str) -> DataFrame:
     """Mean over years of the yearly totals per key."""
-    yearly = df.groupBy(*keys, year).agg(F.sum(value).alias("_total"))
-    return yearly.groupBy(*keys).agg(F.avg("_total").alias(f"{value}_yearly_mean"), F.count("*").alias("n_years"))
+    yearly = yearly_totals(df, keys, year, value)
+    return yearly.groupBy(*keys).agg(F.avg(value).alias(f"{value}_yearly_mean"), F.count("*").alias("n_years"))
 
 
 def recent_years(df: DataFrame, keys: list[str], year: str, value: str, last: int) -> DataFrame:
@@ -43,7 +47,7 @@ def recent_years(df: DataFrame, keys: list[str], year: str, value: str, last: in
 
     Years are counted after the totals are formed, so a window holds one row per year.
     """
-    yearly = df.groupBy(*keys, year).agg(F.sum(value).alias(value))
+    yearly = yearly_totals(df, keys, year, value)
     window = Window.partitionBy(*keys).orderBy(F.col(year).desc())
     return yearly.withColumn("recency", F.row_number().over(window)).where(F.col("recency") <= last)
 
@@ -64,9 +68,12 @@ def join_features(features: DataFrame, stats: DataFrame, level: str, feature_key
 
 
 def moving_trend(df: DataFrame, key: str, year: str, value: str, half_width: int = 2) -> DataFrame:
-    """Add trend (centred moving average by position) and deviation ((value - trend) / trend)."""
+    """Yearly totals with trend (centred moving average by position) and deviation ((value - trend) / trend).
+
+    Totals come first, so the window of a key holds one row per year.
+    """
     window = Window.partitionBy(key).orderBy(year).rowsBetween(-half_width, half_width)
-    with_trend = df.withColumn("trend", F.avg(value).over(window))
+    with_trend = yearly_totals(df, [key], year, value).withColumn("trend", F.avg(value).over(window))
     return with_trend.withColumn("deviation", deviation(F.col(value), F.col("trend")))
 
 
@@ -79,7 +86,7 @@ def hp_trend(df: DataFrame, key: str, year: str, value: str, smoothing: float =
 
     Rows are first totalled per key and year, so a group handed to Python is one number per year.
     """
-    series = df.groupBy(key, year).agg(F.sum(value).alias(value))
+    series = yearly_totals(df, [key], year, value)
     fields = series.schema
     out = f"`{key}` {fields[key].dataType.simpleString()}, `{year}` {fields[year].dataType.simpleString()}, `{value}` double, trend double"
 
@@ -98,9 +105,9 @@ def hp_trend(df: DataFrame, key: str, year: str, value: str, smoothing: float =
 
 
 def yoy_difference(df: DataFrame, key: str, year: str, value: str) -> DataFrame:
-    """Difference to the row before in year order; null for the first."""
+    """Yearly totals with the difference to the year before in order; null for the first."""
     window = Window.partitionBy(key).orderBy(year)
-    return df.withColumn("yoy", F.col(value) - F.lag(value).over(window))
+    return yearly_totals(df, [key], year, value).withColumn("yoy", F.col(value) - F.lag(value).over(window))
 
 
 def recent_slope(df: DataFrame, keys: list[str], year: str, value: str, last: int = 5) -> DataFrame:

@@ -8,17 +8,17 @@ from fieldmosaic.functions.url import rewrite_query
 
 MAX_RETRIES = 3
 FIRST_WAIT = 5
-SPREAD = 32  # how many ways the areas are split when they meet the layers
 
 
 def layer_area_plan(layers: DataFrame, areas: DataFrame) -> DataFrame:
     """Every layer with every area.
 
-    Areas are spread over a fixed number of slots by hash and each layer is sent to all slots,
-    so the product is an ordinary equi-join whatever the sizes.
+    Areas are spread over slots by hash, one slot per shuffle partition, and each layer is sent
+    to all slots, so the product is an ordinary equi-join whatever the sizes.
     """
-    spread = areas.withColumn("_slot", F.pmod(F.xxhash64("area_id", "shp_version"), F.lit(SPREAD)))
-    copies = layers.withColumn("_slot", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1)).cast("array<bigint>")))
+    slots = int(areas.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = areas.withColumn("_slot", F.pmod(F.xxhash64("area_id", "shp_version"), F.lit(slots)))
+    copies = layers.withColumn("_slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1)).cast("array<bigint>")))
     return copies.join(spread, "_slot").drop("_slot")
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 LOCAL_CONF = {
@@ -48,6 +49,16 @@ def checkpoint_folder(spark: SparkSession) -> str:
     return folder
 
 
+def local_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A small in-code table as a local relation.
+
+    Spark knows its exact size, so a join with it is broadcast without a hint.
+    """
+    names = [field.split()[0] for field in schema.split(",")]
+    columns = {name: [row[i] for row in rows] for i, name in enumerate(names)}
+    return spark.createDataFrame(pa.table(columns), schema=schema)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write the rows to reliable storage once, so later readers see one result.
 

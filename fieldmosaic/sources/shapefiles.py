@@ -13,7 +13,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fieldmosaic.functions.sortkeys import natural_order
+from fieldmosaic.functions.sortkeys import natural_sort
 from fieldmosaic.functions.text import file_stem
 from fieldmosaic.operators.boundaries import sort_column
 
@@ -135,7 +135,7 @@ def read_boundary_file(spark: SparkSession, path: str) -> DataFrame:
     names = [row.k for row in _read(spark, dbf, "*").mapInPandas(_header_names, "k string").collect()]
     table = records.select(*[F.try_element_at("attributes", F.lit(n)).alias(n) for n in names], "geometry", "shp_version")
     order = sort_column(table.columns, name)
-    return table.orderBy(*natural_order(F.col(order))) if order else table
+    return natural_sort(table, order) if order else table
 
 
 def _header_names(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

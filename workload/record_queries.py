@@ -65,7 +65,7 @@ def pick_nth(spark, sf_dir):
     CASE WHEN count(*) OVER () <= 25 THEN count(*) OVER () WHEN count(*) OVER () <= 100 THEN 20 ELSE 50 END AS page_size
   FROM customer) c""")
 def paginate(spark, sf_dir):
-    order = [F.col("c_acctbal").asc(), F.col("c_custkey").asc()]
+    order = [F.col("c_acctbal"), F.col("c_custkey")]
     return records.paginate(load(spark, sf_dir, "customer"), order).select("c_custkey", "row_no", "page_size", "page")
 
 

@@ -127,7 +127,7 @@ def parse_mixed_dates(spark, sf_dir):
 @query("date_sort", ctes("mixed_dates", parsed=DATE_SQL) + "SELECT id, row_number() OVER (ORDER BY day, id) AS rn FROM parsed")
 def date_sort(spark, sf_dir):
     rows = load(spark, sf_dir, "mixed_dates").select("id", dates.parse_date(F.col("raw")).alias("day"))
-    return global_rank(rows, [F.col("day").asc(), F.col("id").asc()]).select("id", "rn")
+    return global_rank(rows, [F.col("day"), F.col("id")]).select("id", "rn")
 
 
 @query("natural_sort", ctes("labels_mixed") + r"""SELECT pos, name, row_number() OVER (ORDER BY
@@ -136,13 +136,13 @@ def date_sort(spark, sf_dir):
     regexp_extract(name, '^\D*\d*(\D*)', 1) AS t2, try_cast(regexp_extract(name, '^\D*\d*\D*(\d*)', 1) AS BIGINT) AS n2 FROM labels_mixed) k""")
 def natural_sort(spark, sf_dir):
     rows = load(spark, sf_dir, "labels_mixed")
-    order = [*sortkeys.natural_order(F.col("name")), F.col("pos").asc()]
+    order = [*sortkeys.natural_order(F.col("name")), F.col("pos")]
     return global_rank(rows, order).select("pos", "name", "rn")
 
 
 @query("priority_sort", ctes("words") + f"SELECT pos, word, row_number() OVER (ORDER BY {WORD_RANK}, pos) AS rn FROM words")
 def priority_sort(spark, sf_dir):
-    order = [*sortkeys.priority_key(F.col("word")), F.col("pos").asc()]
+    order = [*sortkeys.priority_key(F.col("word")), F.col("pos")]
     return global_rank(load(spark, sf_dir, "words"), order).select("pos", "word", "rn")
 
 
