@@ -72,7 +72,7 @@ def batch_gate(df: DataFrame) -> DataFrame:
 def accepted_batches(df: DataFrame) -> DataFrame:
     """Rows of the versions in which every row has an area id."""
     refused = df.where(is_missing(F.col("area_id"))).select("shp_version").distinct()
-    return df.join(refused, "shp_version", "left_anti")
+    return df.join(refused, "shp_version", "left_anti").select(*df.columns)
 
 
 def insert_new(target: DataFrame, batch: DataFrame, position: str, keys: list[str] | None = None) -> DataFrame:
@@ -89,7 +89,7 @@ def insert_new(target: DataFrame, batch: DataFrame, position: str, keys: list[st
 
 def new_versions(batch: DataFrame, stored: DataFrame) -> DataFrame:
     """Batch rows of versions nothing is stored of."""
-    return batch.join(stored.select("shp_version").distinct(), "shp_version", "left_anti")
+    return batch.join(stored.select("shp_version").distinct(), "shp_version", "left_anti").select(*batch.columns)
 
 
 def areas_by_level(areas: DataFrame, level: str | None = None) -> DataFrame:

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from fieldmosaic.functions.url import rewrite_query
+from fieldmosaic.functions.url import add_query, keep_query
 
 MAX_RETRIES = 3
 FIRST_WAIT = 5
@@ -22,16 +22,16 @@ def layer_area_plan(layers: DataFrame, areas: DataFrame) -> DataFrame:
     return copies.join(spread, "_slot").drop("_slot")
 
 
-def request_url(map_url: Column, box: Column, width: Column, height: Column) -> Column:
-    corners = F.concat_ws(",", *[box[c].cast("string") for c in ("minx", "miny", "maxx", "maxy")])
-    return rewrite_query(map_url, {"BBOX": corners, "WIDTH": width, "HEIGHT": height})
-
-
 def request_plan(layers: DataFrame, areas: DataFrame) -> DataFrame:
-    """One request per layer and area; areas carry box, width and height."""
-    plan = layer_area_plan(layers, areas)
-    url = request_url(F.col("map_url"), F.col("box"), F.col("width"), F.col("height"))
-    return plan.withColumn("request_url", url)
+    """One request per layer and area; areas carry box, width and height.
+
+    The part of a layer's URL that stays is worked out once per layer, before the product.
+    """
+    names = ["BBOX", "WIDTH", "HEIGHT"]
+    prepared = layers.withColumn("_kept", keep_query(F.col("map_url"), names))
+    corners = F.concat_ws(",", *[F.col(f"box.{c}").cast("string") for c in ("minx", "miny", "maxx", "maxy")])
+    url = add_query(F.col("_kept"), dict(zip(names, (corners, F.col("width"), F.col("height")))))
+    return layer_area_plan(prepared, areas).withColumn("request_url", url).drop("_kept")
 
 
 def response_triage(log: DataFrame) -> DataFrame:
