@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from fieldmosaic.functions.geodesy import pixel_size, plane_xy
 from fieldmosaic.functions.wkt import parse_polygon
 from fieldmosaic.operators.ranking import global_rank
+from fieldmosaic.runtime import spread
 
 BLOCK = 64  # pixels per mask word
 
@@ -60,7 +61,7 @@ def edges(areas: DataFrame, keys: list[str], parts: str = "parts") -> DataFrame:
 
 def with_frame(areas: DataFrame, resolution: float = 100) -> DataFrame:
     """Add parts, box, width and height to areas that carry WKT in `geometry`."""
-    framed = areas.withColumn("parts", parse_polygon(F.col("geometry"))).withColumn("box", bbox(F.col("parts")))
+    framed = spread(areas).withColumn("parts", parse_polygon(F.col("geometry"))).withColumn("box", bbox(F.col("parts")))
     size = pixel_size(F.col("box"), resolution)
     return framed.withColumn("_size", size).select("*", "_size.width", "_size.height").drop("_size")
 
@@ -81,7 +82,7 @@ def mask_blocks(areas: DataFrame, keys: list[str]) -> DataFrame:
     words, so the mask has at most one row per 64 pixels whatever the polygon looks like.
     """
     frame = ["_w", "_h", "_minx", "_maxy", "_dx", "_dy"]
-    framed = areas.where(F.col("parts").isNotNull()).select(
+    framed = spread(areas).where(F.col("parts").isNotNull()).select(
         *keys, "parts", F.col("width").alias("_w"), F.col("height").alias("_h"),
         F.col("box.minx").alias("_minx"), F.col("box.maxy").alias("_maxy"),
         (F.col("box.maxx") - F.col("box.minx")).alias("_dx"), (F.col("box.maxy") - F.col("box.miny")).alias("_dy"),

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from fieldmosaic.operators.ranking import global_rank
 from fieldmosaic.operators.records import last_per_key
+from fieldmosaic.runtime import materialize
 from fieldmosaic.schemas import LEDGER_KEY
 
 
@@ -43,10 +44,11 @@ def log_results(ledger: DataFrame, results: DataFrame, position: str) -> DataFra
     """Ledger after logging results (ledger columns plus status); error and unchanged are skipped.
 
     Known keys get the new file_path and time; new keys are numbered after the highest id in
-    the order of their key.
+    the order of their key. The results, reduced to one row per key, are written once because
+    both halves read them.
     """
     logged = results.where(~F.col("status").isin("error", "unchanged"))
-    batch = last_per_key(logged, LEDGER_KEY, position).select(*LEDGER_KEY, "area_level", "file_path", "recorded_at")
+    batch = materialize(last_per_key(logged, LEDGER_KEY, position).select(*LEDGER_KEY, "area_level", "file_path", "recorded_at"))
     changes = batch.select(*LEDGER_KEY, F.col("file_path").alias("_path"), F.col("recorded_at").alias("_at"))
     known = (
         ledger.join(changes, LEDGER_KEY, "left")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 
 from fieldmosaic.operators.clean import clean, encode_label, encode_onehot, handle_missing, scale
 from fieldmosaic.operators.stats import correlation, histogram, join_features, recent_slope, summarize
+from fieldmosaic.runtime import materialize
 
 MODES = ("full", "preprocess", "features")
 
@@ -28,9 +29,13 @@ class TrainingPlan:
 
 
 def preprocess(features: DataFrame, stats: DataFrame, plan: TrainingPlan) -> DataFrame:
-    """Clean and summarise the statistics, join them to the features, fill, encode, scale."""
+    """Clean and summarise the statistics, join them to the features, fill, encode, scale.
+
+    The joined table (one row per area) is written once: every fitted step after it reads the
+    table, not the detail rows.
+    """
     cleaned, _ = clean(stats, ["drop_all_null", "drop_duplicates"])
-    table = join_features(features, summarize(cleaned, plan.keys, plan.summary), plan.level)
+    table = materialize(join_features(features, summarize(cleaned, plan.keys, plan.summary), plan.level))
     if plan.missing:
         table = handle_missing(table, plan.missing)
     for column in plan.onehot:

@@ -59,6 +59,13 @@ def local_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFram
     return spark.createDataFrame(pa.table(columns), schema=schema)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal rows out evenly, for few rows that each take long (polygons come in one small file)."""
+    spark = df.sparkSession
+    tasks = min(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return df.repartition(max(tasks, 1))
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write the rows to reliable storage once, so later readers see one result.
 

@@ -6,7 +6,9 @@ from the same rows: Spark runs it on DataFrames, the oracle pastes it as a CTE.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+import re
+
+from pyspark.sql import DataFrame, SparkSession
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -86,25 +88,25 @@ def rings(k: str) -> list[tuple[str, int, int, list[tuple[int, int]]]]:
 
 def town_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spark only: area_id, k and the WKT text of every town (null for some)."""
-    cx, cy, r = *center("s_suppkey"), radius("s_suppkey")
-
-    def micro(v: Column) -> Column:
-        return F.concat(F.floor(v / 1e6).cast("string"), F.lit("."), F.lpad((v % 1000000).cast("string"), 6, "0"))
+    cx, cy, r = *center("k"), radius("k")
+    micro = lambda v: f"concat(CAST(floor({v} / 1e6) AS STRING), '.', lpad(CAST({v} % 1000000 AS STRING), 6, '0'))"
 
-    def ring_text(points: list[tuple[int, int]]) -> Column:
-        offsets = F.array(*[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x, y in points])
-        at = lambda p: F.concat_ws(" ", micro(F.expr(cx) + F.expr(r) * p.x), micro(F.expr(cy) + F.expr(r) * p.y))
-        return F.concat(F.lit("("), F.array_join(F.transform(offsets, at), ", "), F.lit(")"))
+    def ring_text(points: list[tuple[int, int]]) -> str:
+        xs, ys = (", ".join(str(p[i]) for p in points) for i in (0, 1))
+        spot = f"{micro(f'({cx} + {r} * dx)')} || ' ' || {micro(f'({cy} + {r} * array({ys})[i])')}"
+        return f"'(' || array_join(transform(array({xs}), (dx, i) -> {spot}), ', ') || ')'"
 
     texts = {}
     for place in ((0, 0), (0, 1), (1, 0)):
-        chosen = [(c, p) for c, part, ring, p in rings("s_suppkey") if (part, ring) == place]
-        texts[place] = F.coalesce(*[F.when(F.expr(c), ring_text(p)) for c, p in chosen])
-    first = F.concat(F.lit("("), F.concat_ws(", ", texts[(0, 0)], texts[(0, 1)]), F.lit(")"))
-    two = F.concat(F.lit("MULTIPOLYGON ("), F.concat_ws(", ", first, F.concat(F.lit("("), texts[(1, 0)], F.lit(")"))), F.lit(")"))
-    shape = F.when(F.expr("s_suppkey % 29 <> 3"), F.when(texts[(1, 0)].isNotNull(), two).otherwise(F.concat(F.lit("POLYGON "), first)))
-    return load(spark, sf_dir, "supplier").select(
-        F.expr(town_id("s_suppkey")).alias("area_id"), F.col("s_suppkey").alias("k"), shape.alias("geometry")
+        chosen = [(c, p) for c, part, ring, p in rings("k") if (part, ring) == place]
+        texts[place] = "CASE " + " ".join(f"WHEN {c} THEN {ring_text(p)}" for c, p in chosen) + " END"
+    return spark.sql(
+        f"""
+SELECT area_id, k, CASE WHEN k % 29 = 3 THEN NULL WHEN second IS NULL THEN 'POLYGON (' || concat_ws(', ', outer_ring, hole) || ')'
+  ELSE 'MULTIPOLYGON ((' || concat_ws(', ', outer_ring, hole) || '), (' || second || '))' END AS geometry
+FROM (SELECT area_id, k, {texts[(0, 0)]} AS outer_ring, {texts[(0, 1)]} AS hole, {texts[(1, 0)]} AS second
+  FROM (SELECT {town_id('s_suppkey')} AS area_id, s_suppkey AS k FROM {{supplier}}))""",
+        supplier=load(spark, sf_dir, "supplier"),
     )
 
 
@@ -268,6 +270,4 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def _as_argument(sql: str, name: str) -> str:
     """Table name after FROM or a comma as a DataFrame argument."""
-    import re
-
     return re.sub(rf"(FROM |, ){name}\b(?! AS)", rf"\g<1>{{{name}}}", sql)
