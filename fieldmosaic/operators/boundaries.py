@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from fieldmosaic.functions.dates import roc_digits_to_date, version_digits
 from fieldmosaic.functions.text import file_stem
@@ -24,6 +24,12 @@ def boundary_files(files: DataFrame, name: str = "file_name") -> DataFrame:
     return files.where(wanted).withColumn("shp_version", file_stem(F.col(name)))
 
 
+def list_boundary_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Boundary files of a folder; names only, no content is read."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.shp").load(folder)
+    return boundary_files(files.select(F.col("_metadata.file_name").alias("file_name")))
+
+
 def sort_column(columns: list[str], file_name: str) -> str | None:
     """Column to order a boundary file by: county files by COUNTYID, town files by TOWNID, others not."""
     lower = {c.lower() for c in columns}

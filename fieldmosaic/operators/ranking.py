@@ -16,13 +16,13 @@ from fieldmosaic.runtime import materialize
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number of a partition in its low bits
 
 
-def _offsets(counts: dict[int, int | float]) -> tuple[list, int | float]:
-    """Per partition the sum of all partitions before it, and the total."""
+def _offsets(counts: dict[int, int]) -> tuple[Column, int]:
+    """Array column with, per partition, the sum of all partitions before it; and the total."""
     starts, total = [], 0
-    for pid in range(max(counts, default=-1) + 1):
-        starts.append(total)
+    for pid in range(max(counts, default=0) + 1):
+        starts.append(f"{total}L")
         total += counts.get(pid, 0)
-    return starts or [0], total
+    return F.expr(f"array({', '.join(starts)})"), total
 
 
 def global_rank(df: DataFrame, order: list[Column], name: str = "rn", total: str | None = None) -> DataFrame:
@@ -45,8 +45,7 @@ def global_rank(df: DataFrame, order: list[Column], name: str = "rn", total: str
     counts = {row.p: row.n for row in placed.groupBy(pid.alias("p")).agg(F.count("*").alias("n")).collect()}
     starts, rows = _offsets(counts)
     within = F.col("_slot").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-    start = F.element_at(F.array(*[F.lit(s).cast("long") for s in starts]), pid + 1)
-    placed = placed.withColumn(name, start + within + 1)
+    placed = placed.withColumn(name, F.element_at(starts, pid + 1) + within + 1)
     if total:
         placed = placed.withColumn(total, F.lit(rows).cast("long"))
     return placed.drop("_slot")
@@ -58,7 +57,7 @@ def running_sum(df: DataFrame, order: list[str], value: str, name: str) -> DataF
     counts = {row._pid: row.n for row in placed.groupBy("_pid").agg(F.sum(value).alias("n")).collect()}
     starts, _ = _offsets(counts)
     window = Window.partitionBy("_pid").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    start = F.element_at(F.array(*[F.lit(s).cast("long") for s in starts]), F.col("_pid") + 1)
+    start = F.element_at(starts, F.col("_pid") + 1)
     return placed.withColumn(name, start + F.sum(value).over(window)).drop("_pid")
 
 

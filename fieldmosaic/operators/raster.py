@@ -88,16 +88,24 @@ def class_share(classes: DataFrame) -> DataFrame:
 
 
 def class_features(classes: DataFrame, colors: DataFrame) -> DataFrame:
-    """Wide features per area and version: mean class value, mean sand/silt/clay, share of every code.
+    """Physical features per area, version and layer: mean class value and mean sand, silt, clay."""
+    values = colors.select("layer", "label", "value_num", "value_vec").dropDuplicates(["layer", "label"])
+    joined = classes.withColumn("layer", legend_of(F.col("classification"))).join(values, ["layer", "label"], "left")
+    n = F.col("n_pixels")
 
-    Physical values come first, soil codes follow as shares; the columns are those of the legend.
-    """
-    values = colors.select("layer", "label", "value_num", "value_code", "value_vec").dropDuplicates(["layer", "label"])
+    def mean(value: Column) -> Column:
+        return F.try_divide(F.sum(n * value), F.sum(F.when(value.isNotNull(), n)))
+
+    textures = [mean(F.get("value_vec", F.lit(i))).alias(name) for i, name in enumerate(("sand", "silt", "clay"))]
+    return joined.groupBy("area_id", "shp_version", "classification").agg(
+        F.sum(n).alias("n_pixels"), mean(F.col("value_num")).alias("mean_value"), *textures
+    )
+
+
+def code_shares(classes: DataFrame, colors: DataFrame, codes: list[str]) -> DataFrame:
+    """Auxiliary features per area, version and layer: the pixel share of each named class code."""
+    values = colors.select("layer", "label", "value_code").dropDuplicates(["layer", "label"])
     joined = classes.withColumn("layer", legend_of(F.col("classification"))).join(values, ["layer", "label"], "left")
     n = F.col("n_pixels")
-    textures = [
-        (F.sum(n * F.get("value_vec", F.lit(i))) / F.sum(F.when(F.col("value_vec").isNotNull(), n))).alias(name)
-        for i, name in enumerate(("sand", "silt", "clay"))
-    ]
-    mean = (F.sum(n * F.col("value_num")) / F.sum(F.when(F.col("value_num").isNotNull(), n))).alias("mean_value")
-    return joined.groupBy("area_id", "shp_version", "classification").agg(F.sum(n).alias("n_pixels"), mean, *textures)
+    shares = [(F.sum(F.when(F.col("value_code") == c, n).otherwise(0)) / F.sum(n)).alias(f"share_{c}") for c in codes]
+    return joined.groupBy("area_id", "shp_version", "classification").agg(*shares)

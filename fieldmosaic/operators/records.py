@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F,
 
 from fieldmosaic.functions.text import sanitize_column, truncate_text
 from fieldmosaic.operators.ranking import global_rank
+from fieldmosaic.schemas import label_of, type_of
 
 TOP_ROWS = 10_000  # up to here the n-th row comes from a top-k, beyond it from a global position
 
@@ -68,6 +69,18 @@ def infer_labels(df: DataFrame, skip: tuple[str, ...] = ("foreign_key",)) -> Dat
     return df.agg(*[label(n) for n in names]).unpivot([], names, "column_name", "label")
 
 
+def schema_labels(df: DataFrame, skip: tuple[str, ...] = ("foreign_key",)) -> dict[str, str]:
+    """Storage label per column of a typed table."""
+    return {f.name: label_of(f.dataType, f.name) for f in df.schema.fields if f.name not in skip}
+
+
+def columns_ddl(labels: dict[str, str]) -> str:
+    """Schema text for labelled columns, names made safe; an unknown label is text."""
+    return ", ".join(
+        f"`{sanitize_column(name)}` {type_of(label).simpleString()}" for name, label in labels.items() if name != "foreign_key"
+    )
+
+
 def pick_nth(df: DataFrame, order: list[str], n: int) -> DataFrame:
     """The n-th row (from 1) under an ascending order; no row when n is out of range."""
     if n < 1:

@@ -12,7 +12,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from fieldmosaic.operators import colors, stats
+from fieldmosaic.operators import boundaries, colors, stats
 from fieldmosaic.plans import ingest, mapping
 from fieldmosaic.plans.training import TrainingPlan, run
 from fieldmosaic.runtime import checkpoint_folder
@@ -96,6 +96,8 @@ def test_boundary_files(spark, tmp_path):
     assert rows["A1"].geometry is None and rows["A10"].geometry.count("(") == 4 and rows["A2"].geometry.count("((") == 2
     table = shapefiles.read_boundary_file(spark, f"{folder}/TOWN_MOI_1140318.shp")
     assert "TOWNID" in table.columns and table.count() == 4
+    names = {r.file_name: r.shp_version for r in boundaries.list_boundary_files(spark, folder).collect()}
+    assert names == {"TOWN_MOI_1140318.shp": "TOWN_MOI_1140318", "COUNTY_notes.shp": "COUNTY_notes"}
 
 
 def test_ingest_twice_adds_nothing(spark, tmp_path):

@@ -176,3 +176,10 @@ def test_onehot_refuses_too_many(spark, monkeypatch):
         assert "categories" in str(error)
     else:
         raise AssertionError("four categories accepted")
+
+
+def test_labels_and_schema_text(spark):
+    rows = spark.createDataFrame([], "id long, size double, ok boolean, at timestamp, name string, geometry string, foreign_key string, tags array<string>")
+    labels = records.schema_labels(rows)
+    assert labels == {"id": "integer", "size": "float", "ok": "boolean", "at": "datetime", "name": "text", "geometry": "geometry", "tags": "json"}
+    assert records.columns_ddl({"a b": "integer", "c.d-e": "float", "x": "unheard", "foreign_key": "text"}) == "`a_b` bigint, `c_d_e` double, `x` string"

@@ -79,6 +79,27 @@ def class_features(spark, sf_dir):
     return wide.select("area_id", "shp_version", "classification", "n_pixels", F.round("mean_value", 6).alias("mean_value"))
 
 
+# The six layers of the pixel input have no coded class, so this query reads two of them as coded soil maps.
+RELAYERED = """SELECT * REPLACE (CASE classification WHEN 'soil_survey_ph' THEN 'soil_survey_soil_properties'
+  WHEN 'soil_survey_drainage' THEN 'soil_survey_lime_and_salinity' ELSE classification END AS classification) FROM pixels"""
+CODES = ["SP13", "SCSA1"]
+
+
+@query("code_shares", ctes("pixels", coded=RELAYERED, classes=CLASSES.replace("FROM pixels)", "FROM coded)")) + """SELECT area_id, shp_version, classification,
+  round(sum(CASE WHEN value_code = 'SP13' THEN n_pixels ELSE 0 END) / sum(n_pixels), 6) AS share_SP13,
+  round(sum(CASE WHEN value_code = 'SCSA1' THEN n_pixels ELSE 0 END) / sum(n_pixels), 6) AS share_SCSA1 FROM (
+    SELECT *, CASE WHEN classification = 'soil_survey_soil_properties' AND label = 'recent_alluvium' THEN 'SP13'
+      WHEN classification = 'soil_survey_lime_and_salinity' AND label = 'calcareous' THEN 'SCSA1' END AS value_code FROM classes) c
+  GROUP BY area_id, shp_version, classification""")
+def code_shares(spark, sf_dir):
+    legend, layer = colors.color_map(spark), F.col("classification")
+    coded = load(spark, sf_dir, "pixels").withColumn(
+        "classification", F.when(layer == "soil_survey_ph", "soil_survey_soil_properties")
+        .when(layer == "soil_survey_drainage", "soil_survey_lime_and_salinity").otherwise(layer))
+    out = raster.code_shares(raster.quantify_classes(coded, legend), legend, CODES)
+    return out.withColumns({f"share_{c}": F.round(f"share_{c}", 6) for c in CODES})
+
+
 @query("distinct_colors", ctes("pixels") + "SELECT DISTINCT b, g, r FROM pixels WHERE b < 254 OR g < 254 OR r < 254")
 def distinct_colors(spark, sf_dir):
     return raster.distinct_colors(load(spark, sf_dir, "pixels"))
