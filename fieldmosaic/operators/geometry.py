@@ -1,11 +1,14 @@
 """Polygon tables: boxes, edges, scanline masks, areas and ring checks.
 
 A polygon is one nested value per row (parts > rings > points). Everything that grows with
-the raster is a table of edges, spans or 64-pixel blocks that joins on equal keys.
+the raster is a table of edges or column spans that joins on equal keys.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from fieldmosaic.functions.geodesy import pixel_size, plane_xy
@@ -13,7 +16,7 @@ from fieldmosaic.functions.wkt import parse_polygon
 from fieldmosaic.operators.ranking import global_rank
 from fieldmosaic.runtime import spread
 
-BLOCK = 64  # pixels per mask word
+BLOCK = 1024  # pixel columns per mask block
 
 
 def bbox(parts: Column) -> Column:
@@ -73,13 +76,15 @@ def pixel_lonlat(box: Column, width: Column, height: Column, row: Column, col: C
     return F.struct(lon.alias("lon"), lat.alias("lat"))
 
 
-def mask_blocks(areas: DataFrame, keys: list[str]) -> DataFrame:
-    """Inside pixels of each area as 64-bit words: keys, row, block, bits.
+def mask_spans(areas: DataFrame, keys: list[str]) -> DataFrame:
+    """Inside pixels of each area as column spans: keys, row, block, c0, c1 (inclusive).
 
     Needs parts, box, width and height. A pixel is inside where a ray to the right of its
     centre crosses the rings of any one part an odd number of times. Edges are cut into the
-    pixel rows they cross, crossings of a row pair up into column spans, and spans become
-    words, so the mask has at most one row per 64 pixels whatever the polygon looks like.
+    pixel rows they cross and crossings of a row pair up into spans; spans of overlapping parts
+    are merged and cut at block borders. All of it happens behind one shuffle on (keys, row).
+    The spans of a block are apart from each other, so a pixel meets at most one of them and
+    a block holds at most BLOCK / 2, whatever the polygon looks like.
     """
     frame = ["_w", "_h", "_minx", "_maxy", "_dx", "_dy"]
     framed = spread(areas).where(F.col("parts").isNotNull()).select(
@@ -104,7 +109,8 @@ def mask_blocks(areas: DataFrame, keys: list[str]) -> DataFrame:
     )
     along = Window.partitionBy(*keys, "part", "row").orderBy("x")
     spans = (
-        crossings.withColumn("_n", F.row_number().over(along))
+        crossings.repartition(*keys, "row")
+        .withColumn("_n", F.row_number().over(along))
         .withColumn("_to", F.lead("x").over(along))
         .where("_n % 2 = 1 and _to is not null")
         .select(
@@ -114,25 +120,29 @@ def mask_blocks(areas: DataFrame, keys: list[str]) -> DataFrame:
         )
         .where("c0 <= c1")
     )
-    words = spans.withColumn("block", F.explode(F.sequence(F.floor(F.col("c0") / BLOCK), F.floor(F.col("c1") / BLOCK))))
-    first = F.greatest(F.col("c0") - F.col("block") * BLOCK, F.lit(0)).cast("int")
-    last = F.least(F.col("c1") - F.col("block") * BLOCK, F.lit(BLOCK - 1)).cast("int")
-    upto_last = F.expr(f"shiftrightunsigned(-1L, {BLOCK - 1} - _last)")
-    from_first = F.expr("shiftleft(-1L, _first)")
-    return (
-        words.withColumn("_first", first).withColumn("_last", last)
-        .select(*keys, "row", F.col("block").cast("int").alias("block"), upto_last.bitwiseAND(from_first).alias("_bits"))
-        .groupBy(*keys, "row", "block")
-        .agg(F.bit_or("_bits").alias("bits"))
+    across = Window.partitionBy(*keys, "row").orderBy("c0", "c1")
+    reach = F.max("c1").over(across.rowsBetween(Window.unboundedPreceding, -1))
+    starts = F.coalesce((F.col("c0") > F.col("_reach") + 1).cast("int"), F.lit(1))
+    merged = (
+        spans.withColumn("_reach", reach)
+        .withColumn("_island", F.sum(starts).over(across))
+        .groupBy(*keys, "row", "_island")
+        .agg(F.min("c0").alias("c0"), F.max("c1").alias("c1"))
+    )
+    place = lambda c: F.floor(F.col(c) / BLOCK).cast("int")
+    cut = merged.withColumn("block", F.explode(F.sequence(place("c0"), place("c1"))))
+    return cut.select(
+        *keys, "row", "block",
+        F.greatest("c0", F.col("block") * BLOCK).alias("c0"), F.least("c1", (F.col("block") + 1) * BLOCK - 1).alias("c1"),
     )
 
 
 def with_inside(pixels: DataFrame, mask: DataFrame, keys: list[str]) -> DataFrame:
-    """Pixels with a flag `inside`; one equi-join on area, row and 64-pixel block."""
-    keyed = pixels.withColumn("block", F.floor(F.col("col") / BLOCK).cast("int"))
-    joined = keyed.join(mask, [*keys, "row", "block"], "left")
-    bit = F.expr(f"shiftrightunsigned(bits, col % {BLOCK}) & 1L")
-    return joined.withColumn("inside", F.coalesce(bit == 1, F.lit(False))).select(*pixels.columns, "inside")
+    """Pixels with a flag `inside`; one equi-join on area, row and column block."""
+    spans = mask.withColumnsRenamed({c: f"_{c}" for c in [*keys, "row", "block", "c0", "c1"]})
+    same = [F.col(k) == F.col(f"_{k}") for k in [*keys, "row"]]
+    on = reduce(and_, [*same, F.floor(F.col("col") / BLOCK).cast("int") == F.col("_block"), F.col("col").between(F.col("_c0"), F.col("_c1"))])
+    return pixels.join(spans, on, "left").select(*[pixels[c] for c in pixels.columns], F.col("_c0").isNotNull().alias("inside"))
 
 
 def polygon_area(parts: Column) -> Column:

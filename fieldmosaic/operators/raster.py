@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from fieldmosaic.operators.geometry import mask_blocks, with_inside
+from fieldmosaic.operators.geometry import mask_spans, with_inside
 from fieldmosaic.operators.names import legend_of
 
 WHITE = 254  # a pixel whose three channels all reach this counts as white background
@@ -34,10 +34,10 @@ def white_background(pixels: DataFrame, image: list[str]) -> DataFrame:
 def apply_mask(pixels: DataFrame, areas: DataFrame, keys: list[str], mask: DataFrame | None = None) -> DataFrame:
     """All pixels of the images; those outside their polygon become black (0, 0, 0).
 
-    A stored result of `mask_blocks` can be given as `mask`: it serves every layer of a
+    A stored result of `mask_spans` can be given as `mask`: it serves every layer of a
     boundary version, and as a file its size is known when the join is planned.
     """
-    flagged = with_inside(pixels, mask_blocks(areas, keys) if mask is None else mask, keys)
+    flagged = with_inside(pixels, mask_spans(areas, keys) if mask is None else mask, keys)
     zero = {c: F.when(F.col("inside"), F.col(c)).otherwise(F.lit(0).cast("smallint")) for c in "bgr"}
     return flagged.withColumns(zero)
 
@@ -58,15 +58,18 @@ def quantify_classes(pixels: DataFrame, colors: DataFrame, resolution: float = 1
     """Pixels and area per area, version, layer and class label.
 
     Background (white, or black as left by the mask) is not counted; two colours of one label
-    count together; colours the legend lacks are counted as one class of their own. Counting
-    is combined in every task before the only shuffle, so one area holding most pixels is no
-    heavier than the rest.
+    count together; colours the legend lacks are counted as one class of their own.
+
+    Pixels are first counted per colour, in every task before the shuffle, so one area holding
+    most pixels is no heavier than the rest and the legend only meets one row per colour and
+    image.
     """
     black = (F.col("b") == 0) & (F.col("g") == 0) & (F.col("r") == 0)
-    classed = with_class(pixels.where(~is_white() & ~black), colors)
-    counts = classed.groupBy(
-        "area_id", "shp_version", "classification", F.coalesce("label", F.lit(UNMAPPED)).alias("label")
-    ).agg(F.count("*").alias("n_pixels"))
+    image = ["area_id", "shp_version", "classification"]
+    counted = pixels.where(~is_white() & ~black).groupBy(*image, "b", "g", "r").agg(F.count("*").alias("n"))
+    counts = with_class(counted, colors).groupBy(*image, F.coalesce("label", F.lit(UNMAPPED)).alias("label")).agg(
+        F.sum("n").alias("n_pixels")
+    )
     return counts.withColumn("area_m2", F.col("n_pixels") * float(resolution * resolution))
 
 

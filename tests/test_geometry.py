@@ -61,14 +61,15 @@ def brute_inside(parts, box, row, col) -> bool:
     return False
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_mask_equals_point_in_polygon(spark, seed):
+@pytest.mark.parametrize("seed, block", [(1, 1024), (2, 32)])
+def test_mask_equals_point_in_polygon(spark, monkeypatch, seed, block):
+    monkeypatch.setattr(geometry, "BLOCK", block)
     shapes = polygons(seed, 6)
     areas = frame(spark, shapes)
     boxes = {r.area_id: tuple(r.box) for r in areas.select("area_id", "box").collect()}
     grid = spark.range(W * H).select((F.col("id") / W).cast("int").alias("row"), (F.col("id") % W).cast("int").alias("col"))
     pixels = areas.select("area_id", F.explode(F.sequence(F.lit(0), F.lit(0))).alias("_")).drop("_").join(grid, F.lit(True))
-    got = geometry.with_inside(pixels, geometry.mask_blocks(areas, ["area_id"]), ["area_id"]).collect()
+    got = geometry.with_inside(pixels, geometry.mask_spans(areas, ["area_id"]), ["area_id"]).collect()
     by_area = dict(shapes)
     assert len(got) == W * H * len(shapes)
     wrong = [r for r in got if r.inside != brute_inside(by_area[r.area_id], boxes[r.area_id], r.row, r.col)]
@@ -83,7 +84,7 @@ def test_mask_fills_black_and_keeps_size(spark):
     assert len(out) == 9
     assert {(r.row, r.col) for r in out if r.inside} == {(0, 0), (0, 1), (1, 0), (1, 1)}
     assert all((r.b, r.g, r.r) == ((1, 254, 3) if r.inside else (0, 0, 0)) for r in out)
-    stored = geometry.mask_blocks(areas, ["area_id"])
+    stored = geometry.mask_spans(areas, ["area_id"])
     assert sorted(map(tuple, raster.apply_mask(pixels, areas, ["area_id"], stored).collect())) == sorted(map(tuple, out))
 
 
