@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from fieldmosaic.functions.geodesy import pixel_size, plane_xy
 from fieldmosaic.functions.wkt import parse_polygon
 from fieldmosaic.operators.ranking import global_rank
-from fieldmosaic.runtime import spread
+from fieldmosaic.runtime import materialize, spread
 
 BLOCK = 1024  # pixel columns per mask block
 
@@ -228,7 +228,7 @@ def crossing_rings(areas: DataFrame, keys: list[str]) -> DataFrame:
     """
     ring_key = [*keys, "part", "ring"]
     tilt = lambda x, y: y + SHEAR * x
-    lines = edges(areas, keys).select(
+    lines = edges(spread(areas), keys).select(
         *ring_key, "x1", "x2", tilt(F.col("x1"), F.col("y1")).alias("y1"), tilt(F.col("x2"), F.col("y2")).alias("y2")
     )
     up = F.col("y1") <= F.col("y2")
@@ -237,18 +237,19 @@ def crossing_rings(areas: DataFrame, keys: list[str]) -> DataFrame:
         F.when(up, F.col("x1")).otherwise(F.col("x2")).alias("xb"), F.least("y1", "y2").alias("yb"),
         F.when(up, F.col("x2")).otherwise(F.col("x1")).alias("xt"), F.greatest("y1", "y2").alias("yt"),
     ).where("yb < yt")
+    lines = materialize(lines)  # read four times below
     heights = lines.select(*ring_key, F.col("yb").alias("h")).union(lines.select(*ring_key, F.col("yt"))).distinct()
     levels = global_rank(heights, [*[F.col(k) for k in ring_key], F.col("h")], "slab")
     low = levels.withColumnsRenamed({"h": "yb", "slab": "s0"})
     high = levels.withColumnsRenamed({"h": "yt", "slab": "s1"})
-    spread = (
+    crossed = (
         lines.join(low, [*ring_key, "yb"]).join(high, [*ring_key, "yt"])
         .withColumn("slab", F.explode(F.sequence(F.col("s0"), F.col("s1") - 1)))
     )
     floors = levels.select(*ring_key, "slab", F.col("h").alias("y0"))
     ceilings = levels.select(*ring_key, (F.col("slab") - 1).alias("slab"), F.col("h").alias("y1"))
     at = lambda y: F.col("xb") + (F.col(y) - F.col("yb")) * (F.col("xt") - F.col("xb")) / (F.col("yt") - F.col("yb"))
-    cut = spread.join(floors, [*ring_key, "slab"]).join(ceilings, [*ring_key, "slab"]).select(
+    cut = crossed.join(floors, [*ring_key, "slab"]).join(ceilings, [*ring_key, "slab"]).select(
         *ring_key, "slab",
         F.when(F.col("y0") == F.col("yb"), F.col("xb")).otherwise(at("y0")).alias("lo"),
         F.when(F.col("y1") == F.col("yt"), F.col("xt")).otherwise(at("y1")).alias("hi"),
