@@ -9,6 +9,7 @@ from fieldmosaic.operators.geometry import image_size_check, polygon_area, with_
 from fieldmosaic.operators.ledger import resume_plan
 from fieldmosaic.operators.raster import quantify_mask
 from fieldmosaic.operators.wms import request_plan
+from fieldmosaic.runtime import materialize
 
 
 def requests(
@@ -26,8 +27,11 @@ def requests(
 
 
 def classify(pixels: DataFrame, areas: DataFrame, colors: DataFrame, keys: list[str], resolution: float = 100, tolerance: int = 0) -> DataFrame:
-    """Class counts and areas inside each polygon, for images whose size fits their area."""
-    framed = with_frame(areas, resolution).withColumn("polygon_m2", polygon_area(F.col("parts")))
+    """Class counts and areas inside each polygon, for images whose size fits their area.
+
+    The parsed polygons (one row per area) are written once; size check, mask and area read them.
+    """
+    framed = materialize(with_frame(areas, resolution).withColumn("polygon_m2", polygon_area(F.col("parts"))))
     image = [*keys, "classification"]
     fits = image_size_check(pixels, framed, image, keys, tolerance).where("accepted").select(*image)
     usable = pixels.join(fits, image, "left_semi")

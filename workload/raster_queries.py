@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from fieldmosaic.functions.wkt import parse_polygon
 from fieldmosaic.operators import colors, geometry, raster
+from fieldmosaic.runtime import materialize
 from fieldmosaic.sources.images import image_pixels
 from fieldmosaic.sources.shapefiles import attribute_records, join_records, shape_records
 from fieldmosaic.tables.color_values import legend_rows
@@ -187,7 +188,7 @@ def polygon_area(spark, sf_dir):
   classes=CLASSES.replace("FROM pixels)", "FROM kept)")) + """SELECT c.*, CAST(round(n_pixels / sum(n_pixels) OVER (PARTITION BY area_id, shp_version, classification) * m2) AS BIGINT) AS class_m2
   FROM classes c JOIN ids USING (area_id) JOIN size USING (k)""".replace("SELECT c.*", "SELECT c.area_id, c.shp_version, c.classification, c.label, c.n_pixels"))
 def quantify_mask(spark, sf_dir):
-    areas = grid_areas(spark, sf_dir).withColumn("polygon_m2", geometry.polygon_area(F.col("parts")))
+    areas = materialize(grid_areas(spark, sf_dir).withColumn("polygon_m2", geometry.polygon_area(F.col("parts"))))
     out = raster.quantify_mask(load(spark, sf_dir, "pixels"), colors.color_map(spark), areas, ["area_id"])
     return out.select("area_id", "shp_version", "classification", "label", "n_pixels", F.round("class_m2").cast("long").alias("class_m2"))
 
