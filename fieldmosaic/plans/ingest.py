@@ -26,10 +26,13 @@ def areas_from_records(records: DataFrame) -> DataFrame:
 
 
 def ingest(target: DataFrame, batch: DataFrame, position: str = "record") -> DataFrame:
-    """Target plus the areas of versions it does not know yet; a version with a nameless row is refused."""
+    """Target plus the areas of versions it does not know yet; a version with a nameless row is refused.
+
+    Columns only the batch has are added to the target, null for the rows already stored.
+    """
     fresh = accepted_batches(without_split_town(new_versions(batch, target)))
     stamped = ensure_columns(fresh, [c for c in target.columns if c != "created_at"]).withColumn("created_at", F.current_timestamp())
-    return insert_new(target, stamped.select(*[c for c in target.columns], position), position)
+    return insert_new(target, stamped, position)
 
 
 def ingest_folder(spark: SparkSession, folder: str, target: DataFrame) -> DataFrame:

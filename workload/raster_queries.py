@@ -17,7 +17,7 @@ from fieldmosaic.sources.images import image_pixels
 from fieldmosaic.sources.shapefiles import attribute_records, join_records, shape_records
 from fieldmosaic.tables.color_values import legend_rows
 from fieldmosaic.tables.layer_values import CROP_PREFIX, layer_rows
-from workload.inputs import INPUTS, ctes, load, town_shapes, town_version, vertex_sql
+from workload.inputs import ctes, load, town_shapes, vertex_sql
 from workload.registry import query
 from workload.state_queries import BOXES, framed_sql
 
