@@ -37,9 +37,9 @@ def identified(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
 
 
 def row_key(doc_id: Column, text: Column) -> Column:
-    """128 bits of id and text, as text."""
+    """Hashes of id and text, of 128 bits together, as text; the part after the colon belongs to the text alone."""
     tagged = F.coalesce(doc_id.cast("string"), F.lit("null"))
-    return F.concat_ws(":", F.hex(F.xxhash64(tagged, text)), F.hex(F.xxhash64(text, F.lit(1), tagged)))
+    return F.concat_ws(":", F.hex(F.xxhash64(tagged, text)), F.hex(F.xxhash64(text, F.lit(1))))
 
 
 def held_out(doc_id: Column, modulus: int, remainder: int) -> Column:

@@ -208,7 +208,12 @@ def _sets(batches):
 
 
 def similar_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per row of `docs`: id, class_id, class_size, n_links.
+    """`similar_classes` without keys: id, class_id, class_size, n_links."""
+    return similar_classes(docs, doc_id, text).drop("_key", "class")
+
+
+def similar_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per row of `docs`: _key, id, class (its name), class_id, class_size, n_links.
 
     The class is the connected component of the links, named by its least id; its size counts
     rows; n_links is the number of other rows at similarity 0.8 or more, copies included. A text
@@ -242,8 +247,8 @@ def similar_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     named = reps.select("rep", "copies", "least").join(classes, "rep", "left").join(counts, "rep", "left").withColumn("class", F.coalesce("class", "rep"))
     named = stored(named, "named")
     heads = named.groupBy("class").agg(F.min("least").alias("class_id"), F.sum("copies").alias("class_size"))
-    wide = stored(named.join(heads, "class").select("rep", "class_id", "class_size", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "classes")
-    return sketch.select(F.col("_id").alias("id"), "rep").join(wide, "rep").select("id", "class_id", "class_size", "n_links")
+    wide = stored(named.join(heads, "class").select("rep", "class", "class_id", "class_size", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "classes")
+    return sketch.select("_key", F.col("_id").alias("id"), "rep").join(wide, "rep").drop("rep")
 
 
 SQL = r"""

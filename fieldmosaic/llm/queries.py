@@ -3,8 +3,13 @@
 from fieldmosaic.llm import (  # noqa: F401
     decontaminate,
     exact_dedup,
+    language,
     line_dedup,
     ngram_join,
+    pieces,
+    quality,
+    quotations,
+    sanitize,
     url_filter,
 )
 from fieldmosaic.llm.registry import ORACLES, QUERIES  # noqa: F401
