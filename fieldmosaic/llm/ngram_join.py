@@ -30,6 +30,7 @@ BANDS, ROWS = 24, 3
 TOLERANCE = 1e-9
 STEP = 12  # MinHash values compared between two looks at the posterior
 BLOCK = 1024  # texts in a block of a bucket
+SMALL = 64  # groups up to this size are compared together with others of their size
 VERIFY_BLOCK, VERIFY_BYTES = 512, 4 << 20  # texts and bytes of sets in a block of a component
 
 
@@ -140,19 +141,66 @@ def _halves(group: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, bool]:
     return left, left if lo == hi else np.flatnonzero(own == hi), lo == hi
 
 
-def _prune(group: pd.DataFrame) -> pd.DataFrame:
+def _agreeing(sigs: np.ndarray, i: np.ndarray, j: np.ndarray, looks) -> tuple[np.ndarray, np.ndarray]:
+    """Those of the given index pairs that no look drops."""
+    kept, done, hits = np.arange(len(i)), 0, np.zeros(len(i), np.int32)
+    for n, need in looks:
+        for at in range(0, len(kept), 100_000):
+            cut = kept[at : at + 100_000]
+            hits[cut] += (sigs[i[cut], done:n] == sigs[j[cut], done:n]).sum(axis=1)
+        kept, done = kept[hits[kept] >= need], n
+    return i[kept], j[kept]
+
+
+def _prune_groups(frame: pd.DataFrame) -> pd.DataFrame:
+    """Spanning edges of many whole groups that lie one after the other; small groups of a size go together."""
     looks = least_agreement()
-    group = group.sort_values("rep", ignore_index=True)
-    sigs = np.stack([np.frombuffer(s, np.uint32) for s in group["sig"]])
-    left, right, same = _halves(group)
-    pairs = []
-    if len(left) and len(right):
-        i, j = surviving(sigs[left], sigs[right], looks)
-        i, j = left[i], right[j]
-        keep = i < j if same else i != j
-        pairs = spanning(len(group), i[keep], j[keep])
-    reps = group["rep"].tolist()
-    return pd.DataFrame([(reps[u], reps[v]) for u, v in pairs], columns=["u", "v"])
+    sigs = np.frombuffer(b"".join(frame["sig"]), np.uint32).reshape(len(frame), -1)
+    mine = frame["mine"].to_numpy()
+    starts, sizes = _runs(frame)
+    found = []
+    for size in np.unique(sizes):
+        at = starts[sizes == size]
+        if size <= SMALL:
+            i, j = np.triu_indices(size, 1)
+            i, j = (at[:, None] + i).ravel(), (at[:, None] + j).ravel()
+            across = (frame["lo"].to_numpy()[i] == frame["hi"].to_numpy()[i]) | (mine[i] != mine[j])
+            found.append(_agreeing(sigs, i[across], j[across], looks))
+            continue
+        for start in at.tolist():
+            left, right, same = _halves(frame.iloc[start : start + size])
+            if len(left) and len(right):
+                i, j = surviving(sigs[start + left], sigs[start + right], looks)
+                i, j = start + left[i], start + right[j]
+                keep = i < j if same else np.ones(len(i), bool)
+                edges = spanning(size, i[keep] - start, j[keep] - start)
+                found.append((np.array([u + start for u, _ in edges], int), np.array([v + start for _, v in edges], int)))
+    i, j = (np.concatenate([f[k] for f in found]) if found else np.empty(0, int) for k in (0, 1))
+    reps = frame["rep"].to_numpy()
+    edges = np.array(spanning(len(frame), i, j), int).reshape(-1, 2)
+    return pd.DataFrame({"u": reps[edges[:, 0]], "v": reps[edges[:, 1]]})
+
+
+def _runs(frame: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and sizes of the runs of rows with one bucket and pair of blocks."""
+    keys = frame[["bucket", "lo", "hi"]].to_numpy()
+    starts = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]).any(axis=1)]))
+    return starts, np.diff(np.append(starts, len(frame)))
+
+
+def _prune(batches):
+    """Groups come sorted; the last one of a batch may go on in the next."""
+    rest = None
+    for batch in batches:
+        frame = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
+        if not len(frame):
+            continue
+        last = int(_runs(frame)[0][-1])
+        rest = frame.iloc[last:].reset_index(drop=True)
+        if last:
+            yield _prune_groups(frame.iloc[:last].reset_index(drop=True))
+    if rest is not None:
+        yield _prune_groups(rest)
 
 
 def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -232,7 +280,8 @@ def similar_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     crowded = stored(crowded, "buckets")
     members = banded.join(crowded, "bucket", "left_semi")
     members = stored(_block_pairs(crowded, members, "bucket"), "members").join(worded.select("rep", "sig"), "rep")
-    hopeful = stored(members.groupBy("bucket", "lo", "hi").applyInPandas(_prune, "u string, v string").distinct(), "hopeful")
+    dealt = members.repartition("bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi")
+    hopeful = stored(dealt.mapInPandas(_prune, "u string, v string").distinct(), "hopeful")
     near = components(hopeful).toDF("rep", "pool")
 
     pooled = stored(near.join(worded.select("rep", "sig", "home", "copies"), "rep"), "pooled")
