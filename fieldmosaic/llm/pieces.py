@@ -31,11 +31,12 @@ from fieldmosaic.llm.common import documents, identified, stored
 from fieldmosaic.llm.registry import query
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-CHUNK = 4096  # characters
+CHUNK = 1 << 14  # characters; texts of two chunks or more are split
 FAN = 64  # chunks or blocks in a block
 BLANK = "▁"
 NEG = float("-inf")
-WORDS_KEPT = 400_000
+WORDS_KEPT = 150_000  # in the cache of a worker
+SLICE = 200  # rows whose ids a worker holds at a time
 WORD = re.compile(f"{BLANK}+[^{BLANK}]*|[^{BLANK}]+")
 MATRIX = "array<array<double>>"
 
@@ -294,11 +295,17 @@ def boundary_states(long: DataFrame, model: str = MODEL, chunk: int = CHUNK) ->
     return states
 
 
+def _sliced(batches):
+    for batch in batches:
+        for at in range(0, len(batch), SLICE):
+            yield batch.iloc[at : at + SLICE]
+
+
 def _short(model: str):
     def run(batches):
         p = pieces(model)
-        for batch in batches:
-            yield pd.DataFrame({"_key": batch["_key"], "_id": batch["_id"], "ids": [p.whole_words(written(t)) for t in batch["_text"]]})
+        for batch in _sliced(batches):
+            yield pd.DataFrame({"_key": batch["_key"], "_id": batch["_id"], "ids": [np.array(p.whole_words(written(t)), np.int32) for t in batch["_text"]]})
 
     return run
 
@@ -316,8 +323,8 @@ def _chunks(model: str, chunk: int):
 def _backtrace(model: str):
     def run(batches):
         p = pieces(model)
-        for batch in batches:
-            ids = [Chunk(p, c, lead, size, first, last).encode(i, o) for c, lead, size, first, last, i, o in zip(*(batch[x] for x in ("context", "lead", "size", "first", "last", "in", "out")))]
+        for batch in _sliced(batches):
+            ids = [np.array(Chunk(p, c, lead, size, first, last).encode(i, o), np.int32) for c, lead, size, first, last, i, o in zip(*(batch[x] for x in ("context", "lead", "size", "first", "last", "in", "out")))]
             yield pd.DataFrame({"_key": batch["_key"], "no": batch["no"], "ids": ids})
 
     return run
