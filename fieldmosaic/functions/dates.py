@@ -12,7 +12,7 @@ UNPARSABLE = "0001-01-01"
 
 
 def roc_to_ad(year: Column) -> Column:
-    return year.try_cast("int") + F.lit(ROC_OFFSET)
+    return F.try_add(year.try_cast("int"), F.lit(ROC_OFFSET))
 
 
 def roc_digits_to_date(digits: Column) -> Column:

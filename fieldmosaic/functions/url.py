@@ -16,7 +16,7 @@ def keep_query(url: Column, replaced: list[str]) -> Column:
     """struct<head, kept, fragment>: the URL without the parameters that get new values.
 
     Names match in any case. Parameters with an empty value are dropped, repeated ones keep
-    all their values in the place of the first.
+    all their values in the place of the first. Text that is no valid percent-encoding is taken as it is.
     """
     fragment = F.regexp_extract(url, r"(#.*)$", 1)
     plain = F.regexp_replace(url, r"#.*$", "")
@@ -27,7 +27,7 @@ def keep_query(url: Column, replaced: list[str]) -> Column:
     def pair(text: Column) -> Column:
         name = F.substring_index(text, "=", 1)
         value = F.substring(text, F.length(name) + 2, F.length(text))
-        return F.struct(F.try_url_decode(name).alias("k"), F.try_url_decode(value).alias("v"))
+        return F.struct(F.coalesce(F.try_url_decode(name), name).alias("k"), F.coalesce(F.try_url_decode(value), value).alias("v"))
 
     def regroup(kept: Column) -> Column:
         names = F.array_distinct(F.transform(kept, lambda p: p.k))

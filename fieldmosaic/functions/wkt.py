@@ -11,12 +11,34 @@ def _inner(text: Column) -> Column:
 
 def _point(text: Column) -> Column:
     xy = F.split(F.trim(text), r"\s+")
-    return F.struct(F.element_at(xy, 1).cast("double").alias("x"), F.element_at(xy, 2).cast("double").alias("y"))
+    return F.struct(F.try_element_at(xy, F.lit(1)).try_cast("double").alias("x"), F.try_element_at(xy, F.lit(2)).try_cast("double").alias("y"))
 
 
 def parse_polygon(wkt: Column) -> Column:
-    """array<part: array<ring: array<struct<x,y>>>>; a single polygon becomes one part."""
-    body = _inner(F.regexp_replace(wkt, r"^\s*[A-Za-z]+\s*", ""))
+    """array<part: array<ring: array<struct<x,y>>>>; a single polygon becomes one part.
+
+    Z and M values are left out. Text that is empty, EMPTY, no polygon or has a point that is no
+    pair of numbers gives null; `wkt_problem` says which.
+    """
+    return F.when(wkt_problem(wkt).isNull(), _parse(wkt))
+
+
+def wkt_problem(wkt: Column) -> Column:
+    """Why a text is no usable polygon: missing, empty, not a polygon, bad coordinates; null if it is one."""
+    number = r"[-+]?(\d+\.?\d*|\.\d+)([eE][-+]?\d+)?"
+    point = rf"\s*{number}(\s+{number}){{1,3}}\s*"
+    coordinates = F.regexp_replace(wkt, r"^\s*[A-Za-z]+(\s+[ZzMm]{1,2})?|[()]", "")
+    broken = F.exists(F.split(coordinates, ","), lambda p: ~F.rlike(p, F.lit(f"^{point}$")))
+    return (
+        F.when(wkt.isNull() | (F.trim(wkt) == ""), "missing")
+        .when(F.rlike(wkt, F.lit(r"(?i)^\s*(multi)?polygon(\s+[zm]{1,2})?\s+empty\s*$")), "empty")
+        .when(~F.rlike(wkt, F.lit(r"(?i)^\s*(multi)?polygon(\s+[zm]{1,2})?\s*\(")), "not a polygon")
+        .when(broken, "bad coordinates")
+    )
+
+
+def _parse(wkt: Column) -> Column:
+    body = _inner(F.regexp_replace(wkt, r"^\s*[A-Za-z]+(\s+[ZzMm]{1,2})?\s*", ""))
     parts = F.split(body, r"\)\s*\)\s*,\s*\(\s*\(")
     return F.transform(
         parts,

@@ -123,14 +123,15 @@ def areas_of_version(areas: DataFrame, version: str) -> DataFrame:
 
 
 def backfill_county_name(areas: DataFrame) -> DataFrame:
-    """Towns without county name take the one of their county row; the last by area id names a county.
+    """Towns without county name take the one of their county row; the last by area id and version names a county.
 
     Only a null is filled, an empty text stays. Names are reduced to one per county before the
     join, which therefore never multiplies rows; a small side is broadcast on its measured size
     and a county full of towns is split as a skewed join partition.
     """
     named = areas.where("area_level = 'county' and COUNTYENG is not null and COUNTYENG != ''")
-    names = named.groupBy("COUNTYID").agg(F.max_by("COUNTYENG", "area_id").alias("_county_name"))
+    order = F.struct(*[c for c in ("area_id", "shp_version", "COUNTYENG") if c in areas.columns])
+    names = named.groupBy("COUNTYID").agg(F.max_by("COUNTYENG", order).alias("_county_name"))
     fill = (F.col("area_level") == "town") & F.col("COUNTYENG").isNull()
     return (
         areas.join(names, "COUNTYID", "left")

@@ -10,7 +10,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from fieldmosaic.operators.ranking import exact_quantiles, global_rank
 
-MAX_CATEGORIES = 1000
+
+def known(df: DataFrame, column: str) -> Column:
+    """The value of a column with NaN as null: both count as missing."""
+    kind = df.schema[column].dataType.typeName()
+    return F.when(~F.isnan(F.col(column)), F.col(column)) if kind in ("double", "float") else F.col(column)
 
 
 def drop_all_null(df: DataFrame) -> DataFrame:
@@ -90,13 +94,14 @@ def outlier_iqr(df: DataFrame, column: str, factor: float = 1.5) -> DataFrame:
     if low is None:
         return df.withColumn("is_outlier", F.lit(None).cast("boolean"))
     spread = high - low
-    outside = (F.col(column) < low - factor * spread) | (F.col(column) > high + factor * spread)
+    value = known(df, column)
+    outside = (value < low - factor * spread) | (value > high + factor * spread)
     return df.withColumn("is_outlier", outside)
 
 
 def moments(df: DataFrame, columns: list[str]) -> dict[str, tuple]:
     """(mean, population std, min, max) per column in one pass."""
-    aggs = [f(c).alias(f"{tag}_{i}") for i, c in enumerate(columns)
+    aggs = [f(known(df, c)).alias(f"{tag}_{i}") for i, c in enumerate(columns)
             for tag, f in (("a", F.avg), ("s", F.stddev_pop), ("l", F.min), ("h", F.max))]
     row = df.agg(*aggs).first()
     return {c: tuple(row[f"{tag}_{i}"] for tag in "aslh") for i, c in enumerate(columns)}
@@ -105,12 +110,13 @@ def moments(df: DataFrame, columns: list[str]) -> dict[str, tuple]:
 def outlier_zscore(df: DataFrame, column: str, limit: float = 3.0) -> DataFrame:
     """Add `is_outlier` for values more than `limit` population deviations off the mean."""
     mean, std, _, _ = moments(df, [column])[column]
-    score = F.try_divide(F.abs(F.col(column) - F.lit(mean)), F.lit(std))
-    return df.withColumn("is_outlier", F.coalesce(score > limit, F.when(F.col(column).isNotNull(), F.lit(False))))
+    value = known(df, column)
+    score = F.try_divide(F.abs(value - F.lit(mean)), F.lit(std))
+    return df.withColumn("is_outlier", F.coalesce(score > limit, F.when(value.isNotNull(), F.lit(False))))
 
 
 def scale(df: DataFrame, columns: list[str], method: str = "standard") -> DataFrame:
-    """Standard (zero mean, unit population deviation) or min-max scaled; constant columns become 0."""
+    """Standard (zero mean, unit population deviation) or min-max scaled; constant columns become 0, missing values null."""
     if method not in ("standard", "minmax"):
         raise ValueError(f"unknown method {method}")
     fitted = moments(df, columns)
@@ -120,7 +126,7 @@ def scale(df: DataFrame, columns: list[str], method: str = "standard") -> DataFr
         if mean is None:
             continue
         base, width = (mean, std) if method == "standard" else (low, high - low)
-        scaled[c] = (F.col(c) - F.lit(float(base))) / F.lit(float(width) or 1.0)
+        scaled[c] = (known(df, c) - F.lit(float(base))) / F.lit(float(width) or 1.0)
     return df.withColumns(scaled)
 
 
@@ -135,12 +141,16 @@ def encode_label(df: DataFrame, column: str, name: str | None = None) -> DataFra
 def encode_onehot(df: DataFrame, column: str, categories: list | None = None) -> DataFrame:
     """Replace a column by one 0/1 column per category.
 
-    The categories become column names, so more than MAX_CATEGORIES is refused, never cut.
+    The categories become column names: the result has as many columns as they are. For columns
+    with many values, `encode_sparse` needs neither their list nor a column each.
     """
     if categories is None:
-        found = df.where(F.col(column).isNotNull()).select(column).distinct().limit(MAX_CATEGORIES + 1).collect()
-        if len(found) > MAX_CATEGORIES:
-            raise ValueError(f"{column} has over {MAX_CATEGORIES} categories; use encode_label")
+        found = df.where(F.col(column).isNotNull()).select(column).distinct().collect()
         categories = sorted(row[0] for row in found)
     flags = {f"{column}_{c}": F.coalesce((F.col(column) == c).cast("int"), F.lit(0)) for c in categories}
     return df.withColumns(flags).drop(column)
+
+
+def encode_sparse(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """One-hot encoding as rows (key, column, category) of the ones; zeros and nulls have no row."""
+    return df.select(key, *[F.col(c).cast("string").alias(c) for c in columns]).unpivot([key], columns, "column", "category").where(F.col("category").isNotNull())

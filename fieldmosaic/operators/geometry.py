@@ -138,11 +138,15 @@ def mask_spans(areas: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def with_inside(pixels: DataFrame, mask: DataFrame, keys: list[str]) -> DataFrame:
-    """Pixels with a flag `inside`; one equi-join on area, row and column block."""
+    """Pixels with a flag `inside`; one equi-join on area, row and column block.
+
+    The planner's estimate of a mask ignores that polygons unfold into rows of spans, so the join
+    is asked to shuffle: a mask grows with areas times raster rows and must never be broadcast.
+    """
     spans = mask.withColumnsRenamed({c: f"_{c}" for c in [*keys, "row", "block", "c0", "c1"]})
     same = [F.col(k) == F.col(f"_{k}") for k in [*keys, "row"]]
     on = reduce(and_, [*same, F.floor(F.col("col") / BLOCK).cast("int") == F.col("_block"), F.col("col").between(F.col("_c0"), F.col("_c1"))])
-    return pixels.join(spans, on, "left").select(*[pixels[c] for c in pixels.columns], F.col("_c0").isNotNull().alias("inside"))
+    return pixels.join(spans.hint("shuffle_merge"), on, "left").select(*[pixels[c] for c in pixels.columns], F.col("_c0").isNotNull().alias("inside"))
 
 
 def polygon_area(parts: Column) -> Column:

@@ -10,9 +10,6 @@ from fieldmosaic.functions.text import sanitize_column, truncate_text
 from fieldmosaic.operators.ranking import global_rank
 from fieldmosaic.schemas import label_of, type_of
 
-TOP_ROWS = 10_000  # up to here the n-th row comes from a top-k, beyond it from a global position
-
-
 def one_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """First row per key under `order`; Spark prunes each task to one row per key before the shuffle."""
     window = Window.partitionBy(*keys).orderBy(*order)
@@ -82,11 +79,12 @@ def columns_ddl(labels: dict[str, str]) -> str:
 
 
 def pick_nth(df: DataFrame, order: list[str], n: int) -> DataFrame:
-    """The n-th row (from 1) under an ascending order; no row when n is out of range."""
+    """The n-th row (from 1) under an ascending order; no row when n is out of range.
+
+    The order should end in a unique column, else any of the rows that tie at n may be taken.
+    """
     if n < 1:
         return df.limit(0)
-    if n <= TOP_ROWS:
-        return df.orderBy(*order).offset(n - 1).limit(1)
     return global_rank(df, [F.col(c) for c in order], "_nth").where(F.col("_nth") == n).drop("_nth")
 
 
@@ -121,6 +119,8 @@ def table_counts(tables: dict[str, DataFrame | None]) -> DataFrame:
         return None if df is None else df.agg(F.count("*").cast("string").alias("n")).select(F.lit(name).alias("table_name"), "n")
 
     known = [one(name, df) for name, df in tables.items() if df is not None]
+    if not known:
+        return SparkSession.active().createDataFrame([(name, "0") for name in tables], "table_name string, n string")
     out = reduce(DataFrame.unionByName, known)
     absent = [name for name, df in tables.items() if df is None]
     if absent:

@@ -12,9 +12,12 @@ from fieldmosaic.operators.ranking import ntile
 def align_targets(targets: DataFrame, towns: DataFrame, signals: DataFrame, county: str = "county_id") -> DataFrame:
     """County targets per year spread to all towns of the county with their yearly signals.
 
-    Targets are one row per county and year, signals one per town and year.
+    Targets are one row per county and year, signals one per town and year. A town without
+    signals gets a row for every year of its county's targets.
     """
-    yearly = towns.join(signals, "town_id")
+    wanted = towns.select("town_id", county).join(targets.select(county, "year"), county)
+    years = wanted.unionByName(towns.select("town_id", county).join(signals.select("town_id", "year"), "town_id")).distinct()
+    yearly = years.join(towns.drop(county), "town_id").join(signals, ["town_id", "year"], "left")
     return yearly.join(targets, [county, "year"], "left")
 
 
@@ -50,13 +53,15 @@ def fit_effects(df: DataFrame, county: str, target: str, features: list[str]) ->
 def resilience(df: DataFrame, weights: dict[str, float], classes: int, position: str) -> DataFrame:
     """Sensitivity (weighted sum of features), resilience (its negative) and stability class 1..classes.
 
-    Class 1 is the most resilient.
+    Class 1 is the most resilient; a row without score has no class and is not ranked.
     """
     total = F.lit(0.0)
     for name, weight in weights.items():
         total = total + F.col(name) * F.lit(float(weight))
     scored = df.withColumn("sensitivity", total).withColumn("resilience", -F.col("sensitivity"))
-    return ntile(scored, [F.col("sensitivity"), F.col(position)], classes, "stability_class")
+    unknown = F.col("sensitivity").isNull() | F.isnan("sensitivity")
+    ranked = ntile(scored.where(~unknown), [F.col("sensitivity"), F.col(position)], classes, "stability_class")
+    return ranked.unionByName(scored.where(unknown).withColumn("stability_class", F.lit(None).cast("int")))
 
 
 def effect_weights(model: LinearRegressionModel, features: list[str]) -> dict[str, float]:

@@ -8,7 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from fieldmosaic.operators.clean import moments
+from fieldmosaic.operators.clean import known, moments
 from fieldmosaic.operators.ranking import exact_quantiles
 
 AGGREGATES = {"sum": F.sum, "mean": F.avg, "min": F.min, "max": F.max, "count": F.count, "std": F.stddev_samp}
@@ -135,8 +135,9 @@ def histogram(df: DataFrame, column: str, bins: int = 10) -> DataFrame:
         return df.sparkSession.createDataFrame([], "bin int, n long, low double, high double")
     low, high = float(low), float(high)
     width = (high - low) / bins or 1.0
-    place = F.least(F.floor((F.col(column) - low) / width), F.lit(bins - 1)).cast("int")
-    counts = df.where(F.col(column).isNotNull()).groupBy(place.alias("bin")).agg(F.count("*").alias("n"))
+    value = known(df, column)
+    place = F.least(F.floor((value - low) / width), F.lit(bins - 1)).cast("int")
+    counts = df.where(value.isNotNull()).groupBy(place.alias("bin")).agg(F.count("*").alias("n"))
     frame = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
     return frame.join(counts, "bin", "left").select(
         "bin", F.coalesce("n", F.lit(0).cast("long")).alias("n"),
@@ -147,7 +148,7 @@ def histogram(df: DataFrame, column: str, bins: int = 10) -> DataFrame:
 def correlation(df: DataFrame, columns: list[str]) -> DataFrame:
     """Correlation matrix as (x, y, corr) rows, all pairs from one pass."""
     pairs = list(combinations_with_replacement(columns, 2))
-    row = df.agg(*[F.corr(x, y).alias(f"c{i}") for i, (x, y) in enumerate(pairs)])
+    row = df.agg(*[F.corr(known(df, x), known(df, y)).alias(f"c{i}") for i, (x, y) in enumerate(pairs)])
     entries = []
     for i, (x, y) in enumerate(pairs):
         for a, b in {(x, y), (y, x)}:

@@ -20,7 +20,8 @@ def requests(
 
     `layers` has layer_no, name_en and map_url.
     """
-    chosen = with_region_name(backfill_county_name(areas_of_version(areas, version) if version else areas))
+    named = backfill_county_name(areas)  # over all versions: a county may carry another stamp than its towns
+    chosen = with_region_name(areas_of_version(named, version) if version else named)
     framed = with_frame(chosen.where("reject_reason is null"), resolution)
     plan = request_plan(layers, framed)
     return resume_plan(plan, *done) if done else plan

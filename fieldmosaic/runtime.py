@@ -62,8 +62,7 @@ def local_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFram
 def spread(df: DataFrame) -> DataFrame:
     """Deal rows out evenly, for few rows that each take long (polygons come in one small file)."""
     spark = df.sparkSession
-    tasks = min(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    return df.repartition(max(tasks, 1))
+    return df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 def materialize(df: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import duckdb
 import pytest
 
@@ -11,6 +13,7 @@ from workload.inputs import TABLES
 
 SF_DIR = "/root/testdata/sf0.001"
 ROWS_ONLY = {"detrend_hp"}  # a linear solve per series
+LLM = re.compile(r"op\d+_|pipeline$")  # tested with their subpackage
 TOO_SMALL = {"effect_model"}  # nothing to fit at this scale: Spark gives 0, DuckDB NaN
 
 
@@ -23,16 +26,16 @@ def db():
 
 
 def test_only_known_queries_lack_sql():
-    assert set(contract.queries()) - set(contract.oracle_sql()) == ROWS_ONLY
+    assert {q for q in set(contract.queries()) - set(contract.oracle_sql()) if not LLM.match(q)} == ROWS_ONLY
 
 
 def test_entry(spark):
     assert contract.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(q for q in contract.queries() if not LLM.match(q)))
 def test_query(spark, db, name):
-    verdict, _ = compare(spark, db, name, SF_DIR)
     if name in TOO_SMALL:
-        return
+        pytest.skip("nothing to fit on so few rows")
+    verdict, _ = compare(spark, db, name, SF_DIR)
     assert verdict.startswith("rows only" if name in ROWS_ONLY else "ok"), verdict

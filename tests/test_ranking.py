@@ -78,6 +78,5 @@ def test_pick_nth(spark):
     assert records.pick_nth(df, ["v"], 0).collect() == [] and records.pick_nth(df, ["v"], 101).collect() == []
 
 
-def test_pick_nth_beyond_top_k(spark, monkeypatch):
-    monkeypatch.setattr(records, "TOP_ROWS", 10)
+def test_pick_nth_far_in(spark):
     assert [r.id for r in records.pick_nth(spark.range(500), ["id"], 321).collect()] == [320]

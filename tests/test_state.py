@@ -6,7 +6,8 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from fieldmosaic.operators import boundaries, clean, ledger, names, quality, records, wms
+from fieldmosaic.functions import dates, url, wkt
+from fieldmosaic.operators import boundaries, clean, geometry, ledger, names, quality, records, resilience, stats, wms
 
 LEDGER = "id long, area_id string, area_level string, classification string, shp_version string, stage string, file_path string, layer_updated boolean, recorded_at date"
 DAY, LATER = dt.date(2025, 3, 18), dt.date(2025, 4, 1)
@@ -167,17 +168,51 @@ def test_cleaning_edges(spark):
     assert {r.v for r in clean.scale(flat, ["v"], "minmax").collect()} == {0.0, None}
 
 
-def test_onehot_refuses_too_many(spark, monkeypatch):
-    monkeypatch.setattr(clean, "MAX_CATEGORIES", 3)
-    rows = spark.range(4).select(F.col("id").cast("string").alias("c"))
-    try:
-        clean.encode_onehot(rows, "c")
-    except ValueError as error:
-        assert "categories" in str(error)
-    else:
-        raise AssertionError("four categories accepted")
+def test_onehot_has_no_cap_and_a_sparse_form(spark):
+    rows = spark.range(1200).select(F.col("id").cast("string").alias("c"), "id")
+    assert len(clean.encode_onehot(rows, "c").columns) == 1201
+    assert clean.encode_sparse(rows, "id", ["c"]).count() == 1200
 
 
+def test_nan_is_missing(spark):
+    df = spark.createDataFrame([(1.0,), (2.0,), (float("nan"),), (None,), (4.0,)], "v double")
+    assert [r.v for r in clean.scale(df, ["v"], "minmax").collect()] == [0.0, 1 / 3, None, None, 1.0]
+    for flag in (clean.outlier_zscore, clean.outlier_iqr):
+        assert [r.is_outlier for r in flag(df, "v").collect()] == [False, False, None, None, False]
+    assert sum(r.n for r in stats.histogram(df, "v").collect()) == 3
+    assert [r["corr"] for r in stats.correlation(df, ["v"]).collect()] == [1.0]
+
+
+def test_missing_score_has_no_class(spark):
+    df = spark.createDataFrame([(1, 1.0), (2, None), (3, 2.0)], "id int, f double")
+    got = {r.id: r.stability_class for r in resilience.resilience(df, {"f": 1.0}, 2, "id").collect()}
+    assert got == {1: 1, 2: None, 3: 2}
+
+
+def test_towns_without_signals_stay(spark):
+    towns = spark.createDataFrame([("t1", "c"), ("t2", "c")], "town_id string, county_id string")
+    signals = spark.createDataFrame([("t1", 2001, 5.0)], "town_id string, year int, rain_total double")
+    targets = spark.createDataFrame([("c", 2001, 7.0)], "county_id string, year int, yield double")
+    got = sorted((r.town_id, r.year, r.rain_total, r["yield"]) for r in resilience.align_targets(targets, towns, signals).collect())
+    assert got == [("t1", 2001, 5.0, 7.0), ("t2", 2001, None, 7.0)]
+
+
+def test_odd_inputs_do_not_fail_the_job(spark):
+    texts = ["POLYGON EMPTY", "", "POINT (1 2)", "POLYGON ((a b))", None, "POLYGON Z ((0 0 5, 1 0 5, 1 1 5, 0 0 5))", "POLYGON ((0 0, 1 0, 1 1, 0 0))"]
+    df = spark.createDataFrame([(t,) for t in texts], "w string").select(wkt.parse_polygon(F.col("w")).alias("p"), wkt.wkt_problem(F.col("w")).alias("why")).collect()
+    assert [r.why for r in df] == ["empty", "missing", "not a polygon", "bad coordinates", "missing", None, None]
+    assert [r.p is None for r in df] == [True] * 5 + [False] * 2 and df[5].p == df[6].p
+    odd = spark.createDataFrame([("2147483647", "http://h/p?a=100%&b=1")], "y string, u string").select(dates.roc_to_ad(F.col("y")).alias("y"), url.rewrite_query(F.col("u"), {"WIDTH": F.lit(5)}).alias("u")).first()
+    assert odd.y is None and odd.u == "http://h/p?a=100%25&b=1&WIDTH=5"
+    assert {(r.table_name, r.n) for r in records.table_counts({"a": None}).collect()} == {("a", "0")}
+
+
+def test_mask_spans_are_never_broadcast(spark):
+    pixels = spark.createDataFrame([("a", 0, 0)], "area_id string, row int, col int")
+    mask = spark.createDataFrame([("a", 0, 0, 0, 5)], "area_id string, row int, block int, c0 int, c1 int")
+    joined = geometry.with_inside(pixels, mask, ["area_id"])
+    assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString() and joined.first().inside
+
 def test_labels_and_schema_text(spark):
     rows = spark.createDataFrame([], "id long, size double, ok boolean, at timestamp, name string, geometry string, foreign_key string, tags array<string>")
     labels = records.schema_labels(rows)

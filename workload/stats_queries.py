@@ -71,8 +71,10 @@ def join_gis_stats(spark, sf_dir):
     return stats.join_features(features, stats.summarize(wanted, ["town_id"], {"quantity": "sum"}), "town")
 
 
-@query("align_targets", ctes("yields", "town_list", "town_signals") + """SELECT t.town_id, t.county_id, s.year, s.rain_total, y.yield FROM town_list t
-  JOIN town_signals s USING (town_id) LEFT JOIN yields y ON y.county_id = t.county_id AND y.year = s.year""")
+@query("align_targets", ctes("yields", "town_list", "town_signals") + """SELECT w.town_id, w.county_id, w.year, s.rain_total, y.yield FROM (
+  SELECT t.town_id, t.county_id, CAST(s.year AS INT) AS year FROM town_list t JOIN town_signals s USING (town_id)
+  UNION SELECT t.town_id, t.county_id, CAST(y.year AS INT) FROM town_list t JOIN yields y USING (county_id)) w
+  LEFT JOIN town_signals s ON s.town_id = w.town_id AND s.year = w.year LEFT JOIN yields y ON y.county_id = w.county_id AND y.year = w.year""")
 def align_targets(spark, sf_dir):
     towns = load(spark, sf_dir, "town_list").select("town_id", "county_id")
     signals = load(spark, sf_dir, "town_signals").select("town_id", F.col("year").cast("int").alias("year"), "rain_total")
