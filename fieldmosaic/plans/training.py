@@ -28,13 +28,17 @@ class TrainingPlan:
     trend: tuple[str, str] | None = None  # year and value column of the detail table
 
 
-def preprocess(features: DataFrame, stats: DataFrame, plan: TrainingPlan) -> DataFrame:
-    """Clean and summarise the statistics, join them to the features, fill, encode, scale.
+def clean_statistics(stats: DataFrame) -> DataFrame:
+    """Statistics without empty and repeated rows, written once for the summary and the trend."""
+    return materialize(clean(stats, ["drop_all_null", "drop_duplicates"])[0])
+
+
+def preprocess(features: DataFrame, cleaned: DataFrame, plan: TrainingPlan) -> DataFrame:
+    """Summarise the cleaned statistics, join them to the features, fill, encode, scale.
 
     The joined table (one row per area) is written once: every fitted step after it reads the
     table, not the detail rows.
     """
-    cleaned, _ = clean(stats, ["drop_all_null", "drop_duplicates"])
     table = materialize(join_features(features, summarize(cleaned, plan.keys, plan.summary), plan.level))
     if plan.missing:
         table = handle_missing(table, plan.missing)
@@ -46,7 +50,7 @@ def preprocess(features: DataFrame, stats: DataFrame, plan: TrainingPlan) -> Dat
 
 
 def derive(table: DataFrame, stats: DataFrame, plan: TrainingPlan) -> DataFrame:
-    """Add the recent trend of each area."""
+    """Add the recent trend of each area, from cleaned statistics."""
     if plan.trend is None:
         return table
     year, value = plan.trend
@@ -62,5 +66,6 @@ def run(features: DataFrame, stats: DataFrame, plan: TrainingPlan, mode: str = "
     """full: both halves; preprocess: the first; features: the second on a preprocessed table."""
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
-    table = features if mode == "features" else preprocess(features, stats, plan)
-    return table if mode == "preprocess" else derive(table, stats, plan)
+    cleaned = clean_statistics(stats)
+    table = features if mode == "features" else preprocess(features, cleaned, plan)
+    return table if mode == "preprocess" else derive(table, cleaned, plan)

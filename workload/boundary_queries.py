@@ -26,7 +26,7 @@ SELECT CASE pos % 5 WHEN 0 THEN shp_version || '_' || CAST(pos AS STRING) || '.s
   WHEN 2 THEN upper(shp_version) || '.v' || CAST(pos AS STRING) || '.shp' WHEN 3 THEN 'river_' || CAST(pos AS STRING) || '.shp' ELSE 'County' || CAST(pos AS STRING) || '.SHP' END AS file_name
 FROM areas"""
 INPUTS["map_titles"] = f"SELECT p_partkey AS id, {TITLE_CASE.format(n='p_partkey')} AS map_name FROM part"
-INPUTS["overrides"] = f"SELECT {TITLE_CASE.format(n='(s_suppkey * 7)')} AS name_zh, 'over_' || CAST(s_suppkey % 13 AS STRING) AS name_en, s_suppkey AS pos FROM supplier WHERE s_suppkey % 3 = 1"
+INPUTS["overrides"] = f"SELECT CASE WHEN s_suppkey % 3 = 1 THEN {TITLE_CASE.format(n='(s_suppkey * 7)')} ELSE '新圖' || CAST(s_suppkey AS STRING) END AS name_zh, 'over_' || CAST(s_suppkey % 13 AS STRING) AS name_en, s_suppkey AS pos FROM supplier"
 
 DEPENDS_ON_AREAS = ("named_areas", "gate_areas", "insert_batch", "stored_areas", "file_names")
 from workload.inputs import DEPENDS  # noqa: E402

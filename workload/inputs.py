@@ -173,11 +173,11 @@ SELECT o_orderkey AS id, CASE o_orderkey % 13
 FROM orders"""
 INPUTS["snapshot_old"] = """
 SELECT CASE WHEN doc_id % 2 = 0 THEN 'raw/' ELSE 'masked/' END || CAST(doc_id AS STRING) || '.png' AS path, text AS content
-FROM documents WHERE doc_id % 11 <> 3"""
+FROM documents"""
 INPUTS["snapshot_new"] = """
-SELECT CASE WHEN doc_id % 2 = 0 THEN 'raw/' ELSE 'masked/' END || CAST(doc_id AS STRING) || '.png' AS path,
+SELECT CASE WHEN doc_id % 11 = 3 THEN 'added/' WHEN doc_id % 2 = 0 THEN 'raw/' ELSE 'masked/' END || CAST(doc_id AS STRING) || '.png' AS path,
   CASE WHEN doc_id % 7 = 0 THEN text || '!' WHEN doc_id % 7 = 1 THEN upper(text) ELSE text END AS content
-FROM documents WHERE doc_id % 13 <> 5"""
+FROM documents"""
 INPUTS["ledger"] = f"""
 SELECT row_number() OVER (PARTITION BY l_suppkey ORDER BY yr, l_returnflag, l_linestatus) + l_suppkey * 1000 AS id,
   {town_id('l_suppkey')} AS area_id, 'town' AS area_level, {layer_case()} AS classification,
@@ -197,7 +197,7 @@ SELECT {town_id('l_suppkey')} AS area_id, 'town' AS area_level, {layer_case()} A
   CAST(l_shipdate AS DATE) AS recorded_at,
   CASE l_orderkey % 5 WHEN 0 THEN 'created' WHEN 1 THEN 'updated' WHEN 2 THEN 'unchanged' WHEN 3 THEN 'error' ELSE 'created' END AS status,
   ((l_orderkey * 1000000 + l_partkey) * 10 + l_linenumber) * 1000 + l_suppkey % 1000 AS pos
-FROM lineitem WHERE l_quantity > 10"""
+FROM lineitem"""
 INPUTS["work"] = f"""
 SELECT {town_id('l_suppkey')} AS area_id, {layer_case()} AS classification,
   'TOWN_MOI_' || CAST(year(l_shipdate) - 1911 AS STRING) || '0318' AS shp_version,

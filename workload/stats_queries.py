@@ -22,8 +22,8 @@ SELECT CASE WHEN doc_id % 9 = 4 THEN 'output/readme_' || CAST(doc_id AS STRING)
   'output/GIS_processed_' || source || '_' || lang || '_2024' || lpad(CAST(1 + doc_id % 12 AS STRING), 2, '0') || lpad(CAST(1 + doc_id % 28 AS STRING), 2, '0') ||
   CASE WHEN doc_id % 2 = 0 THEN '.csv' ELSE '.parquet' END END AS path
 FROM documents"""
-INPUTS["area_pixels"] = f"SELECT {town_id('l_suppkey')} AS area_id, count(*) AS n_pixels, avg(l_discount) AS cover FROM lineitem WHERE l_suppkey % 10 <> 3 GROUP BY l_suppkey"
-INPUTS["town_stats"] = "SELECT town_id, year, quantity FROM stats WHERE town_id <> 'A00'"
+INPUTS["area_pixels"] = f"SELECT CASE WHEN l_suppkey % 10 = 3 THEN 'new ' ELSE '' END || {town_id('l_suppkey')} AS area_id, count(*) AS n_pixels, avg(l_discount) AS cover FROM lineitem GROUP BY l_suppkey"
+INPUTS["town_stats"] = "SELECT CASE WHEN town_id = 'A00' THEN 'old A00' ELSE town_id END AS town_id, year, quantity FROM stats"
 INPUTS["yield_features"] = """
 SELECT s.town_id, s.county_id, s.year, s.rain_total, s.heat_days, y.yield AS target
 FROM signals s, yields y WHERE s.county_id = y.county_id AND s.year = y.year"""
@@ -64,11 +64,10 @@ def summarize_groups(spark, sf_dir):
 
 
 @query("join_gis_stats", ctes("area_pixels", "stats") + """SELECT area_id, n_pixels, round(cover, 6) AS cover, quantity_sum FROM area_pixels
-  LEFT JOIN (SELECT town_id, sum(quantity) AS quantity_sum FROM stats WHERE year > 1996 AND item = 'A' GROUP BY town_id) s ON area_id = town_id""")
+  LEFT JOIN (SELECT town_id, sum(quantity) AS quantity_sum FROM stats GROUP BY town_id) s ON area_id = town_id""")
 def join_gis_stats(spark, sf_dir):
-    wanted = load(spark, sf_dir, "stats").where("year > 1996 and item = 'A'")
     features = load(spark, sf_dir, "area_pixels").withColumn("cover", F.round("cover", 6))
-    return stats.join_features(features, stats.summarize(wanted, ["town_id"], {"quantity": "sum"}), "town")
+    return stats.join_features(features, stats.summarize(load(spark, sf_dir, "stats"), ["town_id"], {"quantity": "sum"}), "town")
 
 
 @query("align_targets", ctes("yields", "town_list", "town_signals") + """SELECT w.town_id, w.county_id, w.year, s.rain_total, y.yield FROM (
@@ -242,10 +241,10 @@ def export_roundtrip(spark, sf_dir):
     return spark.read.schema("town_id string, year int, n long, quantity double").option("header", "true").csv(again)
 
 
-@query("training_set", ctes("area_pixels", "town_stats", s="""SELECT town_id, sum(quantity) AS quantity_sum, quantile_cont(quantity, 0.5) AS quantity_median
-    FROM (SELECT DISTINCT * FROM town_stats) d GROUP BY town_id""",
+@query("training_set", ctes("area_pixels", "town_stats", cleaned="SELECT DISTINCT * FROM town_stats", s="""SELECT town_id, sum(quantity) AS quantity_sum, quantile_cont(quantity, 0.5) AS quantity_median
+    FROM cleaned GROUP BY town_id""",
     slopes="""SELECT town_id, regr_slope(quantity, year) AS slope FROM (SELECT *, row_number() OVER (PARTITION BY town_id ORDER BY year DESC) AS rn
-      FROM (SELECT town_id, year, sum(quantity) AS quantity FROM town_stats GROUP BY town_id, year) y) r WHERE rn <= 5 GROUP BY town_id""",
+      FROM (SELECT town_id, year, sum(quantity) AS quantity FROM cleaned GROUP BY town_id, year) y) r WHERE rn <= 5 GROUP BY town_id""",
     j="SELECT area_id, n_pixels, quantity_sum, quantity_median, slope FROM area_pixels LEFT JOIN s ON area_id = s.town_id LEFT JOIN slopes ON area_id = slopes.town_id",
     f="SELECT * REPLACE (coalesce(quantity_sum, 0) AS quantity_sum, coalesce(quantity_median, (SELECT quantile_cont(quantity_median, 0.5) FROM j)) AS quantity_median) FROM j") + """
   SELECT area_id, n_pixels, round((quantity_sum - (SELECT avg(quantity_sum) FROM f)) / (SELECT stddev_pop(quantity_sum) FROM f), 6) AS quantity_sum,

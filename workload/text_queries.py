@@ -13,12 +13,12 @@ from workload.registry import query
 
 INPUTS["titles"] = """
 SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN '農地空間圖' || text WHEN 1 THEN text || ' - 農業資料開放平臺'
-  WHEN 2 THEN repeat('水', 30) || text WHEN 3 THEN repeat('𠀀', CAST(18 + doc_id % 7 AS INT)) ELSE substr(text, 1, 21) END AS title
+  WHEN 2 THEN repeat('水', 30) || text WHEN 3 THEN repeat('𠀀', CAST(18 + doc_id % 7 AS INT)) || text ELSE text END AS title
 FROM documents"""
 INPUTS["paths"] = """
 SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 'out/' || source || '/' || replace(text, '/', '_') || '.geojson'
-  WHEN 1 THEN 'out/' || repeat('土壤', CAST(doc_id % 15 AS INT)) || '.png' WHEN 2 THEN '.hidden' || lang
-  ELSE 'a.b/' || lang || CAST(doc_id AS STRING) END AS path
+  WHEN 1 THEN 'out/' || repeat('土壤', CAST(doc_id % 15 AS INT)) || replace(text, '/', '_') || '.png' WHEN 2 THEN '.hidden' || replace(text, '/', '_')
+  ELSE 'a.b/' || lang || CAST(doc_id AS STRING) || replace(text, '/', '_') END AS path
 FROM documents"""
 INPUTS["layer_titles"] = f"""
 SELECT p_partkey AS id, CASE p_partkey % 4 WHEN 0 THEN p_name || '{CROP_SUFFIX}' WHEN 1 THEN '{SOIL_WORD}' || p_type
