@@ -27,56 +27,80 @@ def _chunks(data: bytes) -> Iterator[tuple[bytes, bytes]]:
         at += 12 + size
 
 
-def _unfilter(kind: int, line: np.ndarray, above: np.ndarray, step: int) -> np.ndarray:
-    if kind == 0:
-        return line
-    if kind == 2:
-        return line + above
-    out = line.copy()
-    if kind == 1:
-        return np.cumsum(out.reshape(-1, step), axis=0, dtype=np.uint8).reshape(-1)
-    values, up = [int(v) for v in out], [int(v) for v in above]
-    for i in range(len(values)):
-        left = values[i - step] if i >= step else 0
-        if kind == 3:
-            guess = (left + up[i]) // 2
-        else:
-            corner = up[i - step] if i >= step else 0
-            target = left + up[i] - corner
-            guess = min((left, up[i], corner), key=lambda v: abs(target - v))
-        values[i] = (values[i] + guess) & 255
-    return np.array(values, dtype=np.uint8)
+def _by_lines(kinds: np.ndarray, body: np.ndarray) -> np.ndarray:
+    """Undo filters 0 (none), 1 (left) and 2 (above), a line at a time."""
+    lines, above = np.empty(body.shape, np.uint8), np.zeros(body.shape[1:], np.uint8)
+    for y, kind in enumerate(kinds.tolist()):
+        above = lines[y] = body[y] if kind == 0 else body[y] + above if kind == 2 else np.cumsum(body[y], axis=0, dtype=np.uint8)
+    return lines
+
+
+def _by_diagonals(kinds: np.ndarray, body: np.ndarray) -> np.ndarray:
+    """Undo any filters along anti-diagonals: a pixel needs those left, above and between, which lie on the two before."""
+    height, width, step = body.shape
+    source, out = np.zeros((2, height + 1, width + 1, step), np.int16)
+    source[1:, 1:] = body
+    given, flat = source.reshape(-1, step), out.reshape(-1, step)
+    by_left, by_above, by_both, by_nearest = (np.equal(kinds, k).astype(np.int16)[:, None] for k in (1, 2, 3, 4))
+    for d in range(height + width - 1):
+        top, bottom = max(0, d - width + 1), min(height, d + 1)
+        start = top * width + width + d + 2  # a step of `width` in the padded image is one down and one to the left
+        stop = start + (bottom - top - 1) * width + 1
+        left, above, corner = (flat[start - k : stop - k : width] for k in (1, width + 1, width + 2))
+        over, aside = above - corner, left - corner
+        near_left, near_above, near_corner = np.abs(over), np.abs(aside), np.abs(over + aside)
+        nearest = np.where((near_left <= near_above) & (near_left <= near_corner), left, np.where(near_above <= near_corner, above, corner))
+        rows = slice(top, bottom)
+        guess = by_left[rows] * left + by_above[rows] * above + by_both[rows] * ((left + above) >> 1) + by_nearest[rows] * nearest
+        flat[start:stop:width] = (given[start:stop:width] + guess) & 255
+    return out[1:, 1:].astype(np.uint8)
+
+
+def _decode(data: bytes) -> np.ndarray:
+    if not data.startswith(SIGNATURE):
+        raise ValueError("no PNG signature")
+    header, palette, body = None, None, []
+    for kind, content in _chunks(data):
+        if kind == b"IHDR":
+            header = struct.unpack(">IIBBBBB", content)
+        elif kind == b"PLTE":
+            palette = np.frombuffer(content, np.uint8).reshape(-1, 3)
+        elif kind == b"IDAT":
+            body.append(content)
+    if header is None:
+        raise ValueError("no header")
+    width, height, depth, colour, _, _, interlace = header
+    if depth != 8:
+        raise ValueError(f"{depth} bits per sample")
+    if interlace:
+        raise ValueError("interlaced")
+    if colour not in CHANNELS:
+        raise ValueError(f"colour type {colour}")
+    step = CHANNELS[colour]
+    raw = np.frombuffer(zlib.decompress(b"".join(body)), np.uint8).reshape(height, width * step + 1)
+    kinds, lines = raw[:, 0], raw[:, 1:].reshape(height, width, step)
+    if (kinds > 4).any():
+        raise ValueError("unknown line filter")
+    pixels = _by_diagonals(kinds, lines) if (kinds > 2).any() else _by_lines(kinds, lines)
+    if colour == 3:
+        if palette is None:
+            raise ValueError("no palette")
+        pixels = palette[pixels[:, :, 0]]
+    elif step < 3:
+        pixels = np.repeat(pixels[:, :, :1], 3, axis=2)
+    return np.ascontiguousarray(pixels[:, :, 2::-1])
+
+
+def read_png(data: bytes) -> tuple[np.ndarray | None, str | None]:
+    """Pixels (height × width × 3 in blue, green, red order; transparency is dropped), or why there are none."""
+    try:
+        return _decode(data), None
+    except (zlib.error, struct.error, ValueError, IndexError) as error:
+        return None, f"image unreadable: {error}"
 
 
 def decode_png(data: bytes) -> np.ndarray | None:
-    """Height × width × 3 array in blue, green, red order; transparency is dropped. None if unreadable."""
-    try:
-        if not data.startswith(SIGNATURE):
-            return None
-        header, palette, body = None, None, []
-        for kind, content in _chunks(data):
-            if kind == b"IHDR":
-                header = struct.unpack(">IIBBBBB", content)
-            elif kind == b"PLTE":
-                palette = np.frombuffer(content, np.uint8).reshape(-1, 3)
-            elif kind == b"IDAT":
-                body.append(content)
-        width, height, depth, colour, _, _, interlace = header
-        if depth != 8 or interlace:
-            return None
-        step = CHANNELS[colour]
-        raw = np.frombuffer(zlib.decompress(b"".join(body)), np.uint8).reshape(height, width * step + 1)
-        lines, above = np.empty((height, width * step), np.uint8), np.zeros(width * step, np.uint8)
-        for y in range(height):
-            above = lines[y] = _unfilter(int(raw[y, 0]), raw[y, 1:], above, step)
-        pixels = lines.reshape(height, width, step)
-        if colour == 3:
-            pixels = palette[pixels[:, :, 0]]
-        elif step < 3:
-            pixels = np.repeat(pixels[:, :, :1], 3, axis=2)
-        return np.ascontiguousarray(pixels[:, :, 2::-1])
-    except (zlib.error, struct.error, ValueError, KeyError, TypeError, IndexError):
-        return None
+    return read_png(data)[0]
 
 
 def _bands(path: str, pixels: np.ndarray, rows: int = 64) -> Iterator[pd.DataFrame]:
@@ -101,10 +125,25 @@ def decode_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def image_pixels(files: DataFrame) -> DataFrame:
-    """Pixel rows of PNG contents (path, content); unreadable files give none."""
+    """Pixel rows of PNG contents (path, content); `image_rejects` has the files that give none."""
     return files.select("path", "content").mapInPandas(decode_batches, PIXEL_SCHEMA)
 
 
+def _rejects(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for files in batches:
+        reasons = [read_png(bytes(content))[1] for content in files["content"]]
+        yield pd.DataFrame({"path": files["path"], "reason": reasons})[[r is not None for r in reasons]]
+
+
+def image_rejects(files: DataFrame) -> DataFrame:
+    """(path, reason) of the contents that cannot be read, for the ledger to log as errors."""
+    return files.select("path", "content").mapInPandas(_rejects, "path string, reason string")
+
+
+def image_files(spark: SparkSession, folder: str, pattern: str = "*.png") -> DataFrame:
+    """(path, content) of the files below a folder. A file is one value of one task: 2 GB at most."""
+    return spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(folder)
+
+
 def read_images(spark: SparkSession, folder: str, pattern: str = "*.png") -> DataFrame:
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(folder)
-    return image_pixels(files)
+    return image_pixels(image_files(spark, folder, pattern))

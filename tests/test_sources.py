@@ -63,12 +63,29 @@ def test_png_kinds():
         assert images.decode_png(broken) is None
 
 
+def test_line_filters():
+    rng = np.random.default_rng(1)
+    for shape in ((1, 1, 1), (7, 1, 3), (1, 9, 4), (13, 8, 3), (8, 17, 1)):
+        kinds, body = rng.integers(0, 5, shape[0]), rng.integers(0, 256, shape).astype(np.uint8)
+        want = np.zeros(shape, int)
+        for y, x, c in np.ndindex(shape):
+            left, above = want[y, x - 1, c] if x else 0, want[y - 1, x, c] if y else 0
+            corner = want[y - 1, x - 1, c] if x and y else 0
+            nearest = min((left, above, corner), key=lambda v: abs(left + above - corner - v))
+            want[y, x, c] = (int(body[y, x, c]) + (0, left, above, (left + above) // 2, nearest)[kinds[y]]) & 255
+        assert np.array_equal(images._by_diagonals(kinds, body), want)
+
+
 def test_read_images(spark, tmp_path):
     rgb = np.arange(130 * 4 * 3).reshape(130, 4, 3) % 256
     (tmp_path / "水.png").write_bytes(png(rgb, 2))
     (tmp_path / "bad.png").write_bytes(b"nothing")
+    deep = png(rgb, 2)
+    (tmp_path / "deep.png").write_bytes(deep[:24] + b"\x10" + deep[25:])
     rows = images.read_images(spark, str(tmp_path)).collect()
     assert len(rows) == 130 * 4
+    rejects = {r.path.rsplit("/", 1)[1]: r.reason for r in images.image_rejects(images.image_files(spark, str(tmp_path))).collect()}
+    assert rejects == {"bad.png": "image unreadable: no PNG signature", "deep.png": "image unreadable: 16 bits per sample"}
     assert all((r.r, r.g, r.b) == tuple(rgb[r.row, r.col]) for r in rows)
 
 

@@ -233,12 +233,16 @@ def _png(pdf: pd.DataFrame) -> pd.DataFrame:
     """One image as PNG bytes; the group is the pixels of one 200 x 200 image."""
     image = np.full((GRID, GRID, 3), 255, np.uint8)
     image[pdf["row"], pdf["col"]] = pdf[["r", "g", "b"]].to_numpy(np.uint8)
-    kinds = [y % 3 for y in range(GRID)]  # no filter, left, up
+    kinds = [y % 5 for y in range(GRID)]  # no filter, left, up, average, Paeth
     flat, lines = image.reshape(GRID, -1), []
     for y, kind in enumerate(kinds):
         left = np.concatenate([np.zeros(3, np.uint8), flat[y, :-3]])
         above = flat[y - 1] if y else np.zeros_like(flat[0])
-        lines.append(bytes([kind]) + (flat[y] - (0, left, above)[kind]).astype(np.uint8).tobytes())
+        corner = np.concatenate([np.zeros(3, np.uint8), above[:-3]])
+        a, b, c = (v.astype(int) for v in (left, above, corner))
+        options = np.stack([a, b, c])
+        nearest = np.take_along_axis(options, np.argmin(np.abs(a + b - c - options), axis=0)[None], 0)[0]  # the first of equal ones
+        lines.append(bytes([kind]) + ((flat[y] - (0, a, b, (a + b) // 2, nearest)[kind]) & 255).astype(np.uint8).tobytes())
 
     def chunk(kind: bytes, body: bytes) -> bytes:
         return struct.pack(">I", len(body)) + kind + body + struct.pack(">I", zlib.crc32(kind + body))
