@@ -155,6 +155,20 @@ FROM (
     max(l_partkey + l_linenumber) % 16 AS idx
   FROM lineitem GROUP BY l_suppkey, l_returnflag, l_linestatus, l_orderkey % 200, l_partkey % 200
 ) p"""
+INPUTS["images"] = """
+SELECT area_id, 'town' AS area_level, area_id AS region_name, shp_version, classification, n, total,
+  'output/wms_images/' || shp_version || '/raw/' || classification || '/' || area_id || '.png' AS path,
+  CASE WHEN total % 6 = 0 THEN NULL ELSE CAST(total AS STRING) END AS content, DATE '2000-02-01' AS recorded_at
+FROM (SELECT area_id, shp_version, classification, count(*) AS n, CAST(sum(CAST(b AS BIGINT) + g + r) AS BIGINT) AS total
+  FROM pixels GROUP BY area_id, shp_version, classification) i"""
+INPUTS["images_before"] = """
+SELECT CASE WHEN total % 6 = 1 THEN 'gone/' || path ELSE path END AS path, CASE WHEN total % 6 = 2 THEN 'old' ELSE content END AS content FROM images"""
+INPUTS["image_ledger"] = """
+SELECT (ascii(area_id) * 1000000 + CAST(substr(area_id, 2) AS BIGINT)) * 1000 + row_number() OVER (PARTITION BY area_id ORDER BY classification, shp_version, stage) AS id,
+  area_id, area_level, classification, shp_version, stage, replace(path, '/raw/', '/' || stage || '/') AS file_path, false AS layer_updated, DATE '2000-01-01' AS recorded_at
+FROM (SELECT *, 'raw' AS stage FROM images WHERE n % 4 > 0 UNION ALL SELECT *, 'masked' AS stage FROM images WHERE n % 4 > 1) l"""
+INPUTS["image_files"] = """
+SELECT CASE WHEN n % 4 = 2 THEN 'lost/' ELSE '' END || replace(path, '/raw/', '/masked/') AS path FROM images"""
 INPUTS["mixed_dates"] = """
 SELECT o_orderkey AS id, CASE o_orderkey % 13
   WHEN 0 THEN CAST(year(o_orderdate) - 1911 AS STRING)
@@ -231,7 +245,9 @@ SELECT CASE WHEN c_custkey % 6 = 0 THEN NULL ELSE c_mktsegment END AS segment,
   CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE c_nationkey END AS nationkey
 FROM customer"""
 
-DEPENDS = {"areas": ["towns", "counties"], "disk_files": ["ledger"]}
+DEPENDS = {"areas": ["towns", "counties"], "disk_files": ["ledger"], "images": ["pixels"]}
+for _name in ("images_before", "image_ledger", "image_files"):
+    DEPENDS[_name] = ["pixels", "images"]
 
 
 def order_of(names: list[str]) -> list[str]:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from fieldmosaic.functions.wkt import parse_polygon
 from fieldmosaic.operators import colors, geometry, raster
+from fieldmosaic.plans import mapping
 from fieldmosaic.runtime import materialize
 from fieldmosaic.sources.images import image_pixels
 from fieldmosaic.sources.shapefiles import attribute_records, join_records, shape_records
@@ -193,6 +194,49 @@ def quantify_mask(spark, sf_dir):
     return out.select("area_id", "shp_version", "classification", "label", "n_pixels", F.round("class_m2").cast("long").alias("class_m2"))
 
 
+IMAGE_KEY = "area_id, classification, shp_version"
+MAPPED = {
+    "state": """SELECT i.*, i.n % 4 = 3 AS done, CASE WHEN i.content IS NULL OR i.area_id NOT IN (SELECT area_id FROM ids JOIN boxes USING (k)) THEN 'error'
+      WHEN b.path IS NULL THEN 'created' WHEN b.content = i.content THEN 'unchanged' ELSE 'updated' END AS status FROM images i LEFT JOIN images_before b USING (path)""",
+    "acted": "SELECT *, CASE WHEN status = 'error' THEN 'stop' WHEN status = 'unchanged' AND done THEN 'skip' ELSE 'mask' END AS action FROM state",
+    "logged": f"""SELECT {IMAGE_KEY}, 'raw' AS stage, path AS file_path FROM acted WHERE action = 'mask' UNION ALL
+      SELECT {IMAGE_KEY}, 'masked', replace(path, '/raw/', '/masked/') FROM acted WHERE action = 'mask' AND n % 8 <> 3""",
+    "after": f"""SELECT l.id, {IMAGE_KEY}, stage, coalesce(g.file_path, l.file_path) AS file_path, CASE WHEN g.file_path IS NULL THEN l.recorded_at ELSE DATE '2000-02-01' END AS recorded_at
+      FROM image_ledger l LEFT JOIN logged g USING ({IMAGE_KEY}, stage) UNION ALL
+      SELECT (SELECT max(id) FROM image_ledger) + row_number() OVER (ORDER BY {IMAGE_KEY}, stage), {IMAGE_KEY}, stage, file_path, DATE '2000-02-01'
+      FROM logged g ANTI JOIN image_ledger l USING ({IMAGE_KEY}, stage)""",
+    # what the store of masks shows: new masks, and old ones whose green channel was one higher in a part of the images
+    "kept": f"""SELECT p.area_id, p.shp_version, p.classification, p.row, p.col, p.b, CAST(p.g + CASE WHEN action = 'mask' OR n % 8 = 3 THEN 0 ELSE 1 END AS SMALLINT) AS g, p.r
+      FROM pixels p JOIN acted USING ({IMAGE_KEY}) JOIN inside i ON i.area_id = p.area_id AND i.row = p.row AND i.col = p.col WHERE action = 'mask' OR done
+      UNION ALL SELECT p.area_id, p.shp_version, p.classification, p.row, p.col, 0, 1, 0 FROM pixels p JOIN acted USING ({IMAGE_KEY})
+      LEFT JOIN inside i ON i.area_id = p.area_id AND i.row = p.row AND i.col = p.col WHERE action <> 'mask' AND n % 8 = 7 AND i.row IS NULL""",
+}
+
+
+def mapping_sql() -> str:
+    base = ctes("towns", "pixels", "images", "images_before", "image_ledger", vx=vertex_sql(), boxes=BOXES, edges=EDGES, ids=IDS, inside=INSIDE,
+                **MAPPED, classes=CLASSES.replace("FROM pixels)", "FROM kept)"),
+                counts=f"SELECT {IMAGE_KEY}, CAST(sum(n_pixels) AS BIGINT) AS n_pixels, count(*) AS n_classes FROM classes GROUP BY {IMAGE_KEY}")
+    return base + f"SELECT a.*, status, action, n_pixels, n_classes FROM after a LEFT JOIN acted USING ({IMAGE_KEY}) LEFT JOIN counts USING ({IMAGE_KEY})"
+
+
+@query("mapping_job", mapping_sql())
+def mapping_job(spark, sf_dir):
+    """The ledger after a run, beside each image's status, action and what its mask shows."""
+    images, pixels = load(spark, sf_dir, "images"), load(spark, sf_dir, "pixels")
+    areas = materialize(grid_areas(spark, sf_dir))
+    spans = materialize(geometry.mask_spans(areas, ["area_id"]))
+    old = pixels.join(images.where("n % 4 = 3").select(*mapping.IMAGE, (F.col("n") % 8 == 7).alias("off")), mapping.IMAGE)
+    old = raster.apply_mask(old, areas, ["area_id"], spans)
+    old = old.withColumn("g", (F.col("g") + F.when(F.col("off"), 1).otherwise(0)).cast("smallint")).select(*pixels.columns)
+    out = mapping.run(images.drop("n", "total"), load(spark, sf_dir, "images_before"), pixels, areas, ["area_id"], load(spark, sf_dir, "image_ledger"),
+                      materialize(old), load(spark, sf_dir, "image_files"), spans)
+    counts = raster.quantify_classes(out.masked, colors.color_map(spark)).groupBy(*mapping.IMAGE).agg(
+        F.sum("n_pixels").alias("n_pixels"), F.count("*").alias("n_classes"))
+    rows = out.ledger.join(out.work.select(*mapping.IMAGE, "status", "action"), mapping.IMAGE, "left").join(counts, mapping.IMAGE, "left")
+    return rows.select("id", *mapping.IMAGE, "stage", "file_path", "recorded_at", "status", "action", "n_pixels", "n_classes")
+
+
 @query("pixel_lonlat", ctes("towns", "pixels", vx=vertex_sql(), boxes=BOXES, ids=IDS) + f"""SELECT area_id, classification, row, col,
   round(minx + (col + 0.5) * (maxx - minx) / {GRID}, 9) AS lon, round(maxy - (row + 0.5) * (maxy - miny) / {GRID}, 9) AS lat
   FROM pixels JOIN ids USING (area_id) JOIN boxes USING (k)""")
