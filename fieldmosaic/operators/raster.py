@@ -105,6 +105,18 @@ def class_features(classes: DataFrame, colors: DataFrame) -> DataFrame:
     )
 
 
+def features_by_area(features: DataFrame, layers: list[str], values: list[str]) -> DataFrame:
+    """One row per area and version: every value of every named layer as `<layer>_<value>`.
+
+    The layers are given, so nothing is looked up in the data first; a layer an area has no
+    image of leaves nulls, one that is not named is left out. One aggregation on the area.
+    """
+    def cell(layer: str, value: str) -> Column:
+        return F.max(F.when(F.col("classification") == layer, F.col(value))).alias(f"{layer}_{value}")
+
+    return features.groupBy("area_id", "shp_version").agg(*[cell(la, v) for la in layers for v in values])
+
+
 def code_shares(classes: DataFrame, colors: DataFrame, codes: list[str]) -> DataFrame:
     """Auxiliary features per area, version and layer: the pixel share of each named class code."""
     values = colors.select("layer", "label", "value_code").dropDuplicates(["layer", "label"])

@@ -81,6 +81,27 @@ def class_features(spark, sf_dir):
     return wide.select("area_id", "shp_version", "classification", "n_pixels", F.round("mean_value", 6).alias("mean_value"))
 
 
+VECTORS = "SELECT * FROM (VALUES " + ", ".join(
+    f"('{layer}', '{label}', {vec[0]}, {vec[1]}, {vec[2]})" for layer, label, vec in sorted({(r[0], r[5], tuple(r[8])) for r in legend_rows() if r[8]})
+) + ") v(layer, label, sand, silt, clay)"
+VALUES = ("mean_value", "sand", "silt", "clay")
+WIDE_LAYERS = ("soil_survey_ph", "soil_survey_texture_0_30cm", "farmland_importance_level")
+
+
+@query("area_features", ctes("pixels", classes=CLASSES, layered=f"SELECT *, {LEGEND_CASE} AS layer FROM classes",
+  valued=f"""SELECT area_id, shp_version, classification, {", ".join(
+    f"sum(n_pixels * {v}) / sum(CASE WHEN {v} IS NOT NULL THEN n_pixels END) AS {v}" for v in ("value_num", "sand", "silt", "clay"))}
+    FROM layered LEFT JOIN (SELECT DISTINCT layer, label, value_num FROM ({COLOR_SQL}) m) n USING (layer, label) LEFT JOIN ({VECTORS}) t USING (layer, label)
+    GROUP BY area_id, shp_version, classification""") + "SELECT area_id, shp_version, " + ", ".join(
+    f"round(max(CASE WHEN classification = '{la}' THEN {v.replace('mean_value', 'value_num')} END), 6) AS {la}_{v}" for la in WIDE_LAYERS for v in VALUES)
+  + " FROM valued GROUP BY area_id, shp_version")
+def area_features(spark, sf_dir):
+    legend = colors.color_map(spark)
+    long = raster.class_features(raster.quantify_classes(load(spark, sf_dir, "pixels"), legend), legend)
+    wide = raster.features_by_area(long, list(WIDE_LAYERS), list(VALUES))
+    return wide.select("area_id", "shp_version", *[F.round(c, 6).alias(c) for c in wide.columns[2:]])
+
+
 # The six layers of the pixel input have no coded class, so this query reads two of them as coded soil maps.
 RELAYERED = """SELECT * REPLACE (CASE classification WHEN 'soil_survey_ph' THEN 'soil_survey_soil_properties'
   WHEN 'soil_survey_drainage' THEN 'soil_survey_lime_and_salinity' ELSE classification END AS classification) FROM pixels"""
