@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from itertools import combinations_with_replacement
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from fieldmosaic.functions.binding import let
 from fieldmosaic.operators.clean import known, moments
 from fieldmosaic.operators.ranking import exact_quantiles
 
@@ -84,24 +83,38 @@ def deviation(value: Column, trend: Column) -> Column:
 def hp_trend(df: DataFrame, key: str, year: str, value: str, smoothing: float = 100.0) -> DataFrame:
     """Hodrick-Prescott trend of each yearly series (key, year, value, trend).
 
-    Rows are first totalled per key and year, so a group handed to Python is one number per year.
+    Rows are first totalled per key and year, so a series is one array with a number per year. Its
+    five-band system is solved by one pass of elimination and one back, as column expressions.
+    A missing total leaves the whole series without a trend.
     """
     series = yearly_totals(df, [key], year, value)
-    fields = series.schema
-    out = f"`{key}` {fields[key].dataType.simpleString()}, `{year}` {fields[year].dataType.simpleString()}, `{value}` double, trend double"
-
-    def smooth(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(year)
-        y = pdf[value].to_numpy(dtype=float)
-        n = len(y)
-        if n < 3:
-            trend = y
-        else:
-            second = np.diff(np.eye(n), n=2, axis=0)
-            trend = np.linalg.solve(np.eye(n) + smoothing * second.T @ second, y)
-        return pd.DataFrame({key: pdf[key], year: pdf[year], value: y, "trend": trend})
-
-    return series.groupBy(key).applyInPandas(smooth, out)
+    points = F.array_sort(F.collect_list(F.struct(F.col(year).alias("year"), F.col(value).cast("double").alias("value"))))
+    grouped = series.groupBy(key).agg(points.alias("_points"))
+    row = "struct<d:double,e:double,f:double,z:double>"
+    n = F.size("_points")
+
+    def eliminate(state: Column, i: Column) -> Column:
+        """Pivot d, factors e and f towards the next two rows, and the reduced value z of row i."""
+        one, two = state.one, state.two
+        first, middle, last = (F.when(c, smoothing).otherwise(0.0) for c in (i <= n - 3, (i >= 1) & (i <= n - 2), i >= 2))
+        pivot = 1 + first + 4 * middle + last - one.d * one.e * one.e - two.d * two.f * two.f
+        reduced = F.get("_points", i).value - one.e * one.z - two.f * two.z
+        here = let(pivot, lambda d: F.struct(
+            d.alias("d"), ((-2 * (first + middle) - one.d * one.e * one.f) / d).alias("e"), (first / d).alias("f"), reduced.alias("z")))
+        return let(here, lambda r: F.struct(F.concat(state.rows, F.array(r)).alias("rows"), r.alias("one"), one.alias("two")))
+
+    def substitute(state: Column, r: Column) -> Column:
+        x = r.z / r.d - r.e * state.one - r.f * state.two
+        return let(x, lambda v: F.struct(F.concat(F.array(v), state.rows).alias("rows"), v.alias("one"), state.one.alias("two")))
+
+    zero = F.struct(*[F.lit(0.0).alias(c) for c in "defz"])
+    start = F.struct(F.array().cast(f"array<{row}>").alias("rows"), zero.alias("one"), zero.alias("two"))
+    rows = F.aggregate(F.sequence(F.lit(0), n - 1), start, eliminate, lambda s: s.rows)
+    end = F.struct(F.array().cast("array<double>").alias("rows"), F.lit(0.0).alias("one"), F.lit(0.0).alias("two"))
+    trend = F.aggregate(F.reverse(rows), end, substitute, lambda s: s.rows)
+    pairs = F.zip_with("_points", trend, lambda p, t: F.struct(p.year.alias("year"), p.value.alias("value"), t.alias("trend")))
+    return grouped.select(key, F.explode(pairs).alias("_p")).select(
+        key, F.col("_p.year").alias(year), F.col("_p.value").alias(value), F.col("_p.trend").alias("trend"))
 
 
 def yoy_difference(df: DataFrame, key: str, year: str, value: str) -> DataFrame:

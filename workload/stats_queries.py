@@ -95,7 +95,19 @@ def yield_deviation(spark, sf_dir):
     return out.select("county_id", "year", F.round("deviation", 6).alias("deviation"))
 
 
-@query("detrend_hp")
+# The same five bands, row by row: `fw` eliminates downwards, `bw` substitutes upwards; each carries the row next to it.
+BANDS = """SELECT county_id, year, yield, i, n, 1 + first + 4 * middle + CASE WHEN i >= 2 THEN 100 ELSE 0 END AS a, -2 * (first + middle) AS b, first AS c FROM (
+  SELECT *, CASE WHEN i <= n - 3 THEN 100.0::DOUBLE ELSE 0 END AS first, CASE WHEN i >= 1 AND i <= n - 2 THEN 100.0::DOUBLE ELSE 0 END AS middle FROM (
+    SELECT *, row_number() OVER (PARTITION BY county_id ORDER BY year) - 1 AS i, count(*) OVER (PARTITION BY county_id) AS n FROM yields) y) p"""
+FORWARD = """SELECT county_id, year, yield, i, n, a AS d, b / a AS e, c / a AS f, yield AS z, 0.0::DOUBLE AS d1, 0.0::DOUBLE AS f1, 0.0::DOUBLE AS z1 FROM bands WHERE i = 0
+  UNION ALL SELECT county_id, year, yield, i, n, d, (b - pd * pe * pf) / d, c / d, z, pd, pf, pz FROM (
+    SELECT b.*, w.d AS pd, w.e AS pe, w.f AS pf, w.z AS pz, b.a - w.d * w.e * w.e - w.d1 * w.f1 * w.f1 AS d, b.yield - w.e * w.z - w.f1 * w.z1 AS z
+    FROM fw w JOIN bands b ON b.county_id = w.county_id AND b.i = w.i + 1) s"""
+BACKWARD = """SELECT county_id, year, yield, i, z / d AS x, 0.0::DOUBLE AS x1 FROM fw WHERE i = n - 1
+  UNION ALL SELECT f.county_id, f.year, f.yield, f.i, f.z / f.d - f.e * t.x - f.f * t.x1, t.x FROM bw t JOIN fw f ON f.county_id = t.county_id AND f.i = t.i - 1"""
+
+
+@query("detrend_hp", ctes("yields", bands=BANDS, fw=FORWARD, bw=BACKWARD).replace("WITH ", "WITH RECURSIVE ", 1) + "SELECT county_id, year, yield, round(x, 6) AS trend FROM bw")
 def detrend_hp(spark, sf_dir):
     return stats.hp_trend(load(spark, sf_dir, "yields"), "county_id", "year", "yield").withColumn("trend", F.round("trend", 6))
 
