@@ -11,13 +11,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from fieldmosaic.functions.sortkeys import natural_sort
 from fieldmosaic.functions.text import file_stem
 from fieldmosaic.operators.boundaries import sort_column
 
+# Fixed values of the file layout.
+SHAPE_MAGIC = 9994
 POLYGON_KINDS = (5, 15, 25)
+DELETED = b"*"
 RECORD_BATCH = 500
 
 
@@ -46,10 +49,14 @@ def _wkt(rings: list[np.ndarray]) -> str:
 
 
 def decode_shapes(data: bytes) -> Iterator[tuple[int, str | None]]:
-    """(record number from 0, WKT) of a .shp file; null shapes give None."""
+    """(record number from 0, WKT) of a .shp file; null shapes give None, damage a ValueError or struct.error."""
+    if struct.unpack(">i", data[:4]) != (SHAPE_MAGIC,):
+        raise ValueError("not a shape file")
     at, number = 100, 0
-    while at + 12 <= len(data):
+    while at < len(data):
         (words,) = struct.unpack(">i", data[at + 4:at + 8])
+        if words < 2 or at + 8 + words * 2 > len(data):
+            raise ValueError(f"record {number} is cut off")
         body = data[at + 8:at + 8 + words * 2]
         (kind,) = struct.unpack("<i", body[:4])
         wkt = None
@@ -63,27 +70,53 @@ def decode_shapes(data: bytes) -> Iterator[tuple[int, str | None]]:
         at, number = at + 8 + words * 2, number + 1
 
 
-def decode_attributes(data: bytes, encoding: str = "utf-8") -> Iterator[tuple[int, dict[str, str | None]]]:
-    """(record number from 0, field -> text) of a .dbf file; empty fields are None."""
+def decode_attributes(data: bytes, encoding: str = "utf-8") -> Iterator[tuple[int, dict[str, str | None] | None]]:
+    """(record number from 0, field -> text) of a .dbf file; empty fields are None, deleted records have no fields.
+
+    Bytes the encoding does not know, and a file that ends early, raise an error.
+    """
     n_records, header, width = struct.unpack("<IHH", data[4:12])
     fields, at, offset = [], 32, 1
     while data[at] != 0x0D:
-        name = data[at:at + 11].split(b"\0")[0].decode(encoding, "replace")
+        name = data[at:at + 11].split(b"\0")[0].decode(encoding)
         size = data[at + 16]
         fields.append((name, offset, size))
         offset, at = offset + size, at + 32
     for number in range(n_records):
         record = data[header + number * width:header + (number + 1) * width]
-        values = {n: record[o:o + s].decode(encoding, "replace").strip(" \0") or None for n, o, s in fields}
-        yield number, values
+        if len(record) < width:
+            raise ValueError(f"record {number} is cut off")
+        if record[:1] == DELETED:
+            yield number, None
+            continue
+        yield number, {n: record[o:o + s].decode(encoding).strip(" \0") or None for n, o, s in fields}
+
+
+def _records(decode, files: pd.DataFrame) -> Iterator[tuple[str, Iterator]]:
+    """Path and fresh record iterator of each file, with its encoding where the files have one."""
+    names = files["encoding"] if "encoding" in files else [None] * len(files)
+    for path, content, encoding in zip(files["path"], files["content"], names):
+        data = bytes(content)
+        yield path, (lambda d=data, e=encoding: decode(d, e) if e else decode(d))
+
+
+def _fault(records) -> str | None:
+    """Why a file cannot be read to its end; reading first without keeping bounds memory by a record."""
+    try:
+        for _ in records():
+            pass
+    except (ValueError, IndexError, LookupError, struct.error) as error:
+        return str(error) or type(error).__name__
+    return None
 
 
 def _in_batches(decode, column: str):
+    """Records of the files that can be read to their end; the others are for `_faults`."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for files in batches:
-            for path, content in zip(files["path"], files["content"]):
+            for path, records in _records(decode, files):
                 numbers, values = [], []
-                for number, value in decode(bytes(content)):
+                for number, value in records() if _fault(records) is None else ():
                     numbers.append(number)
                     values.append(value)
                     if len(numbers) == RECORD_BATCH:
@@ -94,34 +127,96 @@ def _in_batches(decode, column: str):
     return run
 
 
+def _faults(decode):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for files in batches:
+            yield pd.DataFrame([(path, reason) for path, records in _records(decode, files) if (reason := _fault(records))], columns=["path", "reason"], dtype=str)
+    return run
+
+
 def _read(spark: SparkSession, path: str, pattern: str) -> DataFrame:
     return spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path).select("path", "content")
 
 
 def shape_records(files: DataFrame) -> DataFrame:
-    """(path, record, geometry) of .shp contents (path, content)."""
+    """(path, record, geometry) of .shp contents (path, content); a damaged file has no rows, see `boundary_rejects`.
+
+    A file is one binary value read by one task, so it has to stay below 2 GB.
+    """
     return files.select("path", "content").mapInPandas(_in_batches(decode_shapes, "geometry"), "path string, record int, geometry string")
 
 
 def attribute_records(files: DataFrame) -> DataFrame:
-    """(path, record, attributes) of .dbf contents (path, content)."""
+    """(path, record, attributes) of .dbf contents (path, content and, if known, encoding).
+
+    Deleted records have null attributes; a file that cannot be read has no rows.
+    """
     schema = "path string, record int, attributes map<string,string>"
-    return files.select("path", "content").mapInPandas(_in_batches(decode_attributes, "attributes"), schema)
+    return files.select(*_contents(files)).mapInPandas(_in_batches(decode_attributes, "attributes"), schema)
+
+
+def boundary_rejects(shapes: DataFrame, attributes: DataFrame) -> DataFrame:
+    """(path, reason, status error) of the .shp and .dbf contents that cannot be read."""
+    bad = shapes.select("path", "content").mapInPandas(_faults(decode_shapes), "path string, reason string")
+    more = attributes.select(*_contents(attributes)).mapInPandas(_faults(decode_attributes), "path string, reason string")
+    return bad.unionByName(more).withColumn("status", F.lit("error"))
+
+
+def _contents(files: DataFrame) -> list[str]:
+    return [c for c in ("path", "content", "encoding") if c in files.columns]
+
+
+def with_encoding(attributes: DataFrame, notes: DataFrame) -> DataFrame:
+    """.dbf contents with the encoding named by the .cpg content (path, content) beside them; null: UTF-8.
+
+    A bare code page number, as in `950` or `ANSI 1252`, is written out for Python.
+    """
+    text = F.nullif(F.regexp_replace(F.btrim(F.col("content").cast("string"), F.lit(" \r\n\t")), r"^(?:ANSI )?(\d+)$", "cp$1"), F.lit(""))
+    named = notes.select(_home(F.col("path")).alias("_home"), text.alias("encoding"))
+    return attributes.withColumn("_home", _home(F.col("path"))).join(named, "_home", "left").drop("_home")
+
+
+def _home(path: Column) -> Column:
+    """Folder and stem: what the files of one boundary layer share."""
+    return F.regexp_replace(path, r"\.[^./]*$", "")
+
+
+def _wanted(path: Column) -> Column:
+    """Only county and town files are boundaries."""
+    name = F.lower(F.substring_index(path, "/", -1))
+    return name.contains("county") | name.contains("town")
 
 
 def join_records(shapes: DataFrame, attributes: DataFrame) -> DataFrame:
-    """Boundary records: file_name, shp_version, record, geometry, attributes."""
-    left = shapes.select(
-        F.substring_index("path", "/", -1).alias("file_name"), file_stem(F.col("path")).alias("shp_version"), "record", "geometry"
+    """Boundary records: file_name, shp_version, record, geometry, attributes.
+
+    Shapes and attributes meet on folder, stem and record number; records deleted in the .dbf
+    are left out with their shape.
+    """
+    left = shapes.where(_wanted(F.col("path"))).select(
+        _home(F.col("path")).alias("_home"), F.substring_index("path", "/", -1).alias("file_name"),
+        file_stem(F.col("path")).alias("shp_version"), "record", "geometry"
     )
-    right = attributes.select(file_stem(F.col("path")).alias("shp_version"), "record", "attributes")
-    lower = F.lower("file_name")
-    return left.where(lower.contains("county") | lower.contains("town")).join(right, ["shp_version", "record"], "left")
+    right = attributes.select(_home(F.col("path")).alias("_home"), "record", "attributes", F.col("attributes").isNull().alias("_deleted"))
+    joined = left.join(right, ["_home", "record"], "left").where(~F.coalesce("_deleted", F.lit(False)))
+    return joined.select("file_name", "shp_version", "record", "geometry", "attributes")
+
+
+def _folder(spark: SparkSession, folder: str, name: str = "*") -> tuple[DataFrame, DataFrame]:
+    """Contents of the boundary files of a folder, names chosen before anything is read or decoded."""
+    shapes, attributes = (_read(spark, folder, f"{name}.{kind}").where(_wanted(F.col("path"))) for kind in ("shp", "dbf"))
+    return shapes, with_encoding(attributes, _read(spark, folder, f"{name}.cpg"))
 
 
 def read_boundary_files(spark: SparkSession, folder: str) -> DataFrame:
     """All boundary records of a folder of .shp and .dbf files."""
-    return join_records(shape_records(_read(spark, folder, "*.shp")), attribute_records(_read(spark, folder, "*.dbf")))
+    shapes, attributes = _folder(spark, folder)
+    return join_records(shape_records(shapes), attribute_records(attributes))
+
+
+def read_boundary_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """The boundary files of a folder that cannot be read, with the reason."""
+    return boundary_rejects(*_folder(spark, folder))
 
 
 def read_boundary_file(spark: SparkSession, path: str) -> DataFrame:
@@ -130,19 +225,25 @@ def read_boundary_file(spark: SparkSession, path: str) -> DataFrame:
     The attribute names come from the header of the .dbf file next to it.
     """
     name = path.rsplit("/", 1)[-1]
-    records = read_boundary_files(spark, path.rsplit("/", 1)[0]).where(F.col("file_name") == name)
-    dbf = path[:-4] + ".dbf"
-    names = [row.k for row in _read(spark, dbf, "*").mapInPandas(_header_names, "k string").collect()]
+    shapes, attributes = _folder(spark, path.rsplit("/", 1)[0], _literal(name[:-4]))
+    records = join_records(shape_records(shapes), attribute_records(attributes))
+    names = [row.k for row in attributes.mapInPandas(_header_names, "k string").collect()]
     table = records.select(*[F.try_element_at("attributes", F.lit(n)).alias(n) for n in names], "geometry", "shp_version")
     order = sort_column(table.columns, name)
     return natural_sort(table, order) if order else table
 
 
+def _literal(name: str) -> str:
+    """A file name as a pattern that matches only itself."""
+    return "".join(f"[{c}]" if c in "*?{}[" else c for c in name)
+
+
 def _header_names(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for files in batches:
-        for content in files["content"]:
-            data, at, names = bytes(content), 32, []
-            while data[at] != 0x0D:
-                names.append(data[at:at + 11].split(b"\0")[0].decode("utf-8", "replace"))
+        for content, encoding in zip(files["content"], files["encoding"]):
+            data, code, at, names = bytes(content), encoding or "utf-8", 32, []
+            readable = _fault(lambda d=data, c=code: decode_attributes(d, c)) is None
+            while readable and data[at] != 0x0D:
+                names.append(data[at:at + 11].split(b"\0")[0].decode(code))
                 at += 32
             yield pd.DataFrame({"k": names})

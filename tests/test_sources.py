@@ -117,6 +117,32 @@ def test_boundary_files(spark, tmp_path):
     assert names == {"TOWN_MOI_1140318.shp": "TOWN_MOI_1140318", "COUNTY_notes.shp": "COUNTY_notes"}
 
 
+def test_boundary_files_that_are_odd(spark, tmp_path):
+    boundary_folder(tmp_path, ("TOWN_a", "TOWN_cut", "TOWN_deleted", "TOWN_big5", "River_cut"))
+    for name in ("TOWN_cut.shp", "River_cut.shp"):
+        (tmp_path / name).write_bytes((tmp_path / name).read_bytes()[:-10])
+    whole = (tmp_path / "TOWN_deleted.dbf").read_bytes()
+    (tmp_path / "TOWN_deleted.dbf").write_bytes(whole.replace(b" A10", b"*A10", 1))
+    renamed = whole.replace(b"A10".ljust(12), "北".encode("big5").ljust(12))
+    (tmp_path / "TOWN_big5.dbf").write_bytes(renamed)
+    rejects = lambda: {r.path.rsplit("/", 1)[1]: r.status for r in shapefiles.read_boundary_rejects(spark, str(tmp_path)).collect()}
+    assert rejects() == {"TOWN_cut.shp": "error", "TOWN_big5.dbf": "error"}  # rivers are not read at all
+    (tmp_path / "TOWN_big5.cpg").write_text("950\n")
+    assert rejects() == {"TOWN_cut.shp": "error"}
+    found: dict[str, set] = {}
+    for r in shapefiles.read_boundary_files(spark, str(tmp_path)).collect():
+        found.setdefault(r.shp_version, set()).add(r.attributes["TOWNID"])
+    assert found == {"TOWN_a": {"A10", "A2", "T28", "A1"}, "TOWN_deleted": {"A2", "T28", "A1"}, "TOWN_big5": {"北", "A2", "T28", "A1"}}
+    assert shapefiles.read_boundary_file(spark, f"{tmp_path}/TOWN_big5.shp").count() == 4
+    assert shapefiles.read_boundary_file(spark, f"{tmp_path}/TOWN_cut.shp").count() == 0
+
+
+def test_records_meet_within_their_folder(spark):
+    shapes = spark.createDataFrame([("x/TOWN_1.shp", 0, "p"), ("y/TOWN_1.shp", 0, "q")], "path string, record int, geometry string")
+    notes = spark.createDataFrame([("x/TOWN_1.dbf", 0, {"a": "1"}), ("y/TOWN_1.dbf", 0, {"a": "2"})], "path string, record int, attributes map<string,string>")
+    assert sorted((r.geometry, r.attributes["a"]) for r in shapefiles.join_records(shapes, notes).collect()) == [("p", "1"), ("q", "2")]
+
+
 def test_ingest_twice_adds_nothing(spark, tmp_path):
     batch = ingest.areas_from_records(shapefiles.read_boundary_files(spark, boundary_folder(tmp_path, ("TOWN_MOI_1140318",))))
     assert not ingest.has_refused(batch)
