@@ -67,18 +67,18 @@ def without_split_town(df: DataFrame) -> DataFrame:
     return df.where(~F.coalesce(dropped, F.lit(False)))
 
 
-def batch_gate(df: DataFrame) -> DataFrame:
-    """One row per version: row count, rows without area id, and whether the batch may be stored."""
+def batch_gate(df: DataFrame, unit: tuple[str, ...] = ("shp_version",)) -> DataFrame:
+    """One row per version (or other unit): row count, rows without area id, and whether the batch may be stored."""
     bad = F.count_if(is_missing(F.col("area_id")))
-    return df.groupBy("shp_version").agg(
+    return df.groupBy(*unit).agg(
         F.count("*").alias("n_rows"), bad.alias("n_missing"), (bad == 0).alias("accepted")
     )
 
 
-def accepted_batches(df: DataFrame) -> DataFrame:
-    """Rows of the versions in which every row has an area id."""
-    refused = df.where(is_missing(F.col("area_id"))).select("shp_version").distinct()
-    return df.join(refused, "shp_version", "left_anti").select(*df.columns)
+def accepted_batches(df: DataFrame, unit: tuple[str, ...] = ("shp_version",)) -> DataFrame:
+    """Rows of the versions (or other units) in which every row has an area id."""
+    refused = df.where(is_missing(F.col("area_id"))).select(*unit).distinct()
+    return df.join(refused, list(unit), "left_anti").select(*df.columns)
 
 
 def insert_new(target: DataFrame, batch: DataFrame, position: str, keys: list[str] | None = None) -> DataFrame:
@@ -93,9 +93,9 @@ def insert_new(target: DataFrame, batch: DataFrame, position: str, keys: list[st
     return target.unionByName(added, allowMissingColumns=True)
 
 
-def new_versions(batch: DataFrame, stored: DataFrame) -> DataFrame:
-    """Batch rows of versions nothing is stored of."""
-    return batch.join(stored.select("shp_version").distinct(), "shp_version", "left_anti").select(*batch.columns)
+def new_versions(batch: DataFrame, stored: DataFrame, unit: tuple[str, ...] = ("shp_version",)) -> DataFrame:
+    """Batch rows of versions (or other units) nothing is stored of."""
+    return batch.join(stored.select(*unit).distinct(), list(unit), "left_anti").select(*batch.columns)
 
 
 def areas_by_level(areas: DataFrame, level: str | None = None) -> DataFrame:

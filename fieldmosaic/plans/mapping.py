@@ -60,13 +60,13 @@ def image_digest(pixels: DataFrame) -> DataFrame:
 
 def run(
     images: DataFrame, known: DataFrame, pixels: DataFrame, areas: DataFrame, keys: list[str], ledger: DataFrame,
-    masked: DataFrame, files: DataFrame | None = None, mask: DataFrame | None = None,
+    masked: DataFrame, files: DataFrame | None = None, mask: DataFrame | None = None, rejects: DataFrame | None = None,
 ) -> MappingRun:
     """Mask what is new or changed in a snapshot of raw images, and log it.
 
     `images` has the image key, area_level, region_name, path, content and recorded_at, `known`
-    path and content of the snapshot before. An image without content or polygon is an error and
-    ends there. An unchanged one is left alone if the ledger has its mask (and `files` the mask's
+    path and content of the snapshot before. An image without content or polygon, or listed in
+    `rejects` (path, reason), is an error and ends there; `reason` says why. An unchanged one is left alone if the ledger has its mask (and `files` the mask's
     path). All others are masked; the ledger gets their raw row, and their masked row unless
     the stored mask has the same pixels. A run on its own outcome changes nothing.
 
@@ -74,9 +74,14 @@ def run(
     pixels only towards their mask.
     """
     shaped = areas.where("parts is not null").select(*keys).distinct().withColumn("_shaped", F.lit(True))
-    failed = F.col("content").isNull() | F.col("_shaped").isNull()
     found = images.join(change_status(known, images), "path").join(shaped, keys, "left")
-    found = found.withColumn("status", F.when(failed, "error").otherwise(F.col("status"))).drop("content", "_shaped")
+    unreadable = F.lit(None).cast("string")
+    if rejects is not None:
+        why = rejects.groupBy("path").agg(F.min("reason").alias("_why"))
+        found, unreadable = found.join(why, "path", "left"), F.col("_why")
+    reason = F.when(F.col("content").isNull(), "content missing").when(F.col("_shaped").isNull(), "geometry missing").otherwise(unreadable)
+    found = found.withColumn("reason", reason).drop("content", "_shaped", "_why")
+    found = found.withColumn("status", F.when(F.col("reason").isNotNull(), "error").otherwise(F.col("status")))
     work = materialize(mask_decision(found, ledger, files))
 
     todo = work.where("action = 'mask'")

@@ -1,47 +1,60 @@
-"""New boundary versions as a file stream."""
+"""New boundary files as a file stream."""
 
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from fieldmosaic.operators.boundaries import accepted_batches, new_versions, without_split_town
-from fieldmosaic.operators.records import first_per_key
+from fieldmosaic.operators.boundaries import accepted_batches, batch_gate, new_versions, without_split_town
+from fieldmosaic.operators.records import one_per_key
 from fieldmosaic.schemas import AREA_KEY
 
+UNIT = ("shp_version", "source_file")  # what is accepted or refused, and stored, as a whole
+
 
 def stored_areas(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
+    """What is stored so far; only a missing path counts as nothing."""
     try:
         return spark.read.schema(like.schema).parquet(path)
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return like.limit(0)
 
 
-def store_versions(batch: DataFrame, target: str, position: str) -> None:
-    """Write the versions of a batch that are not stored yet, each as its own partition folder.
+def store_files(batch: DataFrame, number: int, target: str, position: str, refused: str) -> None:
+    """Write the areas of each version and file that are not stored yet, as a partition folder of its own.
 
-    Whole folders are replaced, so a batch that is run again after a failure leaves the same
-    table behind.
+    An area another file of its version brought before is left as it is. Files with a nameless row
+    are refused and listed in `refused`. Whole folders are replaced, so a batch that is run
+    again after a failure leaves the same tables behind.
     """
     spark = batch.sparkSession
-    rows = batch.drop(position)
-    fresh = accepted_batches(without_split_town(new_versions(batch, stored_areas(spark, target, rows))))
-    kept = first_per_key(fresh, AREA_KEY, position).drop(position)
+    stored = stored_areas(spark, target, batch.drop(position))
+    fresh = without_split_town(new_versions(batch, stored, UNIT))
+    gate = batch_gate(fresh, UNIT).where("not accepted").drop("accepted")
+    gate.write.mode("overwrite").parquet(f"{refused}/batch={number}")
+    named = one_per_key(accepted_batches(fresh, UNIT), AREA_KEY, [F.col(position), F.col("source_file")]).drop(position)
+    kept = named.join(stored.select(*AREA_KEY), AREA_KEY, "left_anti").select(*named.columns)
     (
-        kept.hint("rebalance", "shp_version").write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic").partitionBy("shp_version").parquet(target)
+        kept.hint("rebalance", *UNIT).write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic").partitionBy(*UNIT).parquet(target)
     )
 
 
-def ingest_stream(spark: SparkSession, folder: str, schema, target: str, checkpoint: str, position: str = "record") -> StreamingQuery:
-    """Ingest area files that appear in a folder; a file is read once, a version stored once.
+def ingest_stream(
+    spark: SparkSession, folder: str, schema, target: str, checkpoint: str, position: str = "record", refused: str | None = None,
+) -> StreamingQuery:
+    """Ingest area files that appear in a folder; each file is read once.
 
-    A version has to arrive within one file. Runs until all present files are done; start it
-    again to go on from the checkpoint.
+    A version may arrive in several files, at any time. Runs until all present files are done;
+    start it again to go on from the checkpoint. Refused files are listed in `refused` (default:
+    the target with `_refused`).
     """
-    stream = spark.readStream.schema(schema).parquet(folder)
+    stream = spark.readStream.schema(schema).parquet(folder).withColumn("source_file", F.col("_metadata.file_name"))
+    away = refused or f"{target.rstrip('/')}_refused"
     return (
-        stream.writeStream.foreachBatch(lambda batch, _: store_versions(batch, target, position))
+        stream.writeStream.foreachBatch(lambda batch, number: store_files(batch, number, target, position, away))
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )

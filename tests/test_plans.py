@@ -38,6 +38,12 @@ def test_mapping_job_twice(spark):
     assert {r.area_id: r.action for r in second.work.collect()}["A"] == "skip"
     assert sorted(second.ledger.collect()) == sorted(rows) and sorted(second.masked.collect()) == sorted(first.masked.collect())
 
+    rejects = spark.createDataFrame([("raw/A", "16 bits per sample")], "path string, reason string")
+    torn = mapping.run(later, nothing, pixels, areas, ["area_id", "shp_version"], ledger, pixels.limit(0), rejects=rejects)
+    assert {r.area_id: (r.action, r.reason) for r in torn.work.collect()} == {
+        "A": ("stop", "16 bits per sample"), "B": ("stop", "content missing"), "C": ("stop", "geometry missing")}
+    assert torn.ledger.isEmpty() and torn.masked.isEmpty()
+
     # new bytes, same pixels: the raw row is renewed, the mask's row is not
     bytes_only = later.withColumn("content", F.concat("content", F.lit("!")))
     third = mapping.run(bytes_only, seen, pixels, areas, ["area_id", "shp_version"], first.ledger, first.masked)

@@ -170,10 +170,15 @@ def test_stream_ingests_each_version_once(spark, tmp_path):
     first = arrive([("A", "a", "v1", 0), ("A", "again", "v1", 1), ("B", "b", "v1", 2)])
     assert first == [("A", "v1", "a"), ("B", "v1", "b")]
     assert arrive([("A", "changed", "v1", 0)]) == first
+    late = arrive([("C", "late", "v1", 0), ("A", "changed", "v1", 1)])
+    assert late == [*first, ("C", "v1", "late")]  # a later file of a version adds the areas it lacks
+    assert arrive([("D", "d", "v1", 0), (None, "nameless", "v1", 1)]) == late
+    refused = spark.read.parquet(f"{target}_refused").where("n_missing > 0").collect()
+    assert [(r.shp_version, r.n_rows, r.n_missing) for r in refused] == [("v1", 2, 1)]
     assert arrive([("A", "a", "v2", 0), ("T28", "x", "TOWN_MOI_1", 0), ("Z", "z", "TOWN_MOI_1", 1), (" ", "", "v3", 0), ("C", "c", "v3", 1)]) == sorted(
-        [*first, ("A", "v2", "a"), ("Z", "TOWN_MOI_1", "z")])
+        [*late, ("A", "v2", "a"), ("Z", "TOWN_MOI_1", "z")])
     ingest_stream(spark, incoming, schema, target, f"{tmp_path}/fresh").awaitTermination()
-    assert spark.read.parquet(target).count() == 4
+    assert spark.read.parquet(target).count() == 5
 
 
 def test_json_sources(spark, tmp_path):
