@@ -1,13 +1,13 @@
 """Line dedup by winnowing over line hashes.
 
-Around every line stands a window: the shortest run of lines from it on that has `min_words`
-words. Its least line hash is a fingerprint: two documents that share a run of that many words
-share the window at its start, thus the fingerprint. Only windows whose fingerprint occurs more
-than once are looked at further. A match is extended both ways by comparing the 128-bit digests
-of all windows around it, and a window that occurred earlier (by document id, then position) is
-deleted; windows overlap, so a longer run goes as a whole. Every step reduces to one row per
-fingerprint or digest before the shuffle, so a line that a third of the documents hold is one
-row with a count, and no pairs of occurrences exist at any time.
+From every line on stands a window, the shortest run of lines that has `min_words` words, and
+another one ends at it. The least line hash of a window is its fingerprint. Only windows whose
+fingerprint occurs more than once are looked at further; those whose 128-bit digest occurred
+earlier (by document id, then position) are deleted. That extends a match both ways: of a longer
+repeated run every line goes, the first ones by the window at its start, each later one by the
+window that ends there. Every step reduces to one row per fingerprint or digest before the
+shuffle, so a line that a third of the documents hold is one row with a count, and no pairs of
+occurrences exist at any time.
 """
 
 from __future__ import annotations
@@ -29,21 +29,40 @@ _WINDOWS = "_key string, _id {kind}, print long, digest binary, first int, past
 def line_windows(text: str, min_words: int) -> list[tuple[int, bytes, int, int]]:
     """(fingerprint, digest, first line, line after the last) of every window of the text."""
     lines = [line.strip() for line in text.encode("utf-8", "surrogatepass").split(b"\n")]
-    sums = np.cumsum([0] + [len(line.split()) for line in lines])
+    full = [k for k, line in enumerate(lines) if line]  # blank lines are counted beside a window, so many of them cost no more
+    sums = np.cumsum([0] + [len(lines[k].split()) for k in full])
     if sums[-1] < min_words:
         return []
     codes = [xxhash.xxh3_64_intdigest(line) for line in lines]
-    past = np.searchsorted(sums, sums[:-1] + min_words)
+
+    def window(first: int, end: int) -> tuple[int, bytes]:
+        part = codes[first:end]
+        low = min(part)
+        digest = xxhash.xxh3_128_digest(struct.pack(f"<{len(part)}Q", *part)) if len(part) > 1 else xxhash.xxh3_128_digest(lines[first])
+        return low - (1 << 64) if low >> 63 else low, digest
+
+    def widened(digest: bytes, before: int, after: int) -> bytes:
+        return xxhash.xxh3_128_digest(digest + struct.pack("<2Q", before, after)) if before or after else digest
+
+    known: dict[tuple[int, int], tuple[int, bytes]] = {}
     found = []
-    for first, end in enumerate(past.tolist()):
-        if end > len(lines):
+    ends = np.searchsorted(sums, sums[:-1] + min_words).tolist()
+    for k, end in enumerate(ends):
+        if end > len(full):
             break
-        if end > first + 1 and sums[first + 1] == sums[first]:
-            continue  # a blank line starts no window
-        window = codes[first:end]
-        digest = xxhash.xxh3_128_digest(struct.pack(f"<{len(window)}Q", *window)) if len(window) > 1 else xxhash.xxh3_128_digest(lines[first])
-        low = min(window)
-        found.append((low - (1 << 64) if low >> 63 else low, digest, first, end))
+        first, past = full[k], full[end - 1] + 1
+        low, digest = known[first, past] = window(first, past)
+        blank = first - (full[k - 1] + 1 if k else 0)
+        found += [(low, widened(digest, n, 0), first - n, past) for n in range(blank + 1)]
+    starts = (np.searchsorted(sums, sums[1:] - min_words, "right") - 1).tolist()
+    for k, start in enumerate(starts):
+        if start < 0:
+            continue
+        first, past = full[start], full[k] + 1
+        same = known.get((first, past))
+        low, digest = same or window(first, past)
+        blank = (full[k + 1] if k + 1 < len(full) else len(lines)) - past
+        found += [(low, widened(digest, 0, n), first, past + n) for n in range(1 if same else 0, blank + 1)]
     return found
 
 

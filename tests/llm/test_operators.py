@@ -81,6 +81,31 @@ def test_line_dedup_matches_brute_force(spark):
     assert got == want
 
 
+def test_repeated_runs_go_as_a_whole(spark):
+    rng = random.Random(9)
+    lines = [long_text(rng, n) for n in (2, 8, 20, 20, 30, 49, 50, 70)] + ["", "  "]
+    rows = [(k, "\n".join(rng.choice(lines) for _ in range(rng.randint(1, 9)))) for k in range(40)]
+    copy = "\n".join([long_text(rng, 60), "", "", long_text(rng, 40), long_text(rng, 5), ""])
+    rows += [(40, copy), (41, copy), (42, "before\n" + copy + "after " + long_text(rng, 60))]
+    seen, want = set(), {}
+    for k, text in rows:
+        parts, cut = [p.strip() for p in text.split("\n")], set()
+        for i, j in itertools.combinations(range(len(parts) + 1), 2):  # by start: a run may repeat one of its own text
+            run = tuple(parts[i:j])
+            if sum(len(p.split()) for p in run) >= 50:
+                if run in seen:
+                    cut |= set(range(i, j))
+                seen.add(run)
+        want[k] = "\n".join(p for i, p in enumerate(text.split("\n")) if i not in cut)
+    got = {r.row.doc_id: r.text for r in line_dedup.dedup_lines(table(spark, rows)).collect()}
+    assert got == want and got[41] == "" and got[42].startswith("before\nafter")
+
+
+def test_many_blank_lines_cost_no_more_than_others():
+    text = "\n".join(["a " * 40] + [""] * 200_000 + ["b " * 40, ""])
+    assert len(line_dedup.line_windows(text, 50)) == 2
+
+
 def jaccard(a, b):
     def grams(t):
         w = re.findall(r"[^\W_]+", t.lower())
