@@ -4,19 +4,24 @@ Patterns find e-mail addresses, IP addresses, card and telephone numbers. Their
 protected entities. Corpus counts then say how much a term discloses of an entity: the pointwise
 mutual information of term and entity over the information of the entity itself,
 log(n(t,e) N / n(t) n(e)) / log(N / n(e)), is 1 for a term that stands only where the entity does.
-Terms near an entity (same line, within REACH words) whose disclosure reaches a threshold are
-generalised, those above a second threshold are removed.
+Terms are counted with the entities of their whole text. A term whose disclosure of any entity reaches a
+threshold is generalised wherever it occurs, in texts without the entity too; one above a second
+threshold is removed.
 
 Counts are over the whole corpus. A term or entity that a third of the texts
 hold is summed within tasks before it is shuffled, and met by joins in which one side has one row per key.
+Pairs are formed only of entities and terms whose own counts allow the support and the threshold. Terms
+to mark are looked for with a filter of fixed size and confirmed by a join.
 """
 
 from __future__ import annotations
 
 import re
-from bisect import bisect_left, bisect_right
+import zlib
+from bisect import bisect_right
 from collections import Counter
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -24,7 +29,7 @@ from fieldmosaic.llm.common import documents, identified, stored
 from fieldmosaic.llm.registry import query
 
 KINDS = ("email", "ip", "card", "phone", "term")
-REACH = 8  # words to either side of an entity
+FILTER_BITS = 1 << 23
 SUPPORT = 3  # texts that hold term and entity together, at least
 GENERALIZE, REMOVE = 0.9, 0.99
 DOMAIN = re.compile(r"@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -82,32 +87,31 @@ def entity_of(text: str, span: tuple[int, int, str]) -> str:
     return f"{span[2]}:{value if span[2] in ('email', 'ip') else re.sub('[^0-9]', '', value)}"
 
 
-def nearby(text: str, spans: list[tuple[int, int, str]], reach: int = REACH):
-    """(entity, term, start, end) for every term in the line of an entity, `reach` terms away at most."""
-    if not spans:
-        return
-    last_line, words, starts = None, [], []
-    for span in spans:
-        low = text.rfind("\n", 0, span[0]) + 1
-        high = text.find("\n", span[1])
-        line = (low, len(text) if high < 0 else high)
-        if line != last_line:
-            words = [(m.start(), m.end()) for m in TERM.finditer(text, *line) if not any(s < m.end() and m.start() < e for s, e, _ in spans[max(0, bisect_left(spans, (line[0],)) - 1) : bisect_right(spans, (line[1],))])]
-            starts, last_line = [w[0] for w in words], line
-        k, entity = bisect_left(starts, span[0]), entity_of(text, span)
-        for s, e in words[max(0, k - reach) : k + reach]:
-            yield entity, text[s:e].lower(), s, e
+def term_places(text: str, spans: list[tuple[int, int, str]]):
+    """(start, end) of every term that does not lie inside a span."""
+    starts, reach = [s for s, _, _ in spans], []
+    for _, e, _ in spans:
+        reach.append(max(e, reach[-1]) if reach else e)
+    for m in TERM.finditer(text):
+        k = bisect_right(starts, m.start())
+        if not k or reach[k - 1] < m.end():
+            yield m.span()
+
+
+def terms_of(text: str, spans: list[tuple[int, int, str]]) -> set[str]:
+    words = {text[s:e] for s, e in term_places(text, spans)} if spans else set(TERM.findall(text))
+    return {word.lower() for word in words}
 
 
 def _found(batches):
-    """Per row: its spans, and the terms near an entity with their places."""
+    """Per row: its spans and entities, and the terms of a text that holds any entity."""
     for batch in batches:
         out = []
         for key, doc, text in zip(batch["_key"], batch["_id"], batch["_text"]):
             spans = base_spans(text)
             entities = sorted({entity_of(text, s) for s in spans})
-            out.append((key, doc, spans, entities, sorted(set(nearby(text, spans)))))
-        yield pd.DataFrame(out, columns=["_key", "_id", "base", "entities", "near"])
+            out.append((key, doc, spans, entities, sorted(terms_of(text, spans)) if entities else []))
+        yield pd.DataFrame(out, columns=["_key", "_id", "base", "entities", "words"])
 
 
 def _term_counts(batches):
@@ -115,7 +119,7 @@ def _term_counts(batches):
     for batch in batches:
         total: Counter = Counter()
         for text in batch["_text"]:
-            total.update(set(TERM.findall(text.lower())))
+            total.update(terms_of(text, base_spans(text)))
         yield pd.DataFrame({"term": list(total.keys()), "with_term": list(total.values())})
 
 
@@ -126,32 +130,87 @@ def disclosures(rows: DataFrame, found: DataFrame, support: int = SUPPORT, least
     counts are over rows. An entity of every row carries no information and discloses nothing.
     """
     total = found.count()
-    entities = found.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("with_entity"))
-    pairs = found.select("_text_key", F.explode(F.array_distinct(F.transform("near", lambda n: F.struct(n["entity"].alias("entity"), n["term"].alias("term"))))).alias("pair"))
-    pairs = pairs.groupBy("pair.entity", "pair.term", "_text_key").agg(F.count("*").alias("n")).groupBy("entity", "term").agg(F.sum("n").alias("both"), F.count("*").alias("texts"))
-    pairs = stored(pairs.where(F.col("texts") >= support), "pairs")
+    held = found.where(F.size("entities") > 0)
+    entities = held.select("_text_key", F.explode("entities").alias("entity")).groupBy("entity", "_text_key").agg(F.count("*").alias("n"))
+    entities = stored(entities, "entities")
+    often = entities.groupBy("entity").agg(F.sum("n").alias("with_entity"), F.count("*").alias("texts"))
+    often = stored(often.where((F.col("texts") >= support) & (F.col("with_entity") < total)).drop("texts"), "often")
+    shape = "entity string, term string, disclosure double"
+    if often.isEmpty():
+        return rows.sparkSession.createDataFrame([], shape)
+    bearing = stored(entities.join(often, "entity"), "bearing")
+    words = held.join(bearing.select("_text_key").distinct(), "_text_key", "left_semi").select("_text_key", "words").dropDuplicates(["_text_key"])
+    words = stored(words.select("_text_key", F.explode("words").alias("term")), "words")
+    shared = words.groupBy("term").agg(F.count("*").alias("texts")).where(F.col("texts") >= support).select("term")
     terms = rows.mapInPandas(_term_counts, "term string, with_term long").groupBy("term").agg(F.sum("with_term").alias("with_term"))
-    joined = pairs.join(entities, "entity").join(terms.join(pairs.select("term").distinct(), "term", "left_semi"), "term")
-    gain = F.log(F.col("both") * F.lit(float(total)) / (F.col("with_term") * F.col("with_entity")))
-    rate = F.try_divide(gain, F.log(F.lit(float(total)) / F.col("with_entity")))
-    return joined.select("entity", "term", F.round(rate, 6).alias("disclosure")).where(F.col("disclosure") >= least)
+    terms = stored(terms.join(shared, "term", "left_semi"), "terms")
+    whole = F.lit(float(total))
+    # With both = min(with_term, with_entity) the disclosure is at its greatest: 1 for the rarer term, else log(N / n(t)) / log(N / n(e)).
+    able = (F.col("with_term") <= F.col("with_entity")) | (F.log(whole / F.col("with_term")) >= (least - 1e-6) * F.log(whole / F.col("with_entity")))
+    pairs = words.join(terms, "term").join(bearing, "_text_key").where(able)
+    pairs = pairs.groupBy("entity", "term", "with_entity", "with_term").agg(F.sum("n").alias("both"), F.count("*").alias("texts")).where(F.col("texts") >= support)
+    gain = F.log(F.col("both") * whole / (F.col("with_term") * F.col("with_entity")))
+    rate = F.try_divide(gain, F.log(whole / F.col("with_entity")))
+    return pairs.select("entity", "term", F.round(rate, 6).alias("disclosure")).where(F.col("disclosure") >= least)
+
+
+def _filter_of(terms: DataFrame) -> bytes:
+    """A bit for every checksum of a term, FILTER_BITS in all."""
+    bit = F.crc32(F.col("term").cast("binary")) % FILTER_BITS
+    blocks = terms.select(bit.alias("bit")).groupBy(F.expr("bit div 32768").alias("block")).agg(F.bitmap_construct_agg(F.col("bit") % 32768).alias("bits"))
+    whole = bytearray(FILTER_BITS // 8)
+    for row in blocks.collect():
+        whole[row["block"] * 4096 : (row["block"] + 1) * 4096] = row["bits"]
+    return bytes(whole)
+
+
+def _occurrences(bits: bytes):
+    """(_key, term, start, stop) for every term that passes the filter."""
+
+    def run(batches):
+        passes = np.unpackbits(np.frombuffer(bits, np.uint8), bitorder="little")
+        for batch in batches:
+            out = []
+            for key, text in zip(batch["_key"], batch["_text"]):
+                if not any(passes[zlib.crc32(w.lower().encode("utf-8", "surrogatepass")) % FILTER_BITS] for w in set(TERM.findall(text))):
+                    continue
+                for s, e in term_places(text, base_spans(text)):
+                    term = text[s:e].lower()
+                    if passes[zlib.crc32(term.encode("utf-8", "surrogatepass")) % FILTER_BITS]:
+                        out.append((key, term, s, e))
+                if len(out) >= 50_000:
+                    yield pd.DataFrame(out, columns=["_key", "term", "start", "stop"])
+                    out = []
+            yield pd.DataFrame(out, columns=["_key", "term", "start", "stop"])
+
+    return run
+
+
+def marks_of(rows: DataFrame, known: DataFrame, remove: float = REMOVE) -> DataFrame:
+    """(_key, terms): every occurrence of a term that discloses an entity, in any text."""
+    shape = "_key string, term string, start int, stop int"
+    terms = known.groupBy("term").agg((F.max("disclosure") >= remove).alias("remove"))
+    if known.isEmpty():
+        occurs = rows.sparkSession.createDataFrame([], shape)
+    else:
+        occurs = rows.mapInPandas(_occurrences(_filter_of(terms)), shape)
+    marks = occurs.join(terms, "term").groupBy("_key").agg(F.array_sort(F.array_distinct(F.collect_list(F.struct("start", "stop", "remove")))).alias("terms"))
+    return stored(marks, "marks")
 
 
 def find_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", support: int = SUPPORT, generalize: float = GENERALIZE, remove: float = REMOVE) -> DataFrame:
-    """One row per row of `docs`: _key, id, base, terms (spans of terms that give an entity of the text away, with `remove`).
+    """One row per row of `docs`: _key, id, base, terms (spans of terms that give any entity away, with `remove`).
 
     Spans are code points, end exclusive. A null text counts as empty and has none; rows with
     equal id and text have equal spans; null ids are allowed.
     """
     rows = identified(docs, doc_id, text)
     kind = rows.schema["_id"].dataType.simpleString()
-    found = rows.mapInPandas(_found, f"_key string, _id {kind}, base {SPAN}, entities array<string>, near array<struct<entity:string,term:string,start:int,stop:int>>")
+    found = rows.mapInPandas(_found, f"_key string, _id {kind}, base {SPAN}, entities array<string>, words array<string>")
     found = stored(found.withColumn("_text_key", F.substring_index("_key", ":", -1)), "found")
     known = stored(disclosures(rows, found, support, generalize), "disclosures")
-    occurs = found.select("_key", F.explode("near").alias("n")).select("_key", "n.*").join(known, ["entity", "term"])
-    marks = occurs.groupBy("_key", "start", "stop").agg((F.max("disclosure") >= remove).alias("remove"))
-    marks = marks.groupBy("_key").agg(F.array_sort(F.collect_list(F.struct("start", "stop", "remove"))).alias("terms"))
-    joined = found.select("_key", F.col("_id").alias("id"), "base").join(stored(marks, "marks"), "_key", "left")
+    marks = marks_of(rows, known, remove)
+    joined = found.select("_key", F.col("_id").alias("id"), "base").join(marks, "_key", "left")
     return joined.withColumn("terms", F.coalesce("terms", F.array().cast("array<struct<start:int,stop:int,remove:boolean>>")))
 
 

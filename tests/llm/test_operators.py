@@ -195,6 +195,42 @@ def test_terms_that_give_an_entity_away(spark):
     assert "Quetzal" in found[50]  # nine copies of one text are one piece of evidence
 
 
+def brute_disclosures(texts, support=3, least=0.9):
+    """Entity and term of whole texts, by plain loops."""
+    held = []
+    for text in texts:
+        spans = sanitize.base_spans(text)
+        words = {m[0].lower() for m in sanitize.TERM.finditer(text) if not any(s <= m.start() and m.end() <= e for s, e, _ in spans)}
+        held.append(({sanitize.entity_of(text, s) for s in spans}, words))
+    found = {}
+    for e, t in {(e, t) for es, ts in held for e in es for t in ts}:
+        ne, nt = sum(e in es for es, _ in held), sum(t in ts for _, ts in held)
+        both = [x for x, (es, ts) in zip(texts, held) if e in es and t in ts]
+        if len(set(both)) >= support and ne < len(texts):
+            rate = round(math.log(len(both) * len(texts) / (nt * ne)) / math.log(len(texts) / ne), 6)
+            if rate >= least:
+                found[e, t] = rate
+    return found
+
+
+def test_disclosing_terms_are_counted_in_whole_texts_and_marked_everywhere(spark):
+    rng = random.Random(10)
+    far = "Signed far below\n" + "\n".join(["the note is fine and long enough to part them"] * 3)
+    rows = [(k, f"mail bob@x.example.org {WORDS[k]}\n{far}\nZanzibar") for k in range(40)] + [(40, "only Zanzibar here, zanzibar there"), (41, "zanzibars")]
+    rows += [(50 + k, " ".join(rng.choice(["alpha", "beta1", "gamma", "delta", "1.2.3.4", "eve@y.example.org", "+1 624 555 2408", "\n"]) for _ in range(rng.randint(1, 6)))) for k in range(60)]
+    rows += [(200 + k, far) for k in range(300)]
+    frame = table(spark, rows)
+    ids = sanitize.identified(frame)
+    found = ids.mapInPandas(sanitize._found, f"_key string, _id long, base {sanitize.SPAN}, entities array<string>, words array<string>").withColumn("_text_key", F.substring_index("_key", ":", -1))
+    for least in (0.9, 0.3):
+        got = {(r.entity, r.term): r.disclosure for r in sanitize.disclosures(ids, found, least=least).collect()}
+        want = brute_disclosures([t for _, t in rows], least=least)
+        assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 2e-6 for k in got)
+    assert ("email:bob@x.example.org", "zanzibar") in want
+    texts = {r.id: r.text for r in sanitize.sanitize(frame).collect()}
+    assert "Zanzibar" not in texts[0] and texts[40].lower().count("zanzibar") == 0 and texts[41] == "zanzibars" and "note" in texts[0]
+
+
 def test_quotes_lead_to_their_messages(spark):
     m = [("c", 0, "First point here.\n\nSecond point there."), ("c", 1, "I agree"), ("c", 2, "> Second point there.\nNo."), ("c", 3, "> > second  POINT there.\n> No.\nYes."), ("d", 0, "> I agree\nalone"), (None, 1, "> x"), ("c", None, "> I agree"), ("e", 0, None)]
     df = spark.createDataFrame([(*x, "r", "k") for x in m], "conv_id string, turn int, text string, row string, _key string")
