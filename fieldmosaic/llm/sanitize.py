@@ -38,7 +38,8 @@ LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz012345678
 IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-TERM = re.compile(r"[^\W\d_]{4,}")
+#: Every word of letters and digits, of any length.
+TERM = re.compile(r"[^\W_]+")
 SPAN = "array<struct<start:int,stop:int,kind:string>>"
 
 

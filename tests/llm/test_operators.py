@@ -231,6 +231,12 @@ def test_disclosing_terms_are_counted_in_whole_texts_and_marked_everywhere(spark
     assert "Zanzibar" not in texts[0] and texts[40].lower().count("zanzibar") == 0 and texts[41] == "zanzibars" and "note" in texts[0]
 
 
+def test_short_names_and_identifiers_are_terms(spark):
+    rows = [(k, f"{WORDS[k]} bob@x.example.org the note, Ana, 王芳, A1234") for k in range(5)] + [(10 + k, f"the note {k}") for k in range(60)] + [(90, "王芳 a1234 ana bana")]
+    texts = {r.id: r.text for r in sanitize.sanitize(table(spark, rows)).collect()}
+    assert texts[0] == "w0 [EMAIL] the note, [TERM], [TERM], [TERM]" and texts[90] == "[TERM] [TERM] [TERM] bana"
+
+
 def test_quotes_lead_to_their_messages(spark):
     m = [("c", 0, "First point here.\n\nSecond point there."), ("c", 1, "I agree"), ("c", 2, "> Second point there.\nNo."), ("c", 3, "> > second  POINT there.\n> No.\nYes."), ("d", 0, "> I agree\nalone"), (None, 1, "> x"), ("c", None, "> I agree"), ("e", 0, None)]
     df = spark.createDataFrame([(*x, "r", "k") for x in m], "conv_id string, turn int, text string, row string, _key string")
