@@ -1,6 +1,7 @@
 """Imports every module that registers a query."""
 
 from fieldmosaic.llm import (  # noqa: F401
+    conversation_repair,
     decontaminate,
     exact_dedup,
     language,
@@ -9,6 +10,7 @@ from fieldmosaic.llm import (  # noqa: F401
     pieces,
     quality,
     quotations,
+    ranked_search,
     sanitize,
     url_filter,
 )
