@@ -7,6 +7,7 @@ from fieldmosaic.llm import (  # noqa: F401
     language,
     line_dedup,
     ngram_join,
+    packing,
     pieces,
     quality,
     quotations,
