@@ -128,13 +128,11 @@ WITH l AS (
   SELECT doc_id, i - 1 AS i, lines[i] AS raw, regexp_replace(lines[i], '^[\x09-\x0D\x20]+|[\x09-\x0D\x20]+$', '', 'g') AS line
   FROM (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents WHERE text IS NOT NULL), unnest(range(1, len(lines) + 1)) AS u(i)),
 w AS (SELECT *, CASE WHEN line = '' THEN 0 ELSE len(regexp_split_to_array(line, '[\x09-\x0D\x20]+')) END AS words FROM l),
-c AS (SELECT *, sum(words) OVER (PARTITION BY doc_id ORDER BY i) AS upto FROM w),
-e AS (SELECT a.doc_id, a.i AS first, min(b.i) AS last FROM c a JOIN c b ON a.doc_id = b.doc_id AND b.i >= a.i AND b.upto >= a.upto - a.words + 50
-  WHERE a.words > 0 GROUP BY ALL),
-k AS (SELECT e.doc_id, e.first, e.last, string_agg(c.line, chr(10) ORDER BY c.i) AS body FROM e JOIN c ON c.doc_id = e.doc_id AND c.i BETWEEN e.first AND e.last GROUP BY ALL),
-o AS (SELECT body, min((doc_id, first)) AS origin FROM k GROUP BY body),
-d AS (SELECT k.doc_id, k.first, k.last FROM k JOIN o USING (body) WHERE (k.doc_id, k.first) > o.origin),
-g AS (SELECT c.doc_id, c.i, c.raw, EXISTS (SELECT 1 FROM d WHERE d.doc_id = c.doc_id AND c.i BETWEEN d.first AND d.last) AS cut FROM c)
+p AS (SELECT a.doc_id AS earlier, b.doc_id, b.i, b.i - a.i AS shift, b.words FROM w a JOIN w b ON a.line = b.line AND (a.doc_id < b.doc_id OR (a.doc_id = b.doc_id AND a.i < b.i))),
+q AS (SELECT *, i - row_number() OVER (PARTITION BY earlier, doc_id, shift ORDER BY i) AS run FROM p),
+r AS (SELECT doc_id, min(i) AS first, max(i) AS last FROM q GROUP BY earlier, doc_id, shift, run HAVING sum(words) >= 50),
+c AS (SELECT DISTINCT doc_id, unnest(range(first, last + 1)) AS i FROM r),
+g AS (SELECT w.doc_id, w.i, raw, c.i IS NOT NULL AS cut FROM w LEFT JOIN c ON w.doc_id = c.doc_id AND w.i = c.i)
 SELECT doc_id, CAST(sum(cut::int) AS INT) AS deleted, sha256(coalesce(string_agg(raw, chr(10) ORDER BY i) FILTER (NOT cut), '')) AS text_sha256
 FROM g GROUP BY doc_id
 UNION ALL SELECT doc_id, 0, NULL FROM documents WHERE text IS NULL"""
