@@ -13,7 +13,7 @@ minus infinity, so the only path left is the encoding of the library. In a unigr
 model weights are the scores of the file. Where the vocabulary has no piece with a blank after another
 character, no path crosses the start of a word, so a matrix is the outer product of the part
 before the chunk's first word start and the part after its last, and whole words between them
-are looked up in a cache that the library fills.
+are looked up in a table that the library fills. Texts below two chunks need no cut and are looked up whole.
 """
 
 from __future__ import annotations
@@ -29,24 +29,22 @@ from sentencepiece import sentencepiece_model_pb2
 
 from fieldmosaic.llm.common import documents, identified, stored
 from fieldmosaic.llm.registry import query
+from fieldmosaic.llm.word_ids import WordIds, code_points
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-CHUNK = 1 << 14  # characters; texts of two chunks or more are split
+CHUNK = 1 << 12  # characters; texts of two chunks or more are split
 FAN = 64  # chunks or blocks in a block
 BLANK = "▁"
 NEG = float("-inf")
-WORDS_KEPT = 150_000  # in the cache of a worker
 SLICE = 200  # rows whose ids a worker holds at a time
-WORD = re.compile(f"{BLANK}+[^{BLANK}]*|[^{BLANK}]+")
+SLICE_CHARS = 1 << 20  # characters whose words are looked up at a time
 MATRIX = "array<array<double>>"
 
 
 class Pieces:
     """Vocabulary, weights and neighbour rule of a model file."""
 
-    def __init__(self, model: str):
-        with open(model, "rb") as file:
-            data = file.read()
+    def __init__(self, data: bytes):
         self.library = sentencepiece.SentencePieceProcessor(model_proto=data)
         proto = sentencepiece_model_pb2.ModelProto.FromString(data)
         norm = proto.normalizer_spec
@@ -59,7 +57,10 @@ class Pieces:
         self.longest = max(map(len, self.ids))
         self.least = min(self.scores.values()) - 10.0
         self.by_words = not any(BLANK in piece.lstrip(BLANK) for piece in self.ids)
-        self.words: dict[str, tuple[int, ...]] = {}
+        self.words = WordIds(self._encode)
+        special = {p.piece for p in proto.pieces if p.type not in (1, 4, 6)}
+        self.raw = [None if p.piece in special else bytes([int(p.piece[3:5], 16)]) if p.type == 6 else p.piece.replace(BLANK, " ").encode() for p in proto.pieces]
+        self.leads = [p.piece.startswith(BLANK) for p in proto.pieces]
         self.stays = lru_cache(200_000)(self._stays)
 
     def merged(self, text: str) -> list[str]:
@@ -131,28 +132,47 @@ class Pieces:
                 out.extend(codes if self.library.unk_id() not in codes else [self.library.unk_id()])
         return out
 
-    def whole_words(self, text: str) -> list[int]:
-        """Ids of a text that starts with a blank and may be cut at word starts."""
+    def _encode(self, words: list[str]) -> list:
+        done = self.library.encode([w[1:].replace(BLANK, " ") for w in words], num_threads=1)
+        return [ids if len(w) > 1 else self.numbers([w]) for w, ids in zip(words, done)]
+
+    def many(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of texts that each start with a blank and may be cut at word starts, all looked up together."""
         if not self.by_words:
-            return self.library.encode(text[1:].replace(BLANK, " "))
-        found = WORD.findall(text)
-        words = self.words
-        fresh = [w for w in dict.fromkeys(found) if w not in words]
-        if fresh:
-            if len(words) > WORDS_KEPT:
-                words.clear()
-                fresh = list(dict.fromkeys(found))
-            for word, ids in zip(fresh, self.library.encode([w[1:].replace(BLANK, " ") if len(w) > 1 else w for w in fresh], num_threads=1)):
-                words[word] = tuple(ids) if len(word) > 1 else tuple(self.numbers([word]))
-        out: list[int] = []
-        for word in found:
-            out.extend(words[word])
-        return out
+            return [np.array(self.library.encode(t[1:].replace(BLANK, " ")), np.int32) for t in texts]
+        joined = "".join(texts)
+        codes, bounds = code_points(joined), np.cumsum([0, *map(len, texts)])
+        blank = codes == ord(BLANK)
+        start = blank.copy()
+        start[1:] &= ~blank[:-1]
+        start[bounds[bounds < len(codes)]] = True
+        starts = np.flatnonzero(start)
+        ids, upto = self.words.ids(joined, codes, starts, np.append(starts[1:], len(codes))[: len(starts)])
+        ends = upto[np.searchsorted(starts, bounds)].tolist()
+        return [ids[a:b] for a, b in zip(ends, ends[1:])]
+
+    def text(self, ids: list[int]) -> str:
+        """What the library decodes; it is only asked where ids are no plain text."""
+        try:
+            found = b"".join([self.raw[k] for k in ids]).decode()
+        except (TypeError, IndexError, UnicodeDecodeError):
+            return self.library.decode(ids)
+        return found[1:] if ids and self.leads[ids[0]] else found
 
 
 @lru_cache(2)
+def loaded(data: bytes) -> Pieces:
+    return Pieces(data)
+
+
+def read_model(model: str) -> bytes:
+    """The model file; its bytes are sent along with the tasks, so workers need no file."""
+    with open(model, "rb") as file:
+        return file.read()
+
+
 def pieces(model: str) -> Pieces:
-    return Pieces(model)
+    return loaded(read_model(model))
 
 
 def written(text: str) -> str:
@@ -208,7 +228,7 @@ class Chunk:
         if at < self.from_:
             nodes = p.search(self.text, at, before, self.from_)
             out += p.numbers(p.trace(nodes, self._weight_to(nodes, self.from_, None)[1]))
-        out += p.whole_words(self.text[self.from_ : self.upto]) if self.upto > self.from_ else []
+        out += p.many([self.text[self.from_ : self.upto]])[0].tolist() if self.upto > self.from_ else []
         nodes = p.search(self.text, self.upto, "", self.hi)
         return out + p.numbers(p.trace(nodes, self._weight_to(nodes, self.hi, self._exit(leave))[1]))
 
@@ -228,27 +248,31 @@ def product(left: list, right: list) -> list[list[float]]:
     return (a[:, :, None] + b[None, :, :]).max(axis=1).tolist()
 
 
-def _transfers(model: str, chunk: int):
-    """Matrices of the chunks that have a word start; the text of the others, to be worked off elsewhere."""
+CUTS = "no int, context string, lead int, size int, first boolean, last boolean"
+
 
+def _chunks(data: bytes, chunk: int):
     def run(batches):
-        p = pieces(model)
+        p = loaded(data)
         for batch in batches:
-            out = []
-            for key, text in zip(batch["_key"], batch["_text"]):
-                for k, context, lead, size, first, last in cuts_of(written(text), chunk, p.longest):
-                    part = Chunk(p, context, lead, size, first, last)
-                    out.append((key, k, part.matrix(), None, lead, size, last) if part.simple else (key, k, None, context, lead, size, last))
-            yield pd.DataFrame(out, columns=["_key", "no", "matrix", "context", "lead", "size", "last"], dtype=object)
+            for key, doc, text in zip(batch["_key"], batch["_id"], batch["_text"]):
+                yield pd.DataFrame([(key, doc, *c) for c in cuts_of(written(text), chunk, p.longest)], columns=["_key", "_id", "no", "context", "lead", "size", "first", "last"])
 
     return run
 
 
-def _hard_transfers(model: str):
+def _members(batch: pd.DataFrame, p: Pieces):
+    for c, lead, size, first, last in zip(*(batch[x] for x in ("context", "lead", "size", "first", "last"))):
+        yield Chunk(p, c, lead, size, first, last)
+
+
+def _transfers(data: bytes):
+    """The matrix of every chunk."""
+
     def run(batches):
-        p = pieces(model)
+        p = loaded(data)
         for batch in batches:
-            yield pd.DataFrame({"_key": batch["_key"], "no": batch["no"], "matrix": [Chunk(p, c, lead, size, no == 0, last).matrix() for c, lead, size, no, last in zip(batch["context"], batch["lead"], batch["size"], batch["no"], batch["last"])]})
+            yield pd.DataFrame({"_key": batch["_key"], "no": batch["no"], "matrix": [c.matrix() for c in _members(batch, p)]})
 
     return run
 
@@ -278,13 +302,10 @@ def _hand_down(group: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["_key", "no", "in", "out"])
 
 
-def boundary_states(long: DataFrame, model: str = MODEL, chunk: int = CHUNK) -> DataFrame:
+def boundary_states(chunks: DataFrame, data: bytes) -> DataFrame:
     """(_key, no, in, out): the states of every chunk on the best path, by up-sweep and down-sweep."""
     fields = f"_key string, no int, matrix {MATRIX}"
-    first = stored(long.select("_key", "_text").mapInPandas(_transfers(model, chunk), f"{fields}, context string, lead int, size int, last boolean"), "transfers")
-    hard = first.where("context is not null").repartition("_key", "no").mapInPandas(_hard_transfers(model), fields)
-    both = first.where("context is null").select("_key", "no", "matrix").union(hard)
-    levels = [stored(both.dropDuplicates(["_key", "no"]), "matrices")]  # rows with equal id and text
+    levels = [stored(chunks.dropDuplicates(["_key", "no"]).mapInPandas(_transfers(data), fields), "matrices")]  # rows with equal id and text
     block = F.floor(F.col("no") / FAN).cast("int").alias("block")
     while not levels[-1].where("no > 0").isEmpty():
         levels.append(stored(levels[-1].groupBy("_key", block).applyInPandas(_combine, fields), "matrices"))
@@ -301,30 +322,33 @@ def _sliced(batches):
             yield batch.iloc[at : at + SLICE]
 
 
-def _short(model: str):
+def _short(data: bytes):
     def run(batches):
-        p = pieces(model)
-        for batch in _sliced(batches):
-            yield pd.DataFrame({"_key": batch["_key"], "_id": batch["_id"], "ids": [np.array(p.whole_words(written(t)), np.int32) for t in batch["_text"]]})
-
-    return run
+        p = loaded(data)
 
+        def done(rows: list[tuple]) -> pd.DataFrame:
+            keys, docs, texts = zip(*rows)
+            return pd.DataFrame({"_key": keys, "_id": docs, "ids": p.many(list(texts))})
 
-def _chunks(model: str, chunk: int):
-    def run(batches):
-        p = pieces(model)
         for batch in batches:
-            for key, text in zip(batch["_key"], batch["_text"]):
-                yield pd.DataFrame([(key, *c) for c in cuts_of(written(text), chunk, p.longest)], columns=["_key", "no", "context", "lead", "size", "first", "last"])
+            held, chars = [], 0
+            for key, doc, text in zip(batch["_key"], batch["_id"], batch["_text"]):
+                held.append((key, doc, written(text)))
+                chars += len(text)
+                if chars >= SLICE_CHARS:
+                    yield done(held)
+                    held, chars = [], 0
+            if held:
+                yield done(held)
 
     return run
 
 
-def _backtrace(model: str):
+def _backtrace(data: bytes):
     def run(batches):
-        p = pieces(model)
+        p = loaded(data)
         for batch in _sliced(batches):
-            ids = [np.array(Chunk(p, c, lead, size, first, last).encode(i, o), np.int32) for c, lead, size, first, last, i, o in zip(*(batch[x] for x in ("context", "lead", "size", "first", "last", "in", "out")))]
+            ids = [np.array(c.encode(i, o), np.int32) for c, i, o in zip(_members(batch, p), batch["in"], batch["out"])]
             yield pd.DataFrame({"_key": batch["_key"], "no": batch["no"], "ids": ids})
 
     return run
@@ -338,25 +362,27 @@ def encode(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", model: s
     """
     if chunk < 64:
         raise ValueError("a chunk must be longer than two pieces")
+    data = read_model(model)
     rows = identified(docs, doc_id, text)
     kind = rows.schema["_id"].dataType.simpleString()
     size = F.length("_text")
-    short = rows.where(size < 2 * chunk - 1).mapInPandas(_short(model), f"_key string, _id {kind}, ids array<int>").select(F.col("_id").alias("id"), "ids")
-    long = rows.where(size >= 2 * chunk - 1)
-    states = boundary_states(long, model, chunk)
-    parts = long.select("_key", "_text").mapInPandas(_chunks(model, chunk), "_key string, no int, context string, lead int, size int, first boolean, last boolean")
-    traced = parts.join(states, ["_key", "no"]).mapInPandas(_backtrace(model), "_key string, no int, ids array<int>")
+    short = rows.where(size < 2 * chunk - 1).mapInPandas(_short(data), f"_key string, _id {kind}, ids array<int>").select(F.col("_id").alias("id"), "ids")
+    long = rows.where(size >= 2 * chunk - 1).mapInPandas(_chunks(data, chunk), f"_key string, _id {kind}, {CUTS}")
+    chunks = stored(long.repartition("_key", "no"), "chunks")  # the chunks of a text are dealt out
+    states = boundary_states(chunks, data)
+    traced = chunks.drop("_id").join(states, ["_key", "no"]).mapInPandas(_backtrace(data), "_key string, no int, ids array<int>")
     whole = traced.groupBy("_key").agg(F.flatten(F.transform(F.array_sort(F.collect_set(F.struct("no", "ids"))), lambda c: c["ids"])).alias("ids"))
-    return short.union(long.select("_key", F.col("_id").alias("id")).join(whole, "_key").select("id", "ids"))
+    return short.union(chunks.where("no = 0").select("_key", F.col("_id").alias("id")).join(whole, "_key").select("id", "ids"))
 
 
 def decode(encoded: DataFrame, ids: str = "ids", name: str = "text", model: str = MODEL) -> DataFrame:
     """Add the text of a column of ids. It equals the encoded one, but that U+2581 in it has become a blank; null ids give null."""
+    data = read_model(model)
 
     @F.pandas_udf("string")
     def restored(column: pd.Series) -> pd.Series:
-        library = pieces(model).library
-        return column.map(lambda x: None if x is None else library.decode(np.asarray(x).tolist()))
+        p = loaded(data)
+        return column.map(lambda x: None if x is None else p.text(np.asarray(x).tolist()))
 
     return encoded.withColumn(name, restored(ids))
 

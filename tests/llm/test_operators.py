@@ -63,20 +63,22 @@ def test_chunks_depend_on_nearby_text_only(spark):
 
 
 def test_line_dedup_matches_brute_force(spark):
+    """Every pair of equal lines is extended line by line to a longest common run; the later one goes if it has 50 words."""
     rng = random.Random(3)
     lines = [long_text(rng, n) for n in (2, 8, 20, 20, 30, 49, 50, 70)] + ["", "  "]
     rows = [(k, "\n".join(rng.choice(lines) for _ in range(rng.randint(1, 9)))) for k in range(40)]
-    seen, want = set(), {}
-    for k, text in rows:
-        parts, cut = [p.strip() for p in text.split("\n")], set()
-        for i, j in itertools.combinations(range(len(parts) + 1), 2):
-            run = tuple(parts[i:j])
-            sizes = [len(p.split()) for p in run]
-            if sum(sizes) >= 50 and sum(sizes[:-1]) < 50 and sizes[0]:
-                if run in seen:
-                    cut |= set(range(i, j))
-                seen.add(run)
-        want[k] = "\n".join(p for i, p in enumerate(text.split("\n")) if i not in cut)
+    parts = [[line.strip() for line in text.split("\n")] for _, text in rows]
+    places = [(k, i) for k, text in enumerate(parts) for i in range(len(text))]
+    cut = set()
+    for (a, i), (b, j) in itertools.combinations(places, 2):
+        if i and j and parts[a][i - 1] == parts[b][j - 1]:
+            continue
+        n = 0
+        while i + n < len(parts[a]) and j + n < len(parts[b]) and parts[a][i + n] == parts[b][j + n]:
+            n += 1
+        if sum(len(line.split()) for line in parts[b][j : j + n]) >= 50:
+            cut |= {(b, j + k) for k in range(n)}
+    want = {k: "\n".join(line for i, line in enumerate(text.split("\n")) if (k, i) not in cut) for k, text in rows}
     got = {r.row.doc_id: r.text for r in line_dedup.dedup_lines(table(spark, rows)).collect()}
     assert got == want
 
@@ -253,6 +255,13 @@ def test_pieces_equal_the_library(spark):
     got = pieces.decode(pieces.encode(table(spark, list(enumerate(texts))), chunk=64)).collect()
     for r in got:
         assert r.ids == library.encode(texts[r.id]) and r.text == texts[r.id]
+    assert sum(len(t) >= 127 for t in texts) > len(texts) / 2  # the scan has encoded most of them
+
+
+def test_decoding_equals_the_library():
+    rng, p = random.Random(18), pieces.pieces(pieces.MODEL)
+    for ids in [[rng.randrange(32_000 if rng.random() < 0.5 else 260) for _ in range(rng.randint(0, 9))] for _ in range(3000)] + [p.library.encode(" \n two  日本😀\x01")]:
+        assert p.text(ids) == p.library.decode(ids)
 
 
 def test_isotonic_is_monotone():
