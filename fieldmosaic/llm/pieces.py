@@ -32,12 +32,11 @@ from fieldmosaic.llm.registry import query
 from fieldmosaic.llm.word_ids import WordIds, code_points
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-CHUNK = 1 << 12  # characters; texts of two chunks or more are split
+CHUNK = 1 << 13  # characters; texts of two chunks or more are split
 FAN = 64  # chunks or blocks in a block
 BLANK = "▁"
 NEG = float("-inf")
-SLICE = 200  # rows whose ids a worker holds at a time
-SLICE_CHARS = 1 << 20  # characters whose words are looked up at a time
+SLICE_CHARS = 1 << 18  # characters whose words are looked up at a time
 MATRIX = "array<array<double>>"
 
 
@@ -218,19 +217,19 @@ class Chunk:
         tails = [self._weight_to(nodes, self.hi, self._exit(j))[0] for j in range(len(self.exits))]
         return [[h + t for t in tails] for h in heads]
 
-    def encode(self, entry: int, leave: int) -> list[int]:
+    def encode(self, entry: int, leave: int) -> tuple[list[int], str, list[int]]:
+        """Ids up to the first word start, the words that need no search, and ids from the last word start on."""
         before, over = self.entries[entry]
         at, p = self.lo + over, self.p
         if not self.simple:
             nodes = p.search(self.text, at, before, self.hi)
-            return p.numbers(p.trace(nodes, self._weight_to(nodes, self.hi, self._exit(leave))[1]))
-        out = []
+            return p.numbers(p.trace(nodes, self._weight_to(nodes, self.hi, self._exit(leave))[1])), "", []
+        head = []
         if at < self.from_:
             nodes = p.search(self.text, at, before, self.from_)
-            out += p.numbers(p.trace(nodes, self._weight_to(nodes, self.from_, None)[1]))
-        out += p.many([self.text[self.from_ : self.upto]])[0].tolist() if self.upto > self.from_ else []
+            head = p.numbers(p.trace(nodes, self._weight_to(nodes, self.from_, None)[1]))
         nodes = p.search(self.text, self.upto, "", self.hi)
-        return out + p.numbers(p.trace(nodes, self._weight_to(nodes, self.hi, self._exit(leave))[1]))
+        return head, self.text[self.from_ : self.upto], p.numbers(p.trace(nodes, self._weight_to(nodes, self.hi, self._exit(leave))[1]))
 
 
 def cuts_of(text: str, chunk: int, longest: int):
@@ -316,12 +315,6 @@ def boundary_states(chunks: DataFrame, data: bytes) -> DataFrame:
     return states
 
 
-def _sliced(batches):
-    for batch in batches:
-        for at in range(0, len(batch), SLICE):
-            yield batch.iloc[at : at + SLICE]
-
-
 def _short(data: bytes):
     def run(batches):
         p = loaded(data)
@@ -347,9 +340,13 @@ def _short(data: bytes):
 def _backtrace(data: bytes):
     def run(batches):
         p = loaded(data)
-        for batch in _sliced(batches):
-            ids = [np.array(c.encode(i, o), np.int32) for c, i, o in zip(_members(batch, p), batch["in"], batch["out"])]
-            yield pd.DataFrame({"_key": batch["_key"], "no": batch["no"], "ids": ids})
+        for batch in batches:
+            rows = max(1, SLICE_CHARS // max(1, int(batch["size"].max())))
+            for at in range(0, len(batch), rows):
+                part = batch.iloc[at : at + rows]
+                heads, words, tails = zip(*(c.encode(i, o) for c, i, o in zip(_members(part, p), part["in"], part["out"])))
+                ids = [np.concatenate([np.array(h, np.int32), w, np.array(t, np.int32)]) for h, w, t in zip(heads, p.many(list(words)), tails)]
+                yield pd.DataFrame({"_key": part["_key"], "no": part["no"], "ids": ids})
 
     return run
 

@@ -8,8 +8,8 @@ import numpy as np
 
 from fieldmosaic.llm.common import mix, powers
 
-SLOTS = 1 << 22  # of the table of a worker; it starts anew when half of them are taken
-FLAT = 1 << 24  # ids it holds at most before it starts anew
+SLOTS = 1 << 21  # of the table of a worker; it starts anew when half of them are taken
+FLAT = 1 << 23  # ids it holds at most before it starts anew
 HASHED = 64  # characters; longer words are encoded each time they occur
 
 
