@@ -304,14 +304,15 @@ def _hand_down(group: pd.DataFrame) -> pd.DataFrame:
 def boundary_states(chunks: DataFrame, data: bytes) -> DataFrame:
     """(_key, no, in, out): the states of every chunk on the best path, by up-sweep and down-sweep."""
     fields = f"_key string, no int, matrix {MATRIX}"
-    levels = [stored(chunks.dropDuplicates(["_key", "no"]).mapInPandas(_transfers(data), fields), "matrices")]  # rows with equal id and text
+    levels = [stored(chunks.mapInPandas(_transfers(data), fields).dropDuplicates(["_key", "no"]), "matrices")]  # rows with equal id and text
     block = F.floor(F.col("no") / FAN).cast("int").alias("block")
+    tasks = int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # small rows, long work: not to be merged into few tasks
     while not levels[-1].where("no > 0").isEmpty():
-        levels.append(stored(levels[-1].groupBy("_key", block).applyInPandas(_combine, fields), "matrices"))
+        levels.append(stored(levels[-1].withColumn("block", block).repartition(tasks, "_key", "block").groupBy("_key", "block").applyInPandas(_combine, fields), "matrices"))
     states = levels[-1].select("_key", "no", F.lit(0).alias("in"), F.lit(0).alias("out"))
     for level in reversed(levels[:-1]):
         given = states.withColumnRenamed("no", "block")
-        states = stored(level.withColumn("block", block).join(given, ["_key", "block"]).groupBy("_key", "block").applyInPandas(_hand_down, "_key string, no int, in int, out int"), "states")
+        states = stored(level.withColumn("block", block).join(given, ["_key", "block"]).repartition(tasks, "_key", "block").groupBy("_key", "block").applyInPandas(_hand_down, "_key string, no int, in int, out int"), "states")
     return states
 
 
@@ -365,9 +366,10 @@ def encode(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", model: s
     size = F.length("_text")
     short = rows.where(size < 2 * chunk - 1).mapInPandas(_short(data), f"_key string, _id {kind}, ids array<int>").select(F.col("_id").alias("id"), "ids")
     long = rows.where(size >= 2 * chunk - 1).mapInPandas(_chunks(data, chunk), f"_key string, _id {kind}, {CUTS}")
-    chunks = stored(long.repartition("_key", "no"), "chunks")  # the chunks of a text are dealt out
+    chunks = stored(long, "chunks")
     states = boundary_states(chunks, data)
-    traced = chunks.drop("_id").join(states, ["_key", "no"]).mapInPandas(_backtrace(data), "_key string, no int, ids array<int>")
+    traced = chunks.drop("_id").join(states.hint("merge"), ["_key", "no"]).mapInPandas(_backtrace(data), "_key string, no int, ids array<int>")
+    # one state per chunk is never broadcast; the join deals the chunks of a text out
     whole = traced.groupBy("_key").agg(F.flatten(F.transform(F.array_sort(F.collect_set(F.struct("no", "ids"))), lambda c: c["ids"])).alias("ids"))
     return short.union(chunks.where("no = 0").select("_key", F.col("_id").alias("id")).join(whole, "_key").select("id", "ids"))
 
