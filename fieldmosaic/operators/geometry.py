@@ -76,16 +76,8 @@ def pixel_lonlat(box: Column, width: Column, height: Column, row: Column, col: C
     return F.struct(lon.alias("lon"), lat.alias("lat"))
 
 
-def mask_spans(areas: DataFrame, keys: list[str]) -> DataFrame:
-    """Inside pixels of each area as column spans: keys, row, block, c0, c1 (inclusive).
-
-    Needs parts, box, width and height. A pixel is inside where a ray to the right of its
-    centre crosses the rings of any one part an odd number of times. Edges are cut into the
-    pixel rows they cross and crossings of a row pair up into spans; spans of overlapping parts
-    are merged and cut at block borders. All of it happens behind one shuffle on (keys, row).
-    The spans of a block are apart from each other, so a pixel meets at most one of them and
-    a block holds at most BLOCK / 2, whatever the polygon looks like.
-    """
+def crossings(areas: DataFrame, keys: list[str]) -> DataFrame:
+    """Where the edges of each area cross the middles of its raster rows: keys, _w, part, row, x in pixels."""
     frame = ["_w", "_h", "_minx", "_maxy", "_dx", "_dy"]
     framed = spread(areas).where(F.col("parts").isNotNull()).select(
         *keys, "parts", F.col("width").alias("_w"), F.col("height").alias("_h"),
@@ -103,13 +95,25 @@ def mask_spans(areas: DataFrame, keys: list[str]) -> DataFrame:
     )
     low, high = F.least("y1", "y2"), F.greatest("y1", "y2")
     lines = lines.withColumn("r0", F.ceil(low - 0.5)).withColumn("r1", F.ceil(high - 0.5) - 1).where("r0 <= r1")
-    crossings = lines.withColumn("row", F.explode(F.sequence("r0", "r1"))).select(
+    return lines.withColumn("row", F.explode(F.sequence("r0", "r1"))).select(
         *keys, "_w", "part", F.col("row").cast("int").alias("row"),
         (F.col("x1") + (F.col("row") + 0.5 - F.col("y1")) * (F.col("x2") - F.col("x1")) / (F.col("y2") - F.col("y1"))).alias("x"),
     )
+
+
+def mask_spans(areas: DataFrame, keys: list[str]) -> DataFrame:
+    """Inside pixels of each area as column spans: keys, row, block, c0, c1 (inclusive).
+
+    Needs parts, box, width and height. A pixel is inside where a ray to the right of its
+    centre crosses the rings of any one part an odd number of times. Edges are cut into the
+    pixel rows they cross and crossings of a row pair up into spans; spans of overlapping parts
+    are merged and cut at block borders. All of it happens behind one shuffle on (keys, row).
+    The spans of a block are apart from each other, so a pixel meets at most one of them and
+    a block holds at most BLOCK / 2, whatever the polygon looks like.
+    """
     along = Window.partitionBy(*keys, "part", "row").orderBy("x")
     spans = (
-        crossings.repartition(*keys, "row")
+        crossings(areas, keys).repartition(*keys, "row")
         .withColumn("_n", F.row_number().over(along))
         .withColumn("_to", F.lead("x").over(along))
         .where("_n % 2 = 1 and _to is not null")

@@ -54,11 +54,12 @@ def with_class(pixels: DataFrame, colors: DataFrame) -> DataFrame:
     return pixels.withColumn("layer", legend_of(F.col("classification"))).join(legend, ["layer", "b", "g", "r"], "left")
 
 
-def quantify_classes(pixels: DataFrame, colors: DataFrame, resolution: float = 100) -> DataFrame:
+def quantify_classes(pixels: DataFrame, colors: DataFrame, resolution: float = 100, n: Column | None = None) -> DataFrame:
     """Pixels and area per area, version, layer and class label.
 
     Background (white, or black as left by the mask) is not counted; two colours of one label
-    count together; colours the legend lacks are counted as one class of their own.
+    count together; colours the legend lacks are counted as one class of their own. `n` is the number
+    of pixels a row stands for, one if not given.
 
     Pixels are first counted per colour, in every task before the shuffle, so one area holding
     most pixels is no heavier than the rest and the legend only meets one row per colour and
@@ -66,24 +67,13 @@ def quantify_classes(pixels: DataFrame, colors: DataFrame, resolution: float = 1
     """
     black = (F.col("b") == 0) & (F.col("g") == 0) & (F.col("r") == 0)
     image = ["area_id", "shp_version", "classification"]
-    counted = pixels.where(~is_white() & ~black).groupBy(*image, "b", "g", "r").agg(F.count("*").alias("n"))
+    counted = pixels.where(~is_white() & ~black).groupBy(*image, "b", "g", "r").agg((F.count("*") if n is None else F.sum(n)).alias("n"))
     counts = with_class(counted, colors).groupBy(*image, F.coalesce("label", F.lit(UNMAPPED)).alias("label")).agg(
         F.sum("n").alias("n_pixels")
     )
     return counts.withColumn("area_m2", F.col("n_pixels") * float(resolution * resolution))
 
 
-def quantify_mask(pixels: DataFrame, colors: DataFrame, areas: DataFrame, keys: list[str]) -> DataFrame:
-    """Class counts inside the polygons, the polygon's own area shared out by pixel share.
-
-    `areas` needs parts, box, width, height and polygon_m2.
-    """
-    inside = apply_mask(pixels, areas, keys).where("inside").drop("inside")
-    shares = class_share(quantify_classes(inside, colors))
-    sizes = areas.select(*keys, "polygon_m2")
-    return shares.join(sizes, keys, "left").withColumn("class_m2", F.col("share") * F.col("polygon_m2"))
-
-
 def class_share(classes: DataFrame) -> DataFrame:
     """Share of each class in its area, version and layer; a group has one row per legend label."""
     whole = Window.partitionBy("area_id", "shp_version", "classification")

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, functions as F
 from fieldmosaic.operators.boundaries import areas_of_version, backfill_county_name, with_region_name
 from fieldmosaic.operators.geometry import image_size_check, polygon_area, with_frame
 from fieldmosaic.operators.ledger import change_status, image_path, log_results, mask_decision, resume_plan
-from fieldmosaic.operators.raster import apply_mask, quantify_mask
+from fieldmosaic.operators.raster import apply_mask
+from fieldmosaic.operators.runs import quantify_mask
 from fieldmosaic.operators.wms import request_plan
 from fieldmosaic.runtime import materialize
 

@@ -11,9 +11,9 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from fieldmosaic.functions.wkt import parse_polygon
-from fieldmosaic.operators import colors, geometry, raster
+from fieldmosaic.operators import colors, geometry, raster, runs
 from fieldmosaic.plans import mapping
-from fieldmosaic.runtime import materialize
+from fieldmosaic.runtime import materialize, spread
 from fieldmosaic.sources.images import image_pixels
 from fieldmosaic.sources.shapefiles import attribute_records, join_records, shape_records
 from fieldmosaic.tables.color_values import legend_rows
@@ -40,7 +40,7 @@ GRID = 200
 
 def grid_areas(spark, sf_dir):
     """Towns with the frame of the 200 x 200 grid."""
-    shapes = town_shapes(spark, sf_dir).withColumn("parts", parse_polygon(F.col("geometry"))).where("parts is not null")
+    shapes = spread(town_shapes(spark, sf_dir)).withColumn("parts", parse_polygon(F.col("geometry"))).where("parts is not null")
     return shapes.select("area_id", "k", "parts", geometry.bbox(F.col("parts")).alias("box"), F.lit(GRID).alias("width"), F.lit(GRID).alias("height"))
 
 
@@ -176,11 +176,15 @@ def polygon_vertices(spark, sf_dir):
   CAST(sum(CASE WHEN i.row IS NOT NULL THEN p.b + p.g + p.r ELSE 0 END) AS BIGINT) AS color_sum
   FROM pixels p LEFT JOIN inside i ON i.area_id = p.area_id AND i.row = p.row AND i.col = p.col GROUP BY p.area_id, p.classification""")
 def polygon_mask(spark, sf_dir):
-    masked = raster.apply_mask(load(spark, sf_dir, "pixels"), grid_areas(spark, sf_dir), ["area_id"])
+    pixels = runs.pixel_runs(load(spark, sf_dir, "pixels"), ["area_id", "classification"])
+    areas = materialize(grid_areas(spark, sf_dir))  # parsed once: the plan above it stays small
+    masked = runs.blackened(runs.clip(pixels, geometry.mask_spans(areas, ["area_id"]), ["area_id"]))
+    n = runs.length()
+    place = (F.col("row") * 1000 + F.col("first")).cast("long") * n + (n * (n - 1) / 2).cast("long")
     return masked.groupBy("area_id", "classification").agg(
-        F.count("*").alias("n_pixels"), F.count_if("inside").alias("n_inside"),
-        F.coalesce(F.sum(F.when(F.col("inside"), F.col("row") * 1000 + F.col("col"))), F.lit(0)).cast("long").alias("place_sum"),
-        F.sum(F.col("b").cast("long") + F.col("g") + F.col("r")).alias("color_sum"),
+        F.sum(n).alias("n_pixels"), F.sum(F.when(F.col("inside"), n).otherwise(0)).alias("n_inside"),
+        F.coalesce(F.sum(F.when(F.col("inside"), place)), F.lit(0)).alias("place_sum"),
+        F.sum((F.col("b").cast("long") + F.col("g") + F.col("r")) * n).alias("color_sum"),
     )
 
 
@@ -211,7 +215,7 @@ def polygon_area(spark, sf_dir):
   FROM classes c JOIN ids USING (area_id) JOIN size USING (k)""".replace("SELECT c.*", "SELECT c.area_id, c.shp_version, c.classification, c.label, c.n_pixels"))
 def quantify_mask(spark, sf_dir):
     areas = materialize(grid_areas(spark, sf_dir).withColumn("polygon_m2", geometry.polygon_area(F.col("parts"))))
-    out = raster.quantify_mask(load(spark, sf_dir, "pixels"), colors.color_map(spark), areas, ["area_id"])
+    out = runs.quantify_mask(load(spark, sf_dir, "pixels"), colors.color_map(spark), areas, ["area_id"])
     return out.select("area_id", "shp_version", "classification", "label", "n_pixels", F.round("class_m2").cast("long").alias("class_m2"))
 
 
