@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from fieldmosaic.functions.geodesy import pixel_size, plane_xy
 from fieldmosaic.functions.wkt import parse_polygon
-from fieldmosaic.operators.ranking import global_rank
-from fieldmosaic.runtime import materialize, spread
+from fieldmosaic.operators.crossings import crossing_pairs
+from fieldmosaic.runtime import spread
 
 BLOCK = 1024  # pixel columns per mask block
 
@@ -193,8 +193,8 @@ def image_size_check(pixels: DataFrame, areas: DataFrame, image: list[str], keys
 def validate_rings(areas: DataFrame, keys: list[str]) -> DataFrame:
     """Per ring: point count, open, repeated vertices, too few points, zero area, self-crossing.
 
-    The counts are taken on the ring as a nested value. Self-crossing is a sweep over tables,
-    see `crossing_rings`.
+    The counts are taken on the ring as a nested value. Self-crossing is found over
+    tables, see `crossing_pairs`.
     """
     rings = areas.select(*keys, F.posexplode("parts").alias("part", "_rings")).select(
         *keys, "part", F.posexplode("_rings").alias("ring", "_points")
@@ -224,43 +224,7 @@ def validate_rings(areas: DataFrame, keys: list[str]) -> DataFrame:
     return checks.join(crossing, ring_key, "left").withColumn("self_crossing", F.coalesce("self_crossing", F.lit(False)))
 
 
-SHEAR = 0.0173205080757  # tilts the sweep so that no level edge is left in practice
-
-
 def crossing_rings(areas: DataFrame, keys: list[str]) -> DataFrame:
-    """Keys of the rings in which two segments properly cross, without comparing segment pairs.
-
-    A sweep by slabs: between two neighbouring vertex heights of a ring, segments keep their
-    left-right order unless two of them cross. Each slab sorts its segments by the lower end
-    and looks for one whose upper end lies left of its predecessor's.
-    """
-    ring_key = [*keys, "part", "ring"]
-    tilt = lambda x, y: y + SHEAR * x
-    lines = edges(spread(areas), keys).select(
-        *ring_key, "x1", "x2", tilt(F.col("x1"), F.col("y1")).alias("y1"), tilt(F.col("x2"), F.col("y2")).alias("y2")
-    )
-    up = F.col("y1") <= F.col("y2")
-    lines = lines.select(
-        *ring_key,
-        F.when(up, F.col("x1")).otherwise(F.col("x2")).alias("xb"), F.least("y1", "y2").alias("yb"),
-        F.when(up, F.col("x2")).otherwise(F.col("x1")).alias("xt"), F.greatest("y1", "y2").alias("yt"),
-    ).where("yb < yt")
-    lines = materialize(lines)  # read four times below
-    heights = lines.select(*ring_key, F.col("yb").alias("h")).union(lines.select(*ring_key, F.col("yt"))).distinct()
-    levels = global_rank(heights, [*[F.col(k) for k in ring_key], F.col("h")], "slab")
-    low = levels.withColumnsRenamed({"h": "yb", "slab": "s0"})
-    high = levels.withColumnsRenamed({"h": "yt", "slab": "s1"})
-    crossed = (
-        lines.join(low, [*ring_key, "yb"]).join(high, [*ring_key, "yt"])
-        .withColumn("slab", F.explode(F.sequence(F.col("s0"), F.col("s1") - 1)))
-    )
-    floors = levels.select(*ring_key, "slab", F.col("h").alias("y0"))
-    ceilings = levels.select(*ring_key, (F.col("slab") - 1).alias("slab"), F.col("h").alias("y1"))
-    at = lambda y: F.col("xb") + (F.col(y) - F.col("yb")) * (F.col("xt") - F.col("xb")) / (F.col("yt") - F.col("yb"))
-    cut = crossed.join(floors, [*ring_key, "slab"]).join(ceilings, [*ring_key, "slab"]).select(
-        *ring_key, "slab",
-        F.when(F.col("y0") == F.col("yb"), F.col("xb")).otherwise(at("y0")).alias("lo"),
-        F.when(F.col("y1") == F.col("yt"), F.col("xt")).otherwise(at("y1")).alias("hi"),
-    )
-    slab = Window.partitionBy(*ring_key, "slab").orderBy("lo", "hi")
-    return cut.withColumn("_prev", F.lag("hi").over(slab)).where("hi < _prev").select(*ring_key).distinct()
+    """Keys of the rings in which two segments properly cross."""
+    ring = [*keys, "part", "ring"]
+    return crossing_pairs(edges(spread(areas), keys), ring).select(*ring).distinct()

@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from fieldmosaic.functions.wkt import parse_polygon
-from fieldmosaic.operators import colors, geometry, raster, runs
+from fieldmosaic.operators import colors, geometry, raster, repair, runs
 from fieldmosaic.plans import mapping
 from fieldmosaic.runtime import materialize, spread
 from fieldmosaic.sources.images import image_pixels
@@ -298,6 +298,38 @@ def ring_quality(spark, sf_dir):
     return geometry.validate_rings(shapes, ["k"])
 
 
+# The area of a crossing ring by the odd-even rule: between two heights nothing crosses, so every other gap counts.
+SPOTS = """SELECT DISTINCT a.k, a.part, a.ring, a.y1 + ((b.x2 - b.x1) * (a.y1 - b.y1) - (b.y2 - b.y1) * (a.x1 - b.x1)) / ((b.y2 - b.y1) * (a.x2 - a.x1) - (b.x2 - b.x1) * (a.y2 - a.y1)) * (a.y2 - a.y1) AS y
+  FROM loops a JOIN loops b ON a.k = b.k AND a.part = b.part AND a.ring = b.ring AND a.seq < b.seq
+  WHERE ((b.x1 - a.x1) * (a.y2 - a.y1) - (b.y1 - a.y1) * (a.x2 - a.x1)) * ((b.x2 - a.x1) * (a.y2 - a.y1) - (b.y2 - a.y1) * (a.x2 - a.x1)) < -1e-22
+    AND ((a.x1 - b.x1) * (b.y2 - b.y1) - (a.y1 - b.y1) * (b.x2 - b.x1)) * ((a.x2 - b.x1) * (b.y2 - b.y1) - (a.y2 - b.y1) * (b.x2 - b.x1)) < -1e-22"""
+LEVELS = """SELECT *, lead(y) OVER (PARTITION BY k, part, ring ORDER BY y) AS above FROM (
+  SELECT k, part, ring, y FROM spots UNION SELECT l.k, l.part, l.ring, l.y1 FROM loops l JOIN (SELECT DISTINCT k, part, ring FROM spots) s ON s.k = l.k AND s.part = l.part AND s.ring = l.ring) h"""
+GAPS = """SELECT k, part, ring, sum(CASE WHEN n % 2 = 0 THEN x ELSE -x END * (above - y)) AS size FROM (
+  SELECT v.k, v.part, v.ring, v.y, above, x, row_number() OVER (PARTITION BY v.k, v.part, v.ring, v.y ORDER BY x) AS n FROM (
+    SELECT v.*, l.x1 - 121 + ((v.y + above) / 2 - l.y1) / (l.y2 - l.y1) * (l.x2 - l.x1) AS x FROM levels v JOIN loops l ON l.k = v.k AND l.part = v.part AND l.ring = v.ring
+      AND least(l.y1, l.y2) < (v.y + above) / 2 AND (v.y + above) / 2 < greatest(l.y1, l.y2)) v) g GROUP BY k, part, ring"""
+
+
+@query("repair_polygons", ctes(vx=vertex_sql(), seg=SEGMENTS, loops=LOOPS, spots=SPOTS, levels=LEVELS, gaps=GAPS, sizes="""SELECT l.k, l.part, l.ring, coalesce(any_value(g.size), abs(sum(cr)) / 2) AS size,
+    bool_or(g.k IS NOT NULL) AS broken FROM loops l LEFT JOIN gaps g ON g.k = l.k AND g.part = l.part AND g.ring = l.ring GROUP BY l.k, l.part, l.ring""") + """SELECT t.k, coalesce(n, 0) AS n_repaired,
+  false AS still_crossing, s.size AS size FROM (SELECT CAST(s_suppkey AS BIGINT) AS k FROM supplier) t
+  LEFT JOIN (SELECT k, CAST(sum(broken::INT) AS INT) AS n, round(sum(CASE WHEN ring = 0 THEN size ELSE -size END), 9) AS size FROM sizes GROUP BY k) s USING (k)""")
+def repair_polygons(spark, sf_dir):
+    """Every town, those without a shape too: rings rebuilt, whether any ring still crosses itself, the area in square degrees."""
+    shapes = spread(town_shapes(spark, sf_dir)).select("k", parse_polygon(F.col("geometry")).alias("parts"))
+    fixed = materialize(repair.repair_polygons(materialize(shapes), ["k"]))
+    left = geometry.crossing_rings(fixed, ["k"]).select("k").distinct().withColumn("crossing", F.lit(True))
+
+    def size(ring):
+        o = F.element_at(ring, 1)
+        terms = F.transform(ring, lambda p, i: (p.x - o.x) * (F.element_at(ring, (i + 1) % F.size(ring) + 1).y - o.y) - (F.element_at(ring, (i + 1) % F.size(ring) + 1).x - o.x) * (p.y - o.y))
+        return F.abs(F.aggregate(terms, F.lit(0.0), lambda a, t: a + t)) / 2
+
+    whole = F.aggregate(F.transform("parts", lambda rings: F.aggregate(F.transform(rings, lambda r, j: size(r) * F.when(j == 0, 1).otherwise(-1)), F.lit(0.0), lambda a, t: a + t)), F.lit(0.0), lambda a, t: a + t)
+    return fixed.join(left, "k", "left").select(F.col("k").cast("long").alias("k"), "n_repaired", F.coalesce("crossing", F.lit(False)).alias("still_crossing"), F.round(whole, 9).alias("size"))
+
+
 def _png(pdf: pd.DataFrame) -> pd.DataFrame:
     """One image as PNG bytes; the group is the pixels of one 200 x 200 image."""
     image = np.full((GRID, GRID, 3), 255, np.uint8)
