@@ -6,6 +6,9 @@ as a few numbers and then applied as plain expressions, without joins.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from fieldmosaic.operators.ranking import exact_quantiles, global_rank
@@ -29,19 +32,29 @@ def drop_duplicates(df: DataFrame) -> DataFrame:
 CLEANING_RULES = {"drop_all_null": drop_all_null, "drop_duplicates": drop_duplicates}
 
 
+def _left(df: DataFrame, rule: str, n: Column) -> Column:
+    """How many of `n` equal rows a rule leaves."""
+    if rule == "drop_duplicates":
+        return F.least(n, F.lit(1))
+    return F.when(reduce(or_, [known(df, c).isNotNull() for c in df.columns]), n).otherwise(0)
+
+
 def clean(df: DataFrame, rules: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """Cleaned rows and a report with one row per rule, in the order applied."""
-    def size(step: int, rule: str, rows: DataFrame) -> DataFrame:
-        return rows.agg(F.count("*").alias("n_after")).select(F.lit(step).alias("step"), F.lit(rule).alias("rule"), "n_after")
+    """Cleaned rows and a report with one row per rule, in the order applied.
 
-    current, sizes = df, size(0, "", df)
-    for step, rule in enumerate(rules or ["drop_all_null"], start=1):
+    The report reads the table once, whatever the number of rules: equal rows are counted, in every task
+    before the shuffle, and every rule says how many of them it leaves.
+    """
+    rules = rules or ["drop_all_null"]
+    current = df
+    for rule in rules:
         current = CLEANING_RULES[rule](current)
-        sizes = sizes.unionByName(size(step, rule, current))
-    steps = Window.orderBy("step")  # one row per rule
-    report = sizes.withColumn("n_before", F.lag("n_after").over(steps)).where("step > 0").select(
-        "step", "rule", "n_before", "n_after", (F.col("n_before") - F.col("n_after")).alias("rows_deleted")
-    )
+    counted = df.groupBy(*df.columns).agg(F.count("*").alias("_n0")) if "drop_duplicates" in rules else df.withColumn("_n0", F.lit(1).cast("long"))
+    for step, rule in enumerate(rules, start=1):
+        counted = counted.withColumn(f"_n{step}", _left(df, rule, F.col(f"_n{step - 1}")).cast("long"))
+    total = lambda step: F.coalesce(F.sum(f"_n{step}"), F.lit(0))
+    rows = [F.struct(F.lit(step).alias("step"), F.lit(rule).alias("rule"), total(step - 1).alias("n_before"), total(step).alias("n_after")) for step, rule in enumerate(rules, start=1)]
+    report = counted.agg(F.array(*rows).alias("_r")).select(F.inline("_r")).withColumn("rows_deleted", F.col("n_before") - F.col("n_after"))
     return current, report
 
 
@@ -58,11 +71,19 @@ def quantile_table(df: DataFrame, columns: list[str], probs: list[float]) -> dic
     return {(row.column, row.prob): row.value for row in rows}
 
 
-def column_mode(df: DataFrame, column: str):
-    """Most frequent value, the smallest of equals; null for an empty column."""
-    counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("_n"))
-    top = counts.orderBy(F.col("_n").desc(), F.col(column).asc()).limit(1).first()
-    return None if top is None else top[0]
+def column_modes(df: DataFrame, columns: list[str]) -> dict:
+    """Most frequent value of each column, the smallest of equals; null for an empty column.
+
+    One job for all columns: their values are counted as rows, in every task before the shuffle; one
+    maximum per column meets the counts again.
+    """
+    values = df.select(*[known(df, c).cast("string").alias(c) for c in columns])
+    long = values.unpivot([], columns, "column", "value") if len(columns) > 1 else values.select(F.lit(columns[0]).alias("column"), F.col(columns[0]).alias("value"))
+    counts = long.where("value is not null").groupBy("column", "value").agg(F.count("*").alias("n"))
+    most = counts.groupBy("column").agg(F.max("n").alias("n"))
+    best = counts.join(F.broadcast(most), ["column", "n"])  # one row per column
+    row = best.agg(*[F.min(F.when(F.col("column") == c, F.col("value").cast(df.schema[c].dataType))).alias(f"m{i}") for i, c in enumerate(columns)]).first()
+    return dict(zip(columns, row))
 
 
 def handle_missing(df: DataFrame, strategies: dict[str, str]) -> DataFrame:
@@ -72,6 +93,8 @@ def handle_missing(df: DataFrame, strategies: dict[str, str]) -> DataFrame:
         raise ValueError(f"unknown strategies: {sorted(unknown)}")
     medians = [c for c, s in strategies.items() if s == "median"]
     fitted = quantile_table(df, medians, [0.5]) if medians else {}
+    modes = [c for c, s in strategies.items() if s == "mode"]
+    common = column_modes(df, modes) if modes else {}
     fills: dict[str, Column] = {}
     for column, strategy in strategies.items():
         current = F.col(column)
@@ -80,7 +103,7 @@ def handle_missing(df: DataFrame, strategies: dict[str, str]) -> DataFrame:
         if strategy == "median":
             fills[column] = F.coalesce(current, F.lit(fitted.get((column, 0.5))))
         elif strategy == "mode":
-            fills[column] = F.coalesce(current, F.lit(column_mode(df.withColumn(column, current), column)))
+            fills[column] = F.coalesce(current, F.lit(common[column]))
         elif strategy == "zero":
             fills[column] = F.coalesce(current, F.lit(0).cast(df.schema[column].dataType))
     dropped = [c for c, s in strategies.items() if s == "drop"]
@@ -138,15 +161,12 @@ def encode_label(df: DataFrame, column: str, name: str | None = None) -> DataFra
     return joined.withColumn(name or f"{column}_code", F.col("_code") - 1).drop("_code")
 
 
-def encode_onehot(df: DataFrame, column: str, categories: list | None = None) -> DataFrame:
-    """Replace a column by one 0/1 column per category.
+def encode_onehot(df: DataFrame, column: str, categories: list) -> DataFrame:
+    """Replace a column by one 0/1 column per named category; other values and nulls are 0 in all of them.
 
-    The categories become column names: the result has as many columns as they are. For columns
-    with many values, `encode_sparse` needs neither their list nor a column each.
+    The categories become column names, so they are the caller's to give; where they are not known, or
+    many, `encode_sparse` needs neither their list nor a column each.
     """
-    if categories is None:
-        found = df.where(F.col(column).isNotNull()).select(column).distinct().collect()
-        categories = sorted(row[0] for row in found)
     flags = {f"{column}_{c}": F.coalesce((F.col(column) == c).cast("int"), F.lit(0)) for c in categories}
     return df.withColumns(flags).drop(column)
 

@@ -24,7 +24,7 @@ class TrainingPlan:
     keys: list[str] = field(default_factory=lambda: ["town_id"])
     summary: dict[str, str | list[str]] = field(default_factory=dict)
     missing: dict[str, str] = field(default_factory=dict)
-    onehot: list[str] = field(default_factory=list)
+    onehot: dict[str, list] = field(default_factory=dict)  # categories by column
     labels: list[str] = field(default_factory=list)
     scaled: list[str] = field(default_factory=list)
     method: str = "standard"
@@ -49,8 +49,8 @@ def prepared(table: DataFrame, plan: TrainingPlan) -> DataFrame:
     """Fill, encode and scale the joined table."""
     if plan.missing:
         table = handle_missing(table, plan.missing)
-    for column in plan.onehot:
-        table = encode_onehot(table, column)
+    for column, categories in plan.onehot.items():
+        table = encode_onehot(table, column, categories)
     for column in plan.labels:
         table = encode_label(table, column)
     return scale(table, plan.scaled, plan.method) if plan.scaled else table

@@ -63,7 +63,7 @@ def test_training_job(spark, tmp_path):
     features = spark.createDataFrame([("A", 10.0, "x"), ("B", 20.0, "y"), ("C", 30.0, None)], "area_id string, cover double, soil string")
     detail = spark.createDataFrame([("A", 2020, 1.0), ("A", 2020, 1.0), ("A", 2021, 3.0), ("B", 2020, 5.0), ("B", 2021, 4.0), (None, None, None)],
                                    "town_id string, year int, amount double")
-    plan = TrainingPlan(summary={"amount": "sum"}, missing={"amount_sum": "zero"}, onehot=["soil"], scaled=["cover"], method="minmax", trend=("year", "amount"))
+    plan = TrainingPlan(summary={"amount": "sum"}, missing={"amount_sum": "zero"}, onehot={"soil": ["x", "y"]}, scaled=["cover"], method="minmax", trend=("year", "amount"))
     out = train(features, detail, plan, str(tmp_path), "001_soil", ["cover", "amount_sum"], ("parquet", "csv"), dt.date(2025, 3, 1))
     assert out.paths == [f"{tmp_path}/GIS_processed_001_soil_20250301.{f}" for f in ("parquet", "csv")]
     assert spark.read.option("header", "true").csv(out.paths[1]).count() == out.table.count() == 3

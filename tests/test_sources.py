@@ -253,7 +253,7 @@ def test_requests_end_to_end(spark):
 def test_training_modes(spark):
     features = spark.createDataFrame([("A", 10, "x"), ("B", 20, "y"), ("C", 30, None)], "area_id string, cover int, soil string")
     detail = spark.createDataFrame([("A", 2020, 1.0), ("A", 2021, 3.0), ("B", 2020, 5.0), ("B", 2021, 4.0), (None, None, None)], "town_id string, year int, amount double")
-    plan = TrainingPlan(summary={"amount": ["sum", "median"]}, missing={"amount_median": "median", "amount_sum": "zero"}, onehot=["soil"],
+    plan = TrainingPlan(summary={"amount": ["sum", "median"]}, missing={"amount_median": "median", "amount_sum": "zero"}, onehot={"soil": ["x", "y"]},
                         labels=["area_id"], scaled=["amount_sum"], method="minmax", trend=("year", "amount"))
     first = run(features, detail, plan, "preprocess")
     whole = {r.area_id: r for r in run(features, detail, plan).collect()}

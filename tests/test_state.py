@@ -168,9 +168,29 @@ def test_cleaning_edges(spark):
     assert {r.v for r in clean.scale(flat, ["v"], "minmax").collect()} == {0.0, None}
 
 
+def test_modes_of_all_columns_come_from_one_action(spark, monkeypatch):
+    rows = spark.createDataFrame([(2.0, "b", 10, None), (2.0, "a", 9, None), (10.0, "a", 10, None), (10.0, "b", 9, None), (float("nan"), None, 8, None)], "v double, c string, n int, none string")
+    calls = []
+    first = type(rows).first
+    monkeypatch.setattr(type(rows), "first", lambda self: calls.append(1) or first(self))
+    assert clean.column_modes(rows, ["v", "c", "n", "none"]) == {"v": 2.0, "c": "a", "n": 9, "none": None}
+    assert len(calls) == 1
+    assert clean.column_modes(rows, ["n"]) == {"n": 9}
+
+
+def test_cleaning_report_scans_once(spark, tmp_path):
+    spark.createDataFrame([(1.0, "a"), (None, None)], "v double, c string").write.parquet(f"{tmp_path}/rows")
+    rows = spark.read.parquet(f"{tmp_path}/rows")
+    for rules in (["drop_duplicates", "drop_all_null"], ["drop_all_null", "drop_duplicates", "drop_duplicates"]):
+        plan = clean.clean(rows, rules)[1]._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Relation [") == 1
+
+
 def test_onehot_has_no_cap_and_a_sparse_form(spark):
     rows = spark.range(1200).select(F.col("id").cast("string").alias("c"), "id")
-    assert len(clean.encode_onehot(rows, "c").columns) == 1201
+    assert len(clean.encode_onehot(rows, "c", [str(k) for k in range(1200)]).columns) == 1201
+    some = clean.encode_onehot(rows, "c", ["3", "none"]).agg(F.sum("c_3"), F.sum("c_none")).first()
+    assert tuple(some) == (1, 0)
     assert clean.encode_sparse(rows, "id", ["c"]).count() == 1200
 
 

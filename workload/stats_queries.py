@@ -192,7 +192,7 @@ def encode_label(spark, sf_dir):
 
 @query("encode_onehot", ctes("dirty") + "SELECT id, " + ", ".join(f"CASE WHEN status = '{s}' THEN 1 ELSE 0 END AS status_{s}" for s in "FOP") + " FROM dirty")
 def encode_onehot(spark, sf_dir):
-    return clean.encode_onehot(load(spark, sf_dir, "dirty").select("id", "status"), "status")
+    return clean.encode_onehot(load(spark, sf_dir, "dirty").select("id", "status"), "status", list("FOP"))
 
 
 @query("scale_standard", ctes("dirty", q="SELECT avg(price) AS m, stddev_pop(price) AS s FROM dirty") + "SELECT id, round((price - m) / s, 6) AS price FROM dirty, q")
@@ -229,6 +229,45 @@ def effect_model(spark, sf_dir):
     return spark.createDataFrame(rows, "feature string, effect double")
 
 
+ROUNDS = 6
+
+
+def random_effects_sql() -> str:
+    """The same rounds as a chain of one-row tables; the normal equations of three columns are solved by cofactors."""
+    sums = """SELECT county_id, count(*) AS n, sum(rain_total) AS a, sum(heat_days) AS b, sum(target) AS t FROM yield_features
+      WHERE target IS NOT NULL AND rain_total IS NOT NULL AND heat_days IS NOT NULL GROUP BY county_id"""
+    whole = """SELECT count(*)::DOUBLE AS n, sum(rain_total) AS a, sum(heat_days) AS b, sum(rain_total * rain_total) AS aa, sum(rain_total * heat_days) AS ab, sum(heat_days * heat_days) AS bb,
+      sum(target) AS t, sum(rain_total * target) AS at_, sum(heat_days * target) AS bt, sum(target * target) AS tt, count(DISTINCT county_id) AS groups FROM yield_features
+      WHERE target IS NOT NULL AND rain_total IS NOT NULL AND heat_days IS NOT NULL"""
+    det = "(n * (aa * bb - ab * ab) - a * (a * bb - ab * b) + b * (a * ab - aa * b))"
+
+    def solved(t: str, at: str, bt: str) -> str:
+        return f"""({t} * (aa * bb - ab * ab) + {at} * (b * ab - a * bb) + {bt} * (a * ab - b * aa)) / {det} AS b0,
+          ({t} * (ab * b - a * bb) + {at} * (n * bb - b * b) + {bt} * (a * b - n * ab)) / {det} AS b1,
+          ({t} * (a * ab - aa * b) + {at} * (b * a - n * ab) + {bt} * (n * aa - a * a)) / {det} AS b2"""
+
+    rss = "tt - 2 * (b0 * t + b1 * at_ + b2 * bt) + b0 * b0 * n + b1 * b1 * aa + b2 * b2 * bb + 2 * (b0 * b1 * a + b0 * b2 * b + b1 * b2 * ab)"
+    steps = {"r0": f"SELECT b0, b1, b2, ({rss}) / n AS s2, ({rss}) / n AS u2 FROM (SELECT w.*, {solved('t', 'at_', 'bt')} FROM whole w) x"}
+    for k in range(1, ROUNDS + 1):
+        steps[f"u{k}"] = f"SELECT s.*, u2 / (s2 + s.n * u2) * (t - b0 * s.n - b1 * a - b2 * b) AS u, s2 * u2 / (s2 + s.n * u2) AS v FROM sums s, r{k - 1}"
+        steps[f"e{k}"] = f"SELECT sum(n * u) AS nu, sum(a * u) AS au, sum(b * u) AS bu, sum(t * u) AS tu, sum(n * u * u) AS nuu, sum(u * u + v) AS uv, sum(n * v) AS nv FROM u{k}"
+        steps[f"r{k}"] = f"""SELECT b0, b1, b2, ({rss} - 2 * (tu - b0 * nu - b1 * au - b2 * bu) + nuu + nv) / n AS s2, uv / groups AS u2
+          FROM (SELECT w.*, e.*, {solved('(t - nu)', '(at_ - au)', '(bt - bu)')} FROM whole w, e{k} e) x"""
+    last = f"r{ROUNDS}"
+    return ctes("yield_features", sums=sums, whole=whole, **steps) + f"""SELECT 'fixed' AS kind, unnest(['', 'rain_total', 'heat_days']) AS name, round(unnest([b0, b1, b2]), 4) AS value FROM {last} UNION ALL
+      SELECT 'variance', unnest(['county', 'residual']), round(unnest([u2, s2]), 3) FROM {last} UNION ALL
+      SELECT 'county', county_id, round(u2 / (s2 + n * u2) * (t - b0 * n - b1 * a - b2 * b), 3) FROM sums, {last}"""
+
+
+@query("random_effects", random_effects_sql())
+def random_effects(spark, sf_dir):
+    found = resilience.fit_random_effects(load(spark, sf_dir, "yield_features"), "county_id", "target", ["rain_total", "heat_days"], rounds=ROUNDS, tolerance=0.0)
+    rows = [("fixed", name, round(value, 4)) for name, value in found.fixed.items()]
+    rows += [("variance", "county", round(found.var_county, 3)), ("variance", "residual", round(found.var_residual, 3))]
+    counties = found.counties.select(F.lit("county").alias("kind"), F.col("county_id").alias("name"), F.round("effect", 3).alias("value"))
+    return spark.createDataFrame(rows, "kind string, name string, value double").union(counties)
+
+
 @query("stability_class", ctes("signals", scored="SELECT *, 0.0::DOUBLE + rain_total * 0.01::DOUBLE + heat_days * -0.5::DOUBLE AS sensitivity FROM signals") + """
   SELECT town_id, year, round(-sensitivity, 6) AS resilience, CAST(ntile(5) OVER (ORDER BY -sensitivity DESC, town_id, year) AS INT) AS stability_class FROM scored""")
 def stability_class(spark, sf_dir):
