@@ -78,7 +78,8 @@ def pixel_size(bbox: Column, resolution: float = 100) -> Column:
     mid_lat, mid_lon = (bbox.miny + bbox.maxy) / 2, (bbox.minx + bbox.maxx) / 2
     across = geodesic_km(mid_lat, bbox.minx, mid_lat, bbox.maxx)
     along = geodesic_km(bbox.miny, mid_lon, bbox.maxy, mid_lon)
-    pixels = [F.greatest(F.lit(1), F.bround(km * 1000 / resolution).cast("int")) for km in (across, along)]
+    sizes = [F.bround(km * 1000 / resolution).cast("int") for km in (across, along)]
+    pixels = [F.when(size.isNotNull(), F.greatest(F.lit(1), size)) for size in sizes]  # no box, no size
     return F.struct(pixels[0].alias("width"), pixels[1].alias("height"))
 
 

@@ -153,12 +153,12 @@ def layer_name_misses(spark, sf_dir):
     return found.where("name_en is null").groupBy("map_name").agg(F.count("*").alias("n"))
 
 
-@query("wkt_roundtrip", ctes(vx=vertex_sql()) + f"""SELECT k, CAST(count(*) AS BIGINT) AS n_points, round(sum(x), 6) AS sum_x, round(sum(y), 6) AS sum_y, true AS same
-  FROM vx GROUP BY k""")
+@query("wkt_roundtrip", ctes(vx=vertex_sql()) + f"""SELECT k, CAST(nullif(count(x), 0) AS BIGINT) AS n_points, round(sum(x), 6) AS sum_x, round(sum(y), 6) AS sum_y, CASE WHEN count(x) > 0 THEN true END AS same
+  FROM (SELECT s_suppkey AS k FROM supplier) t LEFT JOIN vx USING (k) GROUP BY k""")
 def wkt_roundtrip(spark, sf_dir):
     from fieldmosaic.functions.wkt import write_multipolygon
 
-    shapes = town_shapes(spark, sf_dir).withColumn("parts", parse_polygon(F.col("geometry"))).where("parts is not null")
+    shapes = town_shapes(spark, sf_dir).withColumn("parts", parse_polygon(F.col("geometry")))
     again = shapes.withColumn("again", parse_polygon(write_multipolygon(F.col("parts"))))
     points = F.flatten(F.flatten("again"))
     total = lambda axis: F.round(F.aggregate(F.transform(points, lambda p: p[axis]), F.lit(0.0), lambda a, v: a + v), 6)

@@ -159,9 +159,9 @@ def add_color_map(spark, sf_dir):
     return twice.select("layer", "b", "g", "r", "label")
 
 
-@query("polygon_bbox", ctes(vx=vertex_sql()) + "SELECT k, min(x) AS minx, min(y) AS miny, max(x) AS maxx, max(y) AS maxy FROM vx GROUP BY k")
+@query("polygon_bbox", ctes(vx=vertex_sql()) + "SELECT k, min(x) AS minx, min(y) AS miny, max(x) AS maxx, max(y) AS maxy FROM (SELECT s_suppkey AS k FROM supplier) t LEFT JOIN vx USING (k) GROUP BY k")
 def polygon_bbox(spark, sf_dir):
-    shapes = town_shapes(spark, sf_dir).where("geometry is not null").withColumn("parts", parse_polygon(F.col("geometry")))
+    shapes = town_shapes(spark, sf_dir).withColumn("parts", parse_polygon(F.col("geometry")))
     return shapes.select("k", geometry.bbox(F.col("parts")).alias("box")).select("k", "box.*")
 
 
@@ -204,9 +204,9 @@ RING_AREA = """SELECT k, part, ring, abs(sum((x1 - ox) * (y2 - oy) - (x2 - ox) *
 AREAS_M2 = "SELECT k, sum(CASE WHEN ring = 0 THEN m2 ELSE -m2 END) AS m2 FROM ring_area GROUP BY k"
 
 
-@query("polygon_area", ctes(vx=vertex_sql(), plane=PLANE, ring_area=RING_AREA, size=AREAS_M2) + "SELECT k, CAST(round(m2) AS BIGINT) AS area_m2 FROM size")
+@query("polygon_area", ctes(vx=vertex_sql(), plane=PLANE, ring_area=RING_AREA, size=AREAS_M2) + "SELECT k, CAST(round(m2) AS BIGINT) AS area_m2 FROM (SELECT s_suppkey AS k FROM supplier) t LEFT JOIN size USING (k)")
 def polygon_area(spark, sf_dir):
-    shapes = town_shapes(spark, sf_dir).where("geometry is not null").withColumn("parts", parse_polygon(F.col("geometry")))
+    shapes = town_shapes(spark, sf_dir).withColumn("parts", parse_polygon(F.col("geometry")))
     return shapes.select("k", F.round(geometry.polygon_area(F.col("parts"))).cast("long").alias("area_m2"))
 
 
@@ -276,7 +276,7 @@ def pixel_lonlat(spark, sf_dir):
   SELECT area_id, classification, max(col) + 1 AS actual_w, max(row) + 1 AS actual_h FROM pixels GROUP BY area_id, classification) p
   LEFT JOIN (SELECT DISTINCT area_id, width, height FROM towns JOIN frames USING (k)) f USING (area_id)""")
 def image_size_check(spark, sf_dir):
-    areas = geometry.with_frame(town_shapes(spark, sf_dir).where("geometry is not null"))
+    areas = geometry.with_frame(town_shapes(spark, sf_dir))
     return geometry.image_size_check(load(spark, sf_dir, "pixels"), areas, ["area_id", "classification"], ["area_id"], tolerance=110)
 
 

@@ -14,8 +14,8 @@ INPUTS["table_registry"] = """
 SELECT CASE n_nationkey % 5 WHEN 0 THEN 'orders' WHEN 1 THEN 'part' WHEN 2 THEN 'supplier' WHEN 3 THEN 'no_such_table' ELSE 'events' END AS category_table_id,
   n_name AS title, n_nationkey AS pos
 FROM nation"""
-INPUTS["links_a"] = "SELECT p_type || CAST(p_size AS STRING) AS map_name, 'a/' || p_name || CAST(p_partkey AS STRING) AS map_url, p_partkey AS pos FROM part WHERE p_size % 2 = 0"
-INPUTS["links_b"] = "SELECT p_type || CAST(p_size AS STRING) AS map_name, 'b/' || p_name AS map_url, p_partkey AS pos FROM part WHERE p_size % 3 = 0"
+INPUTS["links_a"] = "SELECT p_type || CAST(p_size AS STRING) AS map_name, 'a/' || p_name || CAST(p_partkey AS STRING) AS map_url, p_partkey AS pos FROM part"
+INPUTS["links_b"] = "SELECT p_type || CAST(p_size AS STRING) AS map_name, 'b/' || p_name AS map_url, p_partkey AS pos FROM part"
 INPUTS["links_c"] = "SELECT p_type || CAST(p_size AS STRING) AS map_name, 'c/' || p_brand AS map_url, p_partkey AS pos FROM part"
 INPUTS["json_texts"] = """
 SELECT event_id AS id, CASE event_id % 8 WHEN 0 THEN props WHEN 1 THEN '[' || props || ', ' || props || ']' WHEN 2 THEN '[1, 2]'

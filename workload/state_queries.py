@@ -181,9 +181,9 @@ def framed_sql(*inputs: str) -> str:
     return base.replace("WITH ", "WITH RECURSIVE ", 1) + ",\n" + VINCENTY + f",\nframes AS ({FRAMES})\n"
 
 
-@query("bbox_pixel_size", framed_sql() + "SELECT k, width, height FROM frames")
+@query("bbox_pixel_size", framed_sql() + "SELECT k, width, height FROM (SELECT s_suppkey AS k FROM supplier) t LEFT JOIN frames USING (k)")
 def bbox_pixel_size(spark, sf_dir):
-    return geometry.with_frame(town_shapes(spark, sf_dir).where("geometry is not null")).select("k", "width", "height")
+    return geometry.with_frame(town_shapes(spark, sf_dir)).select("k", "width", "height")
 
 
 @query("request_plan", framed_sql("towns") + f"""SELECT layer_no, area_id, shp_version, 'https://wms.example.com/' || name_en || '?SERVICE=WMS&BBOX=' ||
