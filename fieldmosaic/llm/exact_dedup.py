@@ -4,6 +4,10 @@ A text becomes its normalised form, the form a list of chunks whose borders depe
 characters only, and the list a recipe of 64-bit chunk identifiers. Recipes, not texts, are
 grouped. A long text crosses the network never, apart from chunks that occur more than once,
 which are moved one time to verify that an identifier stands for one content.
+
+Borders: the text is cut into units, each up to the next place where a border may be; the hash of a
+unit decides whether its end is one, and one that follows another too closely is none. Neither
+looks at where earlier cuts were made, so after an edit the borders are the old ones again.
 """
 
 from __future__ import annotations
@@ -14,18 +18,28 @@ from fieldmosaic.llm.common import documents, stored
 from fieldmosaic.llm.registry import query
 
 BLANKS = "[\\x20\\x09-\\x0D]+"
-#: A chunk ends after a blank that follows one of these characters, at least LEAST and at most MOST characters in.
-BORDER, LEAST, MOST = "[dgkmpy.]\\x20", 512, 4096
+#: Where a border may be: after a blank that follows one of these letters, or after a wide punctuation mark.
+BORDER = "(?:[dgkmpy.]\\x20|[\u3001\u3002\uff0c\uff1a\uff1b\uff1f\uff01])"
+ONE_IN = 16  # so many of these places are borders
+LEAST, MOST = 128, 4096  # characters between two borders, and of a chunk
+SALTS = 16  # tasks over which the contents of one identifier are spread before they are combined
 
 
 def normalized(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text.cast("string"), F.lit("")), BLANKS, " ")
 
 
-def chunks(norm: Column, least: int = LEAST, most: int = MOST) -> Column:
-    """The chunks in order; joined they are the text, an empty text has none."""
-    pattern = f"(?s).{{{least},{most}}}?(?<={BORDER})|.{{1,{most}}}"
-    return F.regexp_extract_all(norm, F.lit(pattern), F.lit(0))
+def chunks(norm: Column, least: int = LEAST, most: int = MOST, one_in: int = ONE_IN) -> Column:
+    """The chunks in order; joined they are the text, an empty text has none.
+
+    A chunk begins at a border and runs to the next one; where that is more than `most` characters
+    away, it is cut every `most` characters from its beginning. Borders are marked by line feeds,
+    which a normalised text has none of.
+    """
+    units = F.regexp_extract_all(norm, F.lit(f"(?s).*?{BORDER}|.+"), F.lit(0))
+    marked = F.array_join(F.transform(units, lambda u: F.when(F.pmod(F.xxhash64(u), F.lit(one_in)) == 0, F.concat(u, F.lit("\n"))).otherwise(u)), "")
+    apart = F.regexp_replace(marked, f"\n(?<=\n[^\n]{{0,{least - 1}}}\n)", "") if least > 1 else marked
+    return F.regexp_extract_all(apart, F.lit(f"[^\\n]{{1,{most}}}"), F.lit(0))
 
 
 def identifier(chunk: Column, bits: int = 64) -> Column:
@@ -38,14 +52,17 @@ def recipes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", bits: i
     """(id, recipe, text_sha256) per row, and the identifiers that stand for more than one content.
 
     Chunks seen once need no proof. The others are reduced to the least and greatest content per
-    identifier, within each task first; where the two differ the identifier is ambiguous.
+    identifier, within each task first; where the two differ the identifier is ambiguous. A content
+    that many texts share is dealt to SALTS tasks by the id of the text, and combined there.
     """
     norm = docs.select(F.col(doc_id).alias("id"), normalized(F.col(text)).alias("norm"))
     parts = F.transform(chunks(F.col("norm")), lambda c: identifier(c, bits))
     rows = stored(norm.select("id", parts.alias("recipe"), F.sha2(F.col("norm").cast("binary"), 256).alias("text_sha256")), "recipes")
     seen = rows.select(F.explode("recipe").alias("code")).groupBy("code").agg(F.count("*").alias("n")).where("n > 1").select("code")
-    contents = norm.select(F.explode(chunks(F.col("norm"))).alias("chunk")).withColumn("code", identifier(F.col("chunk"), bits))
-    spans = contents.join(seen, "code", "left_semi").groupBy("code").agg(F.min("chunk").alias("low"), F.max("chunk").alias("high"))
+    salted = seen.select("code", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    salt = F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int").alias("salt")
+    contents = norm.select(salt, F.explode(chunks(F.col("norm"))).alias("chunk")).withColumn("code", identifier(F.col("chunk"), bits))
+    spans = contents.join(salted, ["code", "salt"], "left_semi").groupBy("code").agg(F.min("chunk").alias("low"), F.max("chunk").alias("high"))
     return rows, stored(spans.where("low <> high").select("code"), "ambiguous")
 
 
@@ -54,7 +71,8 @@ def exact_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", bi
 
     Equal texts are identical after every run of blanks has become one space; null counts as
     empty, and empty texts are equal to each other. The least id of a group stays; rows that
-    repeat this id are all kept, and null ids come last (keep_id is null only if all are).
+    repeat this id are all kept, and null ids come last (keep_id is null only if all are). Columns
+    beside id and text are not read; a very long text is as many chunks as it needs.
     Rows whose recipe has an ambiguous identifier are compared by their SHA-256 as well.
     """
     rows, ambiguous = recipes(docs, doc_id, text, bits)

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from fieldmosaic.llm.common import documents, stored
 from fieldmosaic.llm.registry import query
+from fieldmosaic.runtime import spread
 
 #: Rule and verdict; the longest rule that fits wins, at equal length the first in order of text.
 RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
@@ -53,8 +54,8 @@ def _windows(urls: DataFrame, order: int) -> DataFrame:
     different windows is bounded by the alphabet, not by the table.
     """
     clean = F.concat(F.lit("\x02" * order), F.regexp_replace(F.translate(F.coalesce("_url", F.lit("")), UPPER, LOWER), r"[^\x20-\x7e]", "\x01"))
-    cut = F.transform(F.sequence(F.lit(1), F.length("_clean") - order), lambda i: F.substring("_clean", i, F.lit(order + 1)))
-    return urls.withColumn("_clean", clean).select("*", F.explode(F.when(F.length("_clean") > order, cut)).alias("_window")).drop("_clean", "_url")
+    cut = F.regexp_extract_all("_clean", F.lit(f"(?s)(?=(.{{{order + 1}}}))."), F.lit(1))  # one pass, however long
+    return urls.withColumn("_clean", clean).select("*", F.explode(cut).alias("_window")).drop("_clean", "_url")
 
 
 def _models(windows: DataFrame, order: int) -> DataFrame:
@@ -96,12 +97,14 @@ def url_scores(urls: DataFrame, order: int = ORDER) -> tuple[DataFrame, int]:
     least sum of both error rates on fold 0, the one nearest to zero among equals, zero without
     labels. Equal urls count once. Without labels of a side, its model is even over all symbols.
     """
-    named = stored(urls.groupBy("_url").agg(F.max("_side").alias("_side")).withColumn("_fold", F.pmod(F.crc32(F.coalesce("_url", F.lit("")).cast("binary")), F.lit(FOLDS))).withColumn("_at", F.xxhash64("_url")), "urls")
-    windows = _windows(named.withColumn("_name", F.col("_url")), order)
+    named = urls.groupBy("_url").agg(F.max("_side").alias("_side")).withColumn("_fold", F.pmod(F.crc32(F.coalesce("_url", F.lit("")).cast("binary")), F.lit(FOLDS)))
+    named = named.withColumns({"_at": F.xxhash64("_url"), "_by": F.xxhash64("_url", F.lit(1))})  # stands for the url beside its windows
+    named = stored(spread(named), "urls")  # dealt out: a url becomes many windows
+    windows = _windows(named, order)
     models = stored(_models(windows.where("_side is not null and _fold <> 0"), order), "models")
     ratios = stored(_ratios(windows, models, order), "ratios")
-    sums = windows.join(ratios, "_window").groupBy(F.col("_name").alias("_url")).agg(F.sum("_ratio").alias("_sum"), F.count("*").alias("_len"))
-    scored = named.select("_url", "_side", "_fold").join(sums, "_url", "left").select("_url", "_side", "_fold", F.expr("floor(coalesce(_sum, 0) / coalesce(_len, 1))").alias("_score"))
+    sums = windows.join(ratios, "_window").groupBy("_at", "_by").agg(F.sum("_ratio").alias("_sum"), F.count("*").alias("_len"))
+    scored = named.join(sums, ["_at", "_by"], "left").select("_url", "_side", "_fold", F.expr("floor(coalesce(_sum, 0) / coalesce(_len, 1))").alias("_score"))
     scored = stored(scored, "scores")
     slot = F.greatest(F.lit(-GRID_HALF), F.least(F.lit(GRID_HALF), F.floor(F.col("_score") / GRID))).cast("int")
     tally = scored.where("_side is not null and _fold = 0").groupBy(slot.alias("slot")).agg(F.sum("_side").alias("good"), F.sum(1 - F.col("_side")).alias("bad"))
@@ -121,8 +124,9 @@ def calibrated(tally: list[tuple[int, int, int]]) -> int:
 def judge_urls(pages: DataFrame, page_id: str = "page_id", url: str = "url", rules=RULES, order: int = ORDER) -> DataFrame:
     """One row per page: id, host, path, rule, verdict, score (micro-nats per character, also where a rule decides).
 
-    A url is accepted if its score reaches the threshold. A null url has no host, no path and
-    score 0. Repeated rows stay.
+    A url is accepted if its score reaches the threshold. A null or empty url has no host, no path and
+    score 0. Repeated rows stay, equal urls have equal rows; a url may be of any length, in time
+    proportional to it. Other columns of `pages` are not read, whatever their names.
     """
     rows = pages.select(F.col(page_id).alias("id"), F.col(url).cast("string").alias("_url"))
     host, path = url_host(F.col("_url")), url_path(F.col("_url"))

@@ -6,6 +6,8 @@ import itertools
 import math
 import random
 import re
+import time
+import zlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -55,11 +57,25 @@ def test_exact_groups_with_colliding_identifiers(spark):
             assert (r.keep_id, r.group_size, r.kept) == (min(group), len(group), r.id == min(group))
 
 
-def test_chunks_depend_on_nearby_text_only(spark):
+def test_chunks_meet_again_after_an_insertion(spark):
     rng = random.Random(2)
-    text = " ".join(w + rng.choice("adrstz") for w in long_text(rng, 4000).split())
-    a, b = spark.createDataFrame([("zz " + text,), ("other words before " + text,)], "t string").select(exact_dedup.chunks(F.col("t")).alias("c")).collect()
-    assert "".join(a.c) == "zz " + text and len(set(a.c) & set(b.c)) > len(a.c) - 4
+    text = " ".join(w + rng.choice("adrstz") for w in long_text(rng, 14_000).split())
+    rows = [("", text)]
+    for size in (1, 16, 128, 250, 400, 700):
+        for _ in range(5):
+            at = rng.randrange(2000)
+            rows.append((str(size), text[:at] + long_text(rng, 300)[:size] + text[at:]))
+    first, *others = spark.createDataFrame(rows, "size string, t string").select("t", exact_dedup.chunks(F.col("t")).alias("c")).collect()
+    assert len(first.c) > 50 and max(map(len, first.c)) <= exact_dedup.MOST
+    for r in others:
+        assert "".join(r.c) == r.t and len(set(r.c) - set(first.c)) <= 4
+
+
+def test_chunks_without_borders_and_with_borders_only(spark):
+    rows = [("",), ("a" * 10_000,), ("ad " * 5000,), ("\u4e2d\u6587\uff0c" * 4000,), ("x\x00y. \U0001f600. " * 900,)]
+    for r in spark.createDataFrame(rows, "t string").select("t", exact_dedup.chunks(F.col("t")).alias("c")).collect():
+        assert "".join(r.c) == r.t and all(0 < len(c) <= exact_dedup.MOST for c in r.c)
+        assert len(r.c) <= len(r.t) / exact_dedup.LEAST + 2
 
 
 def test_line_dedup_matches_brute_force(spark):
@@ -287,3 +303,56 @@ def test_urls(spark):
     assert all(r.verdict in ("allow", "block") for r in got.values()) and len(got) == len(urls)
     assert url_filter.judge_urls(pages.limit(0)).count() == 0
     assert url_filter.calibrated([(-3, 0, 5), (2, 5, 0)]) == 0 and url_filter.calibrated([]) == 0
+
+
+def test_url_scores_match_brute_force(spark):
+    """Every Witten-Bell probability in plain Python; the models learn from labelled urls outside fold 0."""
+    rng = random.Random(12)
+    urls = ["http://" + "".join(rng.choice("abcx/.-\u00e9Q") for _ in range(rng.randint(0, 30))) for _ in range(120)] + ["", "a"]
+    rows = [(u, rng.choice([0, 1, None])) for u in dict.fromkeys(urls)]
+    order = url_filter.ORDER
+
+    def windows(url):
+        clean = "\x02" * order + "".join(c if " " <= c <= "~" else "\x01" for c in url.translate(str.maketrans(url_filter.UPPER, url_filter.LOWER)))
+        return [clean[i : i + order + 1] for i in range(len(clean) - order)]
+
+    counts = ({}, {})
+    for url, side in rows:
+        if side is not None and zlib.crc32(url.encode()) % url_filter.FOLDS:
+            for w in windows(url):
+                for k in range(order + 1):
+                    after = counts[side].setdefault(w[order - k : order], {})
+                    after[w[order]] = after.get(w[order], 0) + 1
+
+    def chance(side, w):
+        p = 1 / 97
+        for k in range(order + 1):
+            after = counts[side].get(w[order - k : order])
+            if after:
+                p = (after.get(w[order], 0) + len(after) * p) / (sum(after.values()) + len(after))
+        return p
+
+    def score(url):
+        ratios = [math.log(chance(1, w)) - math.log(chance(0, w)) for w in windows(url)]
+        return sum(ratios) / max(1, len(ratios)) * url_filter.MICRO
+
+    scored, threshold = url_filter.url_scores(spark.createDataFrame(rows, "_url string, _side int"))
+    got = {r._url: r._score for r in scored.collect()}
+    assert len(got) == len(rows) and len({round(v, -4) for v in got.values()}) > 20
+    assert all(abs(got[u] - score(u)) < 2 for u, _ in rows)
+    fold = [(got[u], side) for u, side in rows if side is not None and zlib.crc32(u.encode()) % url_filter.FOLDS == 0]
+
+    def error(cut):
+        slots = [(max(-url_filter.GRID_HALF, min(url_filter.GRID_HALF, v // url_filter.GRID)) * url_filter.GRID, side) for v, side in fold]
+        good, bad = ([v for v, side in slots if side == s] for s in (1, 0))
+        return sum(v < cut for v in good) / len(good) + sum(v >= cut for v in bad) / len(bad)
+
+    assert error(threshold) <= min(error(cut * url_filter.GRID) for cut in range(-url_filter.GRID_HALF, url_filter.GRID_HALF + 2)) + 1e-12
+
+
+def test_very_long_urls(spark):
+    urls = ["http://a.net/" + "abc/" * 75_000, "http://b.org/fr/" + "xyz-" * 75_000, "http://c.com/"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    start = time.monotonic()
+    assert {r.id: len(r.path) for r in url_filter.judge_urls(pages).collect()} == {0: 300_001, 1: 300_004, 2: 1}
+    assert time.monotonic() - start < 60
