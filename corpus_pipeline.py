@@ -38,10 +38,13 @@ def cut_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def keep_one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least id of every class of similar texts; all texts without a word are one class."""
+    """The document with the least id of every class of similar texts; all texts without a word are one class.
+
+    Of rows that agree in id and text the least by all columns stays.
+    """
     classes = ngram_join.similar_classes(docs)
     first = classes.groupBy("class").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "_key")).alias("first")).select("first._key")
-    return _keyed(docs).join(first, "_key", "left_semi").dropDuplicates(["_key"]).select("row.*")
+    return _keyed(docs).join(first, "_key", "left_semi").groupBy("_key").agg(F.min("row").alias("row")).select("row.*")
 
 
 def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
