@@ -18,8 +18,8 @@ from fieldmosaic.llm.common import documents, stored
 from fieldmosaic.llm.registry import query
 
 BLANKS = "[\\x20\\x09-\\x0D]+"
-#: Where a border may be: after a blank that follows one of these letters, or after a wide punctuation mark.
-BORDER = "(?:[dgkmpy.]\\x20|[\u3001\u3002\uff0c\uff1a\uff1b\uff1f\uff01])"
+#: After what a border may be: some letters before a blank, and wide punctuation marks.
+PLACES = ("d ", "l ", "m ", "y ", ". ", "、", "。", "，")
 ONE_IN = 16  # so many of these places are borders
 LEAST, MOST = 128, 4096  # characters between two borders, and of a chunk
 SALTS = 16  # tasks over which the contents of one identifier are spread before they are combined
@@ -36,8 +36,10 @@ def chunks(norm: Column, least: int = LEAST, most: int = MOST, one_in: int = ONE
     away, it is cut every `most` characters from its beginning. Borders are marked by line feeds,
     which a normalised text has none of.
     """
-    units = F.regexp_extract_all(norm, F.lit(f"(?s).*?{BORDER}|.+"), F.lit(0))
-    marked = F.array_join(F.transform(units, lambda u: F.when(F.pmod(F.xxhash64(u), F.lit(one_in)) == 0, F.concat(u, F.lit("\n"))).otherwise(u)), "")
+    for place in PLACES:
+        norm = F.replace(norm, F.lit(place), F.lit(f"{place}\n"))
+    units = F.transform(F.split(norm, "\n"), lambda u: F.when(F.pmod(F.xxhash64(u), F.lit(one_in)) == 0, F.concat(u, F.lit("\n"))).otherwise(u))
+    marked = F.array_join(units, "")
     apart = F.regexp_replace(marked, f"\n(?<=\n[^\n]{{0,{least - 1}}}\n)", "") if least > 1 else marked
     return F.regexp_extract_all(apart, F.lit(f"[^\\n]{{1,{most}}}"), F.lit(0))
 
