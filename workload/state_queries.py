@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from fieldmosaic.functions.url import rewrite_query
 from fieldmosaic.operators import geometry, ledger, names, quality, wms
+from fieldmosaic.runtime import checkpoint_folder
+from fieldmosaic.sources import versions
 from workload.boundary_queries import STATIC_SQL
 from workload.inputs import DEPENDS, INPUTS, ctes, load, town_id, town_shapes, vertex_sql
 from workload.registry import query
@@ -205,3 +209,16 @@ def request_plan(spark, sf_dir):
   coalesce(status BETWEEN 400 AND 499, false) AS client_error FROM response_log""")
 def response_triage(spark, sf_dir):
     return wms.response_triage(load(spark, sf_dir, "response_log")).select("event_id", "attempt", "action", "wait_s", "client_error")
+
+
+@query("published_versions", ctes("ledger") + """SELECT CAST(1 AS BIGINT) AS version, shp_version, count(*) AS n FROM ledger WHERE stage = 'raw' GROUP BY shp_version
+  UNION ALL SELECT 2, shp_version, count(*) FROM ledger GROUP BY shp_version""")
+def published_versions(spark, sf_dir):
+    """The raw rows published first, then all of them, and a third publication that never got its manifest."""
+    path = f"{checkpoint_folder(spark)}/published-{uuid.uuid4().hex}"
+    rows = load(spark, sf_dir, "ledger")
+    for part in (rows.where("stage = 'raw'"), rows):
+        versions.publish(part, path)
+    rows.write.parquet(f"{path}/parts/unfinished")
+    shown = [versions.read_published(spark, path, number).withColumn("version", F.lit(given).cast("long")) for number, given in ((1, 1), (None, 2))]
+    return shown[0].unionByName(shown[1]).groupBy("version", "shp_version").agg(F.count("*").alias("n"))
