@@ -172,16 +172,16 @@ def with_encoding(attributes: DataFrame, notes: DataFrame) -> DataFrame:
     A bare code page number, as in `950` or `ANSI 1252`, is written out for Python.
     """
     text = F.nullif(F.regexp_replace(F.btrim(F.col("content").cast("string"), F.lit(" \r\n\t")), r"^(?:ANSI )?(\d+)$", "cp$1"), F.lit(""))
-    named = notes.select(_home(F.col("path")).alias("_home"), text.alias("encoding"))
-    return attributes.withColumn("_home", _home(F.col("path"))).join(named, "_home", "left").drop("_home")
+    named = notes.select(home(F.col("path")).alias("_home"), text.alias("encoding"))
+    return attributes.withColumn("_home", home(F.col("path"))).join(named, "_home", "left").drop("_home")
 
 
-def _home(path: Column) -> Column:
+def home(path: Column) -> Column:
     """Folder and stem: what the files of one boundary layer share."""
     return F.regexp_replace(path, r"\.[^./]*$", "")
 
 
-def _wanted(path: Column) -> Column:
+def wanted(path: Column) -> Column:
     """Only county and town files are boundaries."""
     name = F.lower(F.substring_index(path, "/", -1))
     return name.contains("county") | name.contains("town")
@@ -193,21 +193,30 @@ def join_records(shapes: DataFrame, attributes: DataFrame) -> DataFrame:
     Shapes and attributes meet on folder, stem and record number; records deleted in the .dbf
     are left out with their shape.
     """
-    left = shapes.where(_wanted(F.col("path"))).select(
-        _home(F.col("path")).alias("_home"), F.substring_index("path", "/", -1).alias("file_name"),
+    left = shapes.where(wanted(F.col("path"))).select(
+        home(F.col("path")).alias("_home"), F.substring_index("path", "/", -1).alias("file_name"),
         file_stem(F.col("path")).alias("shp_version"), "record", "geometry"
     )
-    right = attributes.select(_home(F.col("path")).alias("_home"), "record", "attributes", F.col("attributes").isNull().alias("_deleted"))
+    right = attributes.select(home(F.col("path")).alias("_home"), "record", "attributes", F.col("attributes").isNull().alias("_deleted"))
     joined = left.join(right, ["_home", "record"], "left").where(~F.coalesce("_deleted", F.lit(False)))
     return joined.select("file_name", "shp_version", "record", "geometry", "attributes")
 
 
 def _folder(spark: SparkSession, folder: str, name: str = "*") -> tuple[DataFrame, DataFrame]:
     """Contents of the boundary files of a folder, names chosen before anything is read or decoded."""
-    shapes, attributes = (_read(spark, folder, f"{name}.{kind}").where(_wanted(F.col("path"))) for kind in ("shp", "dbf"))
+    shapes, attributes = (_read(spark, folder, f"{name}.{kind}").where(wanted(F.col("path"))) for kind in ("shp", "dbf"))
     return shapes, with_encoding(attributes, _read(spark, folder, f"{name}.cpg"))
 
 
+def layer_parts(spark: SparkSession, shapes: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Contents of the named .shp files and of the .dbf files beside them, with their encoding."""
+    stems = [_literal(path[:-4]) for path in shapes]
+    read = lambda kind: spark.read.format("binaryFile").load([f"{s}.{kind}" for s in stems]).select("path", "content")
+    folders = sorted({path.rsplit("/", 1)[0] for path in shapes})
+    notes = spark.read.format("binaryFile").option("pathGlobFilter", "*.cpg").load(folders).select("path", "content")
+    return read("shp"), with_encoding(read("dbf"), notes)
+
+
 def read_boundary_files(spark: SparkSession, folder: str) -> DataFrame:
     """All boundary records of a folder of .shp and .dbf files."""
     shapes, attributes = _folder(spark, folder)
@@ -235,7 +244,7 @@ def read_boundary_file(spark: SparkSession, path: str) -> DataFrame:
 
 def _literal(name: str) -> str:
     """A file name as a pattern that matches only itself."""
-    return "".join(f"[{c}]" if c in "*?{}[" else c for c in name)
+    return "".join(f"\\{c}" if c in "*?{}[]\\" else c for c in name)
 
 
 def _header_names(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

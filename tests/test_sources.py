@@ -17,7 +17,7 @@ from fieldmosaic.plans import ingest, mapping
 from fieldmosaic.plans.training import TrainingPlan, run
 from fieldmosaic.runtime import checkpoint_folder
 from fieldmosaic.sources import images, shapefiles, sinks, tables
-from fieldmosaic.streaming.boundary_stream import ingest_stream
+from fieldmosaic.streaming.boundary_stream import ingest_shape_stream, ingest_stream
 from workload.raster_queries import _shapefile
 
 
@@ -181,6 +181,32 @@ def test_stream_ingests_each_version_once(spark, tmp_path):
     assert spark.read.parquet(target).count() == 5
 
 
+def test_shape_parts_arrive_in_different_batches(spark, tmp_path):
+    for name in ("whole", "in"):
+        (tmp_path / name).mkdir()
+    whole, incoming, target = tmp_path / "whole", tmp_path / "in", f"{tmp_path}/areas"
+    boundary_folder(whole, ("TOWN_1", "TOWN_[2]", "COUNTY_3", "River_4", "TOWN_bad"))
+    (whole / "TOWN_bad.shp").write_bytes((whole / "TOWN_bad.shp").read_bytes()[:-10])
+
+    def arrive(*names):
+        for name in names:
+            (incoming / name).write_bytes((whole / name).read_bytes())
+        ingest_shape_stream(spark, str(incoming), target, f"{tmp_path}/state").awaitTermination()
+        return sorted({r.shp_version for r in spark.read.parquet(target).collect()}) if (tmp_path / "areas").exists() else []
+
+    assert arrive("TOWN_1.shp", "COUNTY_3.dbf", "River_4.shp", "River_4.dbf") == []
+    assert arrive("TOWN_[2].shp", "TOWN_[2].dbf") == ["TOWN_[2]"]
+    assert arrive("TOWN_1.dbf", "TOWN_bad.dbf") == ["TOWN_1", "TOWN_[2]"]
+    assert arrive("COUNTY_3.shp", "TOWN_bad.shp") == ["COUNTY_3", "TOWN_1", "TOWN_[2]"]
+    key = ["area_id", "shp_version", "area_level", "geometry"]
+    want = ingest.areas_from_records(shapefiles.read_boundary_files(spark, str(whole))).select(*key)
+    got = spark.read.parquet(target).select(*key)
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect())) and got.count() == 12
+    rejects = spark.read.parquet(f"{target}_refused_parts").collect()
+    assert [r.path.rsplit("/", 1)[1] for r in rejects] == ["TOWN_bad.shp"]
+    assert arrive() == ["COUNTY_3", "TOWN_1", "TOWN_[2]"]
+
+
 def test_json_sources(spark, tmp_path):
     for name, body in {"a": '{"k": 1}', "b": '[{"k": 1}, {"j": 2}]', "c": "[1]", "d": "oops", "e": "[]"}.items():
         (tmp_path / f"{name}.json").write_text(body)
