@@ -5,11 +5,13 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StructType
 
 from fieldmosaic.operators.ranking import global_rank
 from fieldmosaic.operators.records import last_per_key
 from fieldmosaic.runtime import materialize
-from fieldmosaic.schemas import LEDGER_KEY
+from fieldmosaic.schemas import LEDGER_FOLDERS, LEDGER_KEY
+from fieldmosaic.sources.folders import read_folders, update_folders
 
 
 def upsert(target: DataFrame, batch: DataFrame, keys: list[str], position: str) -> DataFrame:
@@ -40,12 +42,12 @@ def upsert(target: DataFrame, batch: DataFrame, keys: list[str], position: str)
     return joined
 
 
-def log_results(ledger: DataFrame, results: DataFrame, position: str) -> DataFrame:
+def log_results(ledger: DataFrame, results: DataFrame, position: str, highest: int | None = None) -> DataFrame:
     """Ledger after logging results (ledger columns plus status); error and unchanged are skipped.
 
     Known keys get the new file_path and time; new keys are numbered after the highest id in
-    the order of their key. The results, reduced to one row per key, are written once because
-    both halves read them.
+    the order of their key. `highest` gives that id where `ledger` is only a part of the whole. The
+    results, reduced to one row per key, are written once because both halves read them.
     """
     logged = results.where(~F.col("status").isin("error", "unchanged"))
     batch = materialize(last_per_key(logged, LEDGER_KEY, position).select(*LEDGER_KEY, "area_level", "file_path", "recorded_at"))
@@ -56,7 +58,7 @@ def log_results(ledger: DataFrame, results: DataFrame, position: str) -> DataFra
         .withColumn("recorded_at", F.coalesce("_at", "recorded_at"))
         .select(*ledger.columns)
     )
-    top = ledger.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
+    top = highest_id(ledger) if highest is None else highest
     fresh = batch.join(ledger.select(*LEDGER_KEY), LEDGER_KEY, "left_anti")
     added = global_rank(fresh, [F.col(c) for c in LEDGER_KEY], "_rn").withColumns(
         {"id": F.col("_rn") + F.lit(top), "layer_updated": F.lit(False)}
@@ -64,6 +66,20 @@ def log_results(ledger: DataFrame, results: DataFrame, position: str) -> DataFra
     return known.unionByName(added.select(*ledger.columns))
 
 
+def highest_id(ledger: DataFrame) -> int:
+    return ledger.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
+
+
+def log_into_store(path: str, schema: StructType, results: DataFrame, position: str) -> None:
+    """`log_results` on a ledger stored in LEDGER_FOLDERS: folders without a logged result keep their files.
+
+    Only the ids of the other folders are read. Logging the same results again changes no row.
+    """
+    logged = results.where(~F.col("status").isin("error", "unchanged"))
+    top = highest_id(read_folders(results.sparkSession, path, schema))
+    update_folders(path, schema, logged, LEDGER_FOLDERS, lambda stored, batch: log_results(stored, batch, position, top))
+
+
 def log_outcome(status: Column) -> Column:
     return F.when(status.isin("error", "unchanged"), "skipped").otherwise("logged")
 

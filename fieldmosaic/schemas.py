@@ -31,6 +31,7 @@ LEDGER = (
     "stage string, file_path string, layer_updated boolean, recorded_at timestamp"
 )
 LEDGER_KEY = ["area_id", "classification", "shp_version", "stage"]
+LEDGER_FOLDERS = ["shp_version", "classification"]
 
 PIXELS = (
     "area_id string, shp_version string, classification string, row int, col int,"

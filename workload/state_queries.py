@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 from fieldmosaic.functions.url import rewrite_query
 from fieldmosaic.operators import geometry, ledger, names, quality, wms
-from fieldmosaic.runtime import checkpoint_folder
-from fieldmosaic.sources import versions
+from fieldmosaic.runtime import checkpoint_folder, materialize
+from fieldmosaic.schemas import LEDGER_FOLDERS
+from fieldmosaic.sources import folders, versions
 from workload.boundary_queries import STATIC_SQL
 from workload.inputs import DEPENDS, INPUTS, ctes, load, town_id, town_shapes, vertex_sql
 from workload.registry import query
@@ -63,6 +64,33 @@ def ledger_upsert(spark, sf_dir):
     return ledger.log_results(load(spark, sf_dir, "ledger"), load(spark, sf_dir, "results"), "pos")
 
 
+VERSION_RESULTS = "SELECT * FROM results WHERE shp_version = 'TOWN_MOI_870318'"
+VERSION_LAST = f"""SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {KEYS} ORDER BY pos DESC) AS rn
+  FROM sent WHERE status NOT IN ('error', 'unchanged')) r WHERE rn = 1"""
+
+
+@query("ledger_store", ctes("ledger", "results", sent=VERSION_RESULTS, last=VERSION_LAST, after=f"""
+  SELECT l.id, shp_version, classification, coalesce(n.file_path, l.file_path) AS file_path FROM ledger l LEFT JOIN last n USING ({KEYS}) UNION ALL
+  SELECT (SELECT max(id) FROM ledger) + row_number() OVER (ORDER BY {KEYS}), shp_version, classification, file_path FROM last n WHERE NOT EXISTS (
+    SELECT 1 FROM ledger l WHERE l.area_id = n.area_id AND l.classification = n.classification AND l.shp_version = n.shp_version AND l.stage = n.stage)""")
+    + """SELECT shp_version, classification, count(*) AS n, CAST(sum(id) AS BIGINT) AS ids, count(*) FILTER (starts_with(file_path, 'new/')) AS n_new,
+    NOT EXISTS (SELECT 1 FROM last WHERE last.shp_version = after.shp_version AND last.classification = after.classification) AS untouched
+  FROM after GROUP BY shp_version, classification""")
+def ledger_store(spark, sf_dir):
+    """The stored ledger after the results of one version were logged, and which folders kept every file."""
+    path = f"{checkpoint_folder(spark)}/ledger-{uuid.uuid4().hex}"
+    rows = load(spark, sf_dir, "ledger").withColumn("id", F.col("id").cast("long"))
+    folders.write_folders(rows, path, LEDGER_FOLDERS)
+    file = F.col("_metadata.file_path")
+    before = materialize(spark.read.schema(rows.schema).parquet(path).select(file.alias("file")).distinct())
+    ledger.log_into_store(path, rows.schema, load(spark, sf_dir, "results").where("shp_version = 'TOWN_MOI_870318'"), "pos")
+    stored = spark.read.schema(rows.schema).parquet(path).select("*", file.alias("file"))
+    shown = stored.join(before.withColumn("old", F.lit(True)), "file", "left")
+    return shown.groupBy(*LEDGER_FOLDERS).agg(
+        F.count("*").alias("n"), F.sum("id").alias("ids"), F.count_if(F.startswith("file_path", F.lit("new/"))).alias("n_new"),
+        F.every(F.coalesce("old", F.lit(False))).alias("untouched"))
+
+
 @query("log_outcomes", ctes("results") + """SELECT status, CASE WHEN status IN ('error', 'unchanged') THEN 'skipped' ELSE 'logged' END AS outcome, count(*) AS n
   FROM results GROUP BY status""")
 def log_outcomes(spark, sf_dir):
