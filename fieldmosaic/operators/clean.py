@@ -11,6 +11,7 @@ from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from fieldmosaic.operators.joins import skew_join
 from fieldmosaic.operators.ranking import exact_quantiles, global_rank
 
 
@@ -155,9 +156,9 @@ def scale(df: DataFrame, columns: list[str], method: str = "standard") -> DataFr
 
 def encode_label(df: DataFrame, column: str, name: str | None = None) -> DataFrame:
     """Add the 0-based place of each value among the sorted distinct values; null stays null."""
-    values = df.where(F.col(column).isNotNull()).select(column).distinct()
-    codes = global_rank(values, [F.col(column)], "_code")
-    joined = df.join(codes, column, "left")
+    counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("_n"))
+    codes = global_rank(counts, [F.col(column)], "_code")  # written once, counts included
+    joined = skew_join(df, codes.select(column, "_code"), [column], codes.select(column, "_n"))
     return joined.withColumn(name or f"{column}_code", F.col("_code") - 1).drop("_code")
 
 

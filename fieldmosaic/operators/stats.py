@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from fieldmosaic.functions.binding import let
 from fieldmosaic.operators.clean import known, moments
+from fieldmosaic.operators.joins import skew_join
 from fieldmosaic.operators.ranking import exact_quantiles
+from fieldmosaic.runtime import materialize
 
 AGGREGATES = {"sum": F.sum, "mean": F.avg, "min": F.min, "max": F.max, "count": F.count, "std": F.stddev_samp}
 
@@ -134,11 +136,12 @@ def downscale(totals: DataFrame, towns: DataFrame, county: str, total: str, weig
     """County totals split over their towns by weight; null where a county's weights sum to 0.
 
     The weight sum is an aggregate joined back rather than a window, so a county with a third
-    of all towns is not one task.
+    of all towns is not one task, in the sum or in the join back.
     """
-    sums = towns.groupBy(county).agg(F.sum(weight).alias("_w")).join(totals.select(county, total), county)
+    counts = materialize(towns.where(F.col(county).isNotNull()).groupBy(county).agg(F.sum(weight).alias("_w"), F.count("*").alias("_n")))
+    sums = counts.drop("_n").join(totals.select(county, total), county)
     share = F.try_divide(F.col(weight), F.col("_w"))
-    return towns.join(sums, county, "left").withColumn("allocated", F.col(total) * share).drop("_w")
+    return skew_join(towns, sums, [county], counts.select(county, "_n")).withColumn("allocated", F.col(total) * share).drop("_w")
 
 
 def histogram(df: DataFrame, column: str, bins: int = 10) -> DataFrame:

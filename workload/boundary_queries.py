@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from fieldmosaic.functions.wkt import parse_polygon
 from fieldmosaic.operators import boundaries, names
+from fieldmosaic.runtime import checkpoint_folder
+from fieldmosaic.streaming.boundary_stream import ingest_stream
 from fieldmosaic.tables.layer_values import layer_rows
 from workload.inputs import INPUTS, ctes, load, town_shapes, vertex_sql
 from workload.registry import query
@@ -153,6 +157,35 @@ def layer_name_misses(spark, sf_dir):
     return found.where("name_en is null").groupBy("map_name").agg(F.count("*").alias("n"))
 
 
+OWN = ("土壤坡度", "own_slope")
+
+
+@query("layer_overrides", ctes("map_titles", "overrides", more=f"SELECT name_zh, name_en, pos FROM overrides UNION ALL SELECT '{OWN[0]}', '{OWN[1]}', (SELECT max(pos) + 1 FROM overrides)",
+    known=LAYER_NAMES.replace("overrides", "more")) + "SELECT name_en, origin, count(*) AS n FROM map_titles JOIN known ON map_name = name_zh GROUP BY name_en, origin")
+def layer_overrides(spark, sf_dir):
+    """How often each name is shown after one more override was added."""
+    more = names.add_override(load(spark, sf_dir, "overrides"), *OWN, "pos")
+    known = names.layer_names(names.static_layers(spark), more, "pos")
+    found = names.look_up(load(spark, sf_dir, "map_titles"), known)
+    return found.where("name_en is not null").groupBy("name_en", "origin").agg(F.count("*").alias("n"))
+
+
+@query("boundary_stream", ctes("gate_areas") + """SELECT shp_version, source, count(DISTINCT area_id) AS n FROM (
+    SELECT *, CASE WHEN pos % 3 = 0 THEN 'early' ELSE 'late' END AS source FROM gate_areas) a
+  WHERE NOT EXISTS (SELECT 1 FROM gate_areas b WHERE b.shp_version = a.shp_version AND (b.pos % 3 = 0) = (a.pos % 3 = 0) AND (b.area_id IS NULL OR trim(b.area_id) = ''))
+    AND NOT (area_id = 'T28' AND lower(shp_version) LIKE '%town_moi%') GROUP BY shp_version, source""")
+def boundary_stream(spark, sf_dir):
+    """Areas that come in two files, one after the other: what of each file was stored."""
+    folder = f"{checkpoint_folder(spark)}/stream-{uuid.uuid4().hex}"
+    rows = load(spark, sf_dir, "gate_areas").withColumn("early", F.col("pos") % 3 == 0)
+    for source in ("early", "late"):
+        part = rows.where(F.col("early") == (source == "early")).select("area_id", "shp_version", F.col("pos").alias("record"), F.lit(source).alias("source"))
+        part.coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        ingest_stream(spark, f"{folder}/in", part.schema, f"{folder}/areas", f"{folder}/state").awaitTermination()
+    stored = spark.read.schema("area_id string, source string, shp_version string, source_file string").parquet(f"{folder}/areas")
+    return stored.groupBy("shp_version", "source").agg(F.count("*").alias("n"))
+
+
 @query("wkt_roundtrip", ctes(vx=vertex_sql()) + f"""SELECT k, CAST(nullif(count(x), 0) AS BIGINT) AS n_points, round(sum(x), 6) AS sum_x, round(sum(y), 6) AS sum_y, CASE WHEN count(x) > 0 THEN true END AS same
   FROM (SELECT s_suppkey AS k FROM supplier) t LEFT JOIN vx USING (k) GROUP BY k""")
 def wkt_roundtrip(spark, sf_dir):

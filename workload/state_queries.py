@@ -10,7 +10,7 @@ from fieldmosaic.functions.url import rewrite_query
 from fieldmosaic.operators import geometry, ledger, names, quality, wms
 from fieldmosaic.runtime import checkpoint_folder, materialize
 from fieldmosaic.schemas import LEDGER_FOLDERS
-from fieldmosaic.sources import folders, versions
+from fieldmosaic.sources import folders, sinks, versions
 from workload.boundary_queries import STATIC_SQL
 from workload.inputs import DEPENDS, INPUTS, ctes, load, town_id, town_shapes, vertex_sql
 from workload.registry import query
@@ -91,6 +91,28 @@ def ledger_store(spark, sf_dir):
         F.every(F.coalesce("old", F.lit(False))).alias("untouched"))
 
 
+INPUTS["bare_ledger"] = """
+SELECT id, classification, CASE WHEN id % 5 = 0 THEN NULL ELSE recorded_at END AS recorded_at, CASE WHEN id % 3 = 0 THEN NULL ELSE layer_updated END AS layer_updated FROM ledger"""
+DEPENDS["bare_ledger"] = ["ledger"]
+
+
+@query("stamped_defaults", ctes("bare_ledger") + """SELECT classification, recorded_at IS NULL AS stamped_now, coalesce(layer_updated, false) AS layer_updated, count(*) AS n
+  FROM bare_ledger GROUP BY ALL""")
+def stamped_defaults(spark, sf_dir):
+    """Rows whose missing time became the time of the run, to within a day, and rows that kept theirs."""
+    rows = ledger.with_defaults(load(spark, sf_dir, "bare_ledger"))
+    now = F.col("recorded_at") > F.date_sub(F.current_date(), 1)
+    return rows.groupBy("classification", now.alias("stamped_now"), "layer_updated").agg(F.count("*").alias("n"))
+
+
+@query("json_sink", ctes("ledger") + "SELECT id, area_id, classification, file_path, layer_updated, CAST(recorded_at AS VARCHAR) AS recorded_at FROM ledger")
+def json_sink(spark, sf_dir):
+    """The ledger written as JSON lines and read again."""
+    rows = load(spark, sf_dir, "ledger").select("id", "area_id", "classification", "file_path", "layer_updated", F.col("recorded_at").cast("string").alias("recorded_at"))
+    path = sinks.write_json(rows, f"{checkpoint_folder(spark)}/json-{uuid.uuid4().hex}")
+    return spark.read.schema("id long, area_id string, classification string, file_path string, layer_updated boolean, recorded_at string").json(path)
+
+
 @query("log_outcomes", ctes("results") + """SELECT status, CASE WHEN status IN ('error', 'unchanged') THEN 'skipped' ELSE 'logged' END AS outcome, count(*) AS n
   FROM results GROUP BY status""")
 def log_outcomes(spark, sf_dir):
