@@ -65,7 +65,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("benchmark decontamination", drop_benchmark_passages),
     ("sentencepiece encoding", tokenize),
 ]
-ORACLE_SQL = None  # a fitted classifier is no SQL; a brute-force test of all stages together is still missing
+ORACLE_SQL = None  # a fitted classifier is no SQL; the tests compare every stage with brute force
 
 
 @query("pipeline")
