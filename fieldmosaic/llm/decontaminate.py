@@ -7,7 +7,8 @@ the item's words that are marked is its coverage. Since tiles are placed freely,
 in whatever order they stand.
 
 The test items are the query set. They go to the tasks in blocks of bounded size, one scan of the
-documents per block; documents are not shuffled, and all work on one of them is local to a row.
+documents per block; documents are not shuffled, and all work on one of them is local to a row. What a
+block finds is written before the next block is read, so the driver holds one block at a time.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from fieldmosaic.llm.common import documents, identified, window_codes, word_hashes
+from fieldmosaic.llm.common import documents, identified, stored, window_codes, word_hashes
 from fieldmosaic.llm.registry import query
 
 MIN_TILE = 5
@@ -179,7 +180,9 @@ def contaminated(
 
     Words are lower-cased runs of letters and digits. An item below five words must stand in the
     document as a whole; items and documents without words match nothing. Null texts count as
-    empty, repeated rows are judged one by one. `_key` is `row_key` of id and text.
+    empty, repeated rows are judged one by one. Among equally long tiles the first in the item, then in the
+    document, is marked. Other columns are not read, so their names cannot clash. An empty benchmark finds
+    nothing. A very long text is tiled within one task, on the places near its seeds only. `_key` is `row_key` of id and text.
     """
     rows = identified(docs, doc_id, text)
     items = benchmark.select(F.col(item_id).alias("name"), F.coalesce(F.col(item_text).cast("string"), F.lit("")).alias("body")).where("body <> ''")
@@ -190,7 +193,7 @@ def contaminated(
     parts = []
     for k in range(blocks):
         block = [tuple(r) for r in items.where(F.pmod(F.xxhash64("name", "body"), F.lit(blocks)) == k).collect()]  # about block_chars characters
-        parts.append(rows.mapInPandas(_scan(block, coverage, least), schema))
+        parts.append(stored(rows.mapInPandas(_scan(block, coverage, least), schema), "tiles"))
     found = reduce(DataFrame.union, parts)
     return found.select("_key", F.col("_id").alias("id"), "item", "item_words", "matched", (F.col("matched") / F.col("item_words")).alias("coverage"), "tiles")
 

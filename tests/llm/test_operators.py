@@ -193,6 +193,14 @@ def test_reordered_passages_are_caught(spark):
         assert sorted((r.id, r.matched) for r in found) == [(1, 40), (4, 40)]
 
 
+def test_empty_benchmark_and_equal_tiles(spark):
+    docs = table(spark, [(1, "a b c d e x a b c d e"), (2, None)])
+    assert decontaminate.contaminated(docs, spark.createDataFrame([], "item_id long, text string")).isEmpty()
+    items = spark.createDataFrame([(9, "a b c d e f a b c d e")], "item_id long, text string")
+    (found,) = decontaminate.contaminated(docs, items).collect()
+    assert [tuple(t) for t in found.tiles] == [(0, 0, 5), (6, 6, 5)] and (found.item_words, found.matched) == (11, 10)
+
+
 def test_base_spans_match_plain_patterns():
     rng = random.Random(7)
     email = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
