@@ -89,6 +89,28 @@ def test_read_images(spark, tmp_path):
     assert all((r.r, r.g, r.b) == tuple(rgb[r.row, r.col]) for r in rows)
 
 
+def test_images_restored_together():
+    rng = np.random.default_rng(5)
+    shapes = [(11, 7), (4, 9), (11, 7), (1, 1), (11, 7), (4, 9)]
+    pictures = [rng.integers(0, 256, (*shape, 3)) for shape in shapes]
+    table = rng.integers(0, 256, (9, 3))
+    files = [(str(i), png(rgb, 2)) for i, rgb in enumerate(pictures)] + [("bad", b"nothing"), ("few", png(np.full((11, 7, 1), 9), 3, table))]
+    for pixels in (1, 100, 10_000):
+        got = dict(images.decode_many(files, pixels))
+        assert sorted(got) == [str(i) for i in range(len(pictures))]
+        assert all(np.array_equal(got[str(i)], rgb[:, :, ::-1]) for i, rgb in enumerate(pictures))
+
+
+def test_image_leaves_worker_as_runs(spark):
+    rgb = np.full((40, 50, 3), 255)
+    rgb[3, 7:9], rgb[4, 0], rgb[39, 49] = (1, 2, 3), (4, 5, 6), (255, 255, 254)
+    files = spark.createDataFrame([("a", png(rgb, 2)), ("bad", b"nothing"), ("none", None)], "path string, content binary")
+    assert images.image_runs(files).count() == 40 + 2 + 1 + 1
+    rows = images.image_pixels(files).collect()
+    assert len(rows) == 40 * 50 and len({(r.row, r.col) for r in rows}) == 40 * 50
+    assert all(r.path == "a" and (r.r, r.g, r.b) == tuple(rgb[r.row, r.col]) for r in rows)
+
+
 SQUARE = [(120.0, 23.0), (120.0, 24.0), (121.0, 24.0), (121.0, 23.0), (120.0, 23.0)]
 HOLE = [(120.2, 23.2), (120.4, 23.2), (120.4, 23.4), (120.2, 23.4), (120.2, 23.2)]
 

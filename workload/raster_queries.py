@@ -8,6 +8,8 @@ import zlib
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
 from fieldmosaic.functions.wkt import parse_polygon
@@ -330,27 +332,54 @@ def repair_polygons(spark, sf_dir):
     return fixed.join(left, "k", "left").select(F.col("k").cast("long").alias("k"), "n_repaired", F.coalesce("crossing", F.lit(False)).alias("still_crossing"), F.round(whole, 9).alias("size"))
 
 
-def _png(pdf: pd.DataFrame) -> pd.DataFrame:
-    """One image as PNG bytes; the group is the pixels of one 200 x 200 image."""
-    image = np.full((GRID, GRID, 3), 255, np.uint8)
-    image[pdf["row"], pdf["col"]] = pdf[["r", "g", "b"]].to_numpy(np.uint8)
-    kinds = [y % 5 for y in range(GRID)]  # no filter, left, up, average, Paeth
-    flat, lines = image.reshape(GRID, -1), []
-    for y, kind in enumerate(kinds):
-        left = np.concatenate([np.zeros(3, np.uint8), flat[y, :-3]])
-        above = flat[y - 1] if y else np.zeros_like(flat[0])
-        corner = np.concatenate([np.zeros(3, np.uint8), above[:-3]])
-        a, b, c = (v.astype(int) for v in (left, above, corner))
-        options = np.stack([a, b, c])
-        nearest = np.take_along_axis(options, np.argmin(np.abs(a + b - c - options), axis=0)[None], 0)[0]  # the first of equal ones
-        lines.append(bytes([kind]) + ((flat[y] - (0, a, b, (a + b) // 2, nearest)[kind]) & 255).astype(np.uint8).tobytes())
-
-    def chunk(kind: bytes, body: bytes) -> bytes:
-        return struct.pack(">I", len(body)) + kind + body + struct.pack(">I", zlib.crc32(kind + body))
+def _png(row: np.ndarray, col: np.ndarray, paint: np.ndarray) -> bytes:
+    """A 200 x 200 image as PNG bytes, with every line filter in turn; paint is red, green, blue."""
+    image = np.full((GRID + 1, GRID + 1, 3), 255, np.uint8)
+    image[row + 1, col + 1] = paint
+    image[0] = image[:, 0] = 0  # what lies above the first line and left of it
+    flat, left, above, corner = (x.reshape(GRID, -1) for x in (image[1:, 1:], image[1:, :-1], image[:-1, 1:], image[:-1, :-1]))
+    lines = np.empty((GRID, 3 * GRID + 1), np.uint8)
+    lines[:, 0], body = np.arange(GRID) % 5, lines[:, 1:]  # no filter, left, up, average, Paeth
+    body[0::5] = flat[0::5]
+    body[1::5] = flat[1::5] - left[1::5]
+    body[2::5] = flat[2::5] - above[2::5]
+    body[3::5] = flat[3::5] - ((left[3::5].astype(np.int16) + above[3::5]) >> 1).astype(np.uint8)
+    a, b, c = (x[4::5].astype(np.int16) for x in (left, above, corner))
+    near_left, near_above, near_corner = np.abs(b - c), np.abs(a - c), np.abs(a + b - 2 * c)
+    nearest = np.where(near_left <= np.minimum(near_above, near_corner), a, np.where(near_above <= near_corner, b, c))  # the first of equal ones
+    body[4::5] = flat[4::5] - nearest.astype(np.uint8)
+
+    def chunk(kind: bytes, content: bytes) -> bytes:
+        return struct.pack(">I", len(content)) + kind + content + struct.pack(">I", zlib.crc32(kind + content))
 
     header = struct.pack(">IIBBBBB", GRID, GRID, 8, 2, 0, 0, 0)
-    content = b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", header) + chunk(b"IDAT", zlib.compress(b"".join(lines))) + chunk(b"IEND", b"")
-    return pd.DataFrame({"path": [f"{pdf['area_id'].iloc[0]}/{pdf['classification'].iloc[0]}.png"], "content": [content]})
+    return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", header) + chunk(b"IDAT", zlib.compress(lines.tobytes())) + chunk(b"IEND", b"")
+
+
+def _pngs(batches):
+    """(path, content) of images whose pixels come one after the other; the last of a batch waits for the next."""
+    def files(table: pa.Table, bounds: list[int]) -> pa.RecordBatch:
+        row, col, *paint = (table.column(c).to_numpy() for c in ("row", "col", "r", "g", "b"))
+        paint = np.stack(paint, axis=1).astype(np.uint8)
+        names = table.select(["area_id", "classification"]).take(bounds[:-1]).to_pylist()
+        return pa.RecordBatch.from_arrays([
+            pa.array([f"{n['area_id']}/{n['classification']}.png" for n in names], pa.string()),
+            pa.array([_png(row[a:b], col[a:b], paint[a:b]) for a, b in zip(bounds, bounds[1:])], pa.binary()),
+        ], ["path", "content"])
+
+    held = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        table = (table if held is None else pa.concat_tables([held, table])).combine_chunks()
+        fresh = np.ones(table.num_rows, bool)
+        keys = [pc.dictionary_encode(table.column(c), null_encoding="encode").combine_chunks().indices.to_numpy() for c in ("area_id", "classification")]
+        fresh[1:] = np.any([k[1:] != k[:-1] for k in keys], axis=0)
+        starts = np.flatnonzero(fresh).tolist()
+        for at in range(0, len(starts) - 1, 64):
+            yield files(table, starts[at : at + 65])
+        held = table.slice(starts[-1]) if starts else table
+    if held is not None and held.num_rows:
+        yield files(held, [0, held.num_rows])
 
 
 @query("image_to_pixels", ctes("pixels") + f"""SELECT area_id || '/' || classification || '.png' AS path, CAST({GRID * GRID} AS BIGINT) AS n_pixels,
@@ -358,7 +387,9 @@ def _png(pdf: pd.DataFrame) -> pd.DataFrame:
   CAST(coalesce(sum((row * {GRID} + col) * (b + 2 * g + 3 * r)) FILTER (NOT (b >= 254 AND g >= 254 AND r >= 254)), 0) AS BIGINT) AS checksum
   FROM pixels GROUP BY area_id, classification""")
 def image_to_pixels(spark, sf_dir):
-    files = load(spark, sf_dir, "pixels").groupBy("area_id", "classification").applyInPandas(_png, "path string, content binary")
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))  # small rows, long work: not to be merged into few tasks
+    sorted_ = load(spark, sf_dir, "pixels").repartition(tasks, "area_id", "classification").sortWithinPartitions("area_id", "classification")
+    files = sorted_.select("area_id", "classification", "row", "col", "b", "g", "r").mapInArrow(_pngs, "path string, content binary")
     pixels, coloured = image_pixels(files), ~raster.is_white()
     place = (F.col("row") * GRID + F.col("col")).cast("long") * (F.col("b") + 2 * F.col("g") + 3 * F.col("r"))
     return pixels.groupBy("path").agg(
