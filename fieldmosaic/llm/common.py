@@ -2,30 +2,18 @@
 
 from __future__ import annotations
 
-import uuid
 from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from fieldmosaic.runtime import checkpoint_folder
+from fieldmosaic.runtime import stored  # noqa: F401
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _PIECE = 1 << 20
 _STRIDES = [pow(0xD1342543DE82EF95, k + 1, 1 << 64) for k in range(16)]
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write the rows as Parquet to the shared folder and read them back.
-
-    Cuts the lineage: a lost executor costs a read, not a second computation. The file lies
-    below `spark.checkpoint.dir`, which the owner of the session clears when a job is over.
-    """
-    path = f"{checkpoint_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def identified(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Only id and text, as `_id`, `_text` (null: empty) and `_key`, a digest of both.
 

@@ -12,7 +12,7 @@ from fieldmosaic.operators.ledger import change_status, image_path, log_results,
 from fieldmosaic.operators.raster import apply_mask
 from fieldmosaic.operators.runs import quantify_mask
 from fieldmosaic.operators.wms import request_plan
-from fieldmosaic.runtime import materialize
+from fieldmosaic.runtime import materialize, stored
 
 IMAGE = ["area_id", "classification", "shp_version"]
 
@@ -87,7 +87,7 @@ def run(
 
     todo = work.where("action = 'mask'")
     fresh = apply_mask(pixels.join(todo.select(*IMAGE), IMAGE, "left_semi"), areas, keys, mask)
-    fresh = materialize(fresh.select(*masked.columns))
+    fresh = stored(fresh.select(*masked.columns), "masked")
     before = image_digest(masked).select(*IMAGE, F.col("n_pixels").alias("_n"), F.col("digest").alias("_digest"))
     same = (F.col("n_pixels") == F.col("_n")) & (F.col("digest") == F.col("_digest"))
     status = F.when(F.col("_n").isNull(), "created").when(same, "unchanged").otherwise("updated")

@@ -11,6 +11,7 @@ from fieldmosaic.operators import geometry, raster
 from fieldmosaic.plans import mapping
 from fieldmosaic.plans.training import TrainingPlan, train
 from fieldmosaic.schemas import PIXELS
+from workload import inputs, raster_queries
 
 BOX = "POLYGON ((120 23, 120.002 23, 120.002 23.004, 120 23.004, 120 23))"
 
@@ -51,6 +52,14 @@ def test_mapping_job_twice(spark):
     assert days == {"raw": 2026, "masked": 2025}
 
 
+def test_mapping_query_groups_line_items_once(spark, monkeypatch):
+    """Images, old images, ledger and files are made of the stored pixels, not of the line items again."""
+    read = []
+    monkeypatch.setattr(inputs, "table", lambda spark, sf_dir, name, plain=inputs.table: read.append(name) or plain(spark, sf_dir, name))
+    assert raster_queries.mapping_job(spark, "/root/testdata/sf0.001").count() > 0
+    assert read.count("lineitem") == 1
+
+
 def test_features_by_area(spark):
     rows = spark.createDataFrame([("A", "v", "x", 1.0, None), ("A", "v", "y", 2.0, 5.0), ("B", "v", "z", 3.0, 6.0)],
                                  "area_id string, shp_version string, classification string, mean_value double, sand double")

@@ -270,15 +270,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """An input as a DataFrame."""
+def load(spark: SparkSession, sf_dir: str, name: str, given: dict[str, DataFrame] | None = None) -> DataFrame:
+    """An input as a DataFrame; what is `given` is taken as it is, also by the inputs that depend on it."""
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+    if given and name in given:
+        return given[name]
     if name in TABLES:
         return table(spark, sf_dir, name)
     sql = INPUTS[name]
     needed = DEPENDS.get(name, []) + [t for t in TABLES if f" {t}" in sql.replace("\n", " ").replace(",", " ")]
-    used = {n: load(spark, sf_dir, n) for n in needed if f" {n}" in sql.replace("\n", " ")}
+    used = {n: load(spark, sf_dir, n, given) for n in needed if f" {n}" in sql.replace("\n", " ")}
     for n in used:
         sql = _as_argument(sql, n)
     return spark.sql(sql, **used)

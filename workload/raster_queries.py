@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from fieldmosaic.functions.wkt import parse_polygon
 from fieldmosaic.operators import colors, geometry, raster, repair, runs
 from fieldmosaic.plans import mapping
-from fieldmosaic.runtime import materialize, spread
+from fieldmosaic.runtime import materialize, spread, stored
 from fieldmosaic.sources.images import image_pixels
 from fieldmosaic.sources.shapefiles import attribute_records, join_records, shape_records
 from fieldmosaic.tables.color_values import legend_rows
@@ -250,14 +250,16 @@ def mapping_sql() -> str:
 @query("mapping_job", mapping_sql())
 def mapping_job(spark, sf_dir):
     """The ledger after a run, beside each image's status, action and what its mask shows."""
-    images, pixels = load(spark, sf_dir, "images"), load(spark, sf_dir, "pixels")
+    given = {"pixels": stored(load(spark, sf_dir, "pixels"), "pixels")}  # grouped out of the line items once, for the images and all that is made of them
+    given["images"] = stored(load(spark, sf_dir, "images", given), "images")
+    images, pixels = given["images"], given["pixels"]
     areas = materialize(grid_areas(spark, sf_dir))
-    spans = materialize(geometry.mask_spans(areas, ["area_id"]))
+    spans = stored(geometry.mask_spans(areas, ["area_id"]), "spans")
     old = pixels.join(images.where("n % 4 = 3").select(*mapping.IMAGE, (F.col("n") % 8 == 7).alias("off")), mapping.IMAGE)
     old = raster.apply_mask(old, areas, ["area_id"], spans)
     old = old.withColumn("g", (F.col("g") + F.when(F.col("off"), 1).otherwise(0)).cast("smallint")).select(*pixels.columns)
-    out = mapping.run(images.drop("n", "total"), load(spark, sf_dir, "images_before"), pixels, areas, ["area_id"], load(spark, sf_dir, "image_ledger"),
-                      materialize(old), load(spark, sf_dir, "image_files"), spans)
+    known, ledger, files = (load(spark, sf_dir, name, given) for name in ("images_before", "image_ledger", "image_files"))
+    out = mapping.run(images.drop("n", "total"), known, pixels, areas, ["area_id"], ledger, stored(old, "masked"), files, spans)
     counts = raster.quantify_classes(out.masked, colors.color_map(spark)).groupBy(*mapping.IMAGE).agg(
         F.sum("n_pixels").alias("n_pixels"), F.count("*").alias("n_classes"))
     rows = out.ledger.join(out.work.select(*mapping.IMAGE, "status", "action"), mapping.IMAGE, "left").join(counts, mapping.IMAGE, "left")
