@@ -23,6 +23,7 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame, functions as F
 from sentencepiece import sentencepiece_model_pb2
@@ -37,6 +38,7 @@ FAN = 64  # chunks or blocks in a block
 BLANK = "▁"
 NEG = float("-inf")
 SLICE_CHARS = 1 << 18  # characters whose words are looked up at a time
+SLOTS = 1 << 19  # of the word table of a worker: 262,144 words, most of which never return
 MATRIX = "array<array<double>>"
 
 
@@ -56,11 +58,11 @@ class Pieces:
         self.longest = max(map(len, self.ids))
         self.least = min(self.scores.values()) - 10.0
         self.by_words = not any(BLANK in piece.lstrip(BLANK) for piece in self.ids)
-        self.words = WordIds(self._encode)
+        self.words = WordIds(self._encode, SLOTS)
         special = {p.piece for p in proto.pieces if p.type not in (1, 4, 6)}
         self.raw = [None if p.piece in special else bytes([int(p.piece[3:5], 16)]) if p.type == 6 else p.piece.replace(BLANK, " ").encode() for p in proto.pieces]
         self.leads = [p.piece.startswith(BLANK) for p in proto.pieces]
-        self.stays = lru_cache(200_000)(self._stays)
+        self.stays = lru_cache(1 << 15)(self._stays)
 
     def merged(self, text: str) -> list[str]:
         """Merging by score, the leftmost of equals first."""
@@ -320,20 +322,19 @@ def _short(data: bytes):
     def run(batches):
         p = loaded(data)
 
-        def done(rows: list[tuple]) -> pd.DataFrame:
-            keys, docs, texts = zip(*rows)
-            return pd.DataFrame({"_key": keys, "_id": docs, "ids": p.many(list(texts))})
+        def done(batch: pa.RecordBatch, texts: list[str]) -> pa.RecordBatch:
+            ids = p.many(texts)
+            bounds = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+            return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.ListArray.from_arrays(bounds, np.concatenate(ids).astype(np.int32))], ["_key", "_id", "ids"])
 
         for batch in batches:
-            held, chars = [], 0
-            for key, doc, text in zip(batch["_key"], batch["_id"], batch["_text"]):
-                held.append((key, doc, written(text)))
-                chars += len(text)
-                if chars >= SLICE_CHARS:
-                    yield done(held)
-                    held, chars = [], 0
-            if held:
-                yield done(held)
+            at, texts, chars = 0, [], 0
+            for k, text in enumerate(batch.column(2)):
+                texts.append(written(text.as_py()))
+                chars += len(texts[-1])
+                if chars >= SLICE_CHARS or k == batch.num_rows - 1:
+                    yield done(batch.slice(at, len(texts)), texts)
+                    at, texts, chars = k + 1, [], 0
 
     return run
 
@@ -364,7 +365,7 @@ def encode(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", model: s
     rows = identified(docs, doc_id, text)
     kind = rows.schema["_id"].dataType.simpleString()
     size = F.length("_text")
-    short = rows.where(size < 2 * chunk - 1).mapInPandas(_short(data), f"_key string, _id {kind}, ids array<int>").select(F.col("_id").alias("id"), "ids")
+    short = rows.where(size < 2 * chunk - 1).select("_key", "_id", "_text").mapInArrow(_short(data), f"_key string, _id {kind}, ids array<int>").select(F.col("_id").alias("id"), "ids")
     long = rows.where(size >= 2 * chunk - 1).mapInPandas(_chunks(data, chunk), f"_key string, _id {kind}, {CUTS}")
     chunks = stored(long, "chunks")
     states = boundary_states(chunks, data)
@@ -378,10 +379,12 @@ def decode(encoded: DataFrame, ids: str = "ids", name: str = "text", model: str
     """Add the text of a column of ids. It equals the encoded one, but that U+2581 in it has become a blank; null ids give null."""
     data = read_model(model)
 
-    @F.pandas_udf("string")
-    def restored(column: pd.Series) -> pd.Series:
+    @F.arrow_udf("string")
+    def restored(column: pa.Array) -> pa.Array:
         p = loaded(data)
-        return column.map(lambda x: None if x is None else p.text(np.asarray(x).tolist()))
+        values, bounds = column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy()
+        texts = (p.text(values[a:b].tolist()) if known else None for a, b, known in zip(bounds, bounds[1:], column.is_valid().to_pylist()))
+        return pa.array(texts, pa.string(), size=len(column))  # a text at a time
 
     return encoded.withColumn(name, restored(ids))
 
